@@ -9,7 +9,7 @@ from tidemark.jobs.windows import sliding_starts
 from tidemark.operators import aggregates as a
 from tidemark.operators import distinct as d
 from tidemark.operators import windows as w
-from tidemark.plans.timing import plain
+from tidemark.plans.timing import plain, window_end
 from tidemark.sources.records import parse_json
 
 
@@ -131,7 +131,7 @@ FROM s LEFT JOIN c ON c.day = s.day AND c.url = s.url AND c.step = s.step""")
 def uv_daily_cumulative(spark, sf_dir):
     seen = events(spark, sf_dir).select(F.col("event_type").alias("url"), "user_id", "ts")
     out = d.cumulative_uv(seen, ["url"], "user_id", F.date_format("ts", "yyyyMMdd"),
-                          F.window("ts", "10 minutes")["end"])
+                          window_end("ts", "10 minutes"))
     return out.select(F.col("period").alias("day"), "url", plain("step_end").alias("step_end"), "uv")
 
 
@@ -145,8 +145,7 @@ FROM s LEFT JOIN f ON f.item = s.item AND f.hour_end = s.hour_end AND f.step <=
 GROUP BY s.item, s.hour_end, s.step""")
 def uv_hourly_by_key(spark, sf_dir):
     seen = events(spark, sf_dir).select("item", "user_id", "ts")
-    out = d.cumulative_uv(seen, ["item"], "user_id", F.window("ts", "1 hour")["end"],
-                          F.window("ts", "1 minute")["end"])
+    out = d.cumulative_uv(seen, ["item"], "user_id", window_end("ts", "1 hour"), window_end("ts", "1 minute"))
     return out.select("item", plain("period").alias("hour_end"), plain("step_end").alias("step_end"), "uv")
 
 

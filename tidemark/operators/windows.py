@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.ordered import row_numbers, running
 from tidemark.plans.panes import sliding_totals
-from tidemark.plans.timing import instant, micros, plain, position
+from tidemark.plans.timing import instant, micros, plain, position, window_end
 
 
 def flatten_window(df: DataFrame, *rest: str) -> DataFrame:
@@ -62,7 +62,7 @@ def early_fire_sums(
     step = micros(every)
     panes = df.groupBy(
         F.window(ts, size).alias("window"), *keys,
-        (F.window(ts, every)["end"]).alias("_mark"),
+        window_end(ts, every).alias("_mark"),
     ).agg(F.sum(value).alias("_sum"))
     # At most size / every rows per key and window from here on.
     scan = Window.partitionBy("window", *keys).orderBy("_mark")

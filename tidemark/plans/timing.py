@@ -53,6 +53,13 @@ def window_start(ts: str | Column, size: str | int, offset: str | int = 0) -> Co
     return instant(pos - F.pmod(pos - F.lit(shift), F.lit(micros(size))))
 
 
+def window_end(ts: str | Column, size: str | int) -> Column:
+    """End of the tumbling window of ``size``; usable next to a ``F.window`` column."""
+    pos = position(ts)
+    width = F.lit(micros(size))
+    return instant(pos - F.pmod(pos, width) + width)
+
+
 def plain(ts: str | Column) -> Column:
     """An instant as a zone-less timestamp, the form result tables use."""
     return (F.col(ts) if isinstance(ts, str) else ts).cast("timestamp_ntz")
