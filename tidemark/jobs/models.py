@@ -1 +1,57 @@
-"""To be filled."""
+"""Queries over iteration and model jobs."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.jobs.registry import DAY, EVENTS, events, query, table
+from tidemark.operators import models as m
+from tidemark.plans.timing import plain
+
+# Weights of the demonstration model: alternating signs over the vector's positions.
+BIAS = 0.25
+
+
+def weights(n: int) -> list[float]:
+    return [1.0 if i % 2 == 0 else -1.0 for i in range(n)]
+
+
+@query("iterate_fibonacci", """
+WITH RECURSIVE p AS (SELECT DISTINCT CAST(l_quantity AS BIGINT) AS a, CAST(l_linenumber AS BIGINT) AS b FROM lineitem),
+r AS (SELECT a, b, a AS x, b AS y, 0 AS n FROM p
+      UNION ALL SELECT a, b, y, x + y, n + 1 FROM r WHERE n = 0 OR (x < 100 AND y < 100)),
+s AS (SELECT a, b, max(n) AS steps FROM r GROUP BY a, b)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, a, b, steps
+FROM lineitem JOIN s ON a = CAST(l_quantity AS BIGINT) AND b = l_linenumber""")
+def iterate_fibonacci(spark, sf_dir):
+    a, b = F.col("l_quantity").cast("long"), F.col("l_linenumber").cast("long")
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", a.alias("a"), b.alias("b"),
+        m.steps_to_bound(a, b).alias("steps"))
+
+
+@query("window_model_predict", f"""
+WITH {EVENTS},
+s AS (SELECT (pos // {DAY} + 1) * {DAY} AS model_pos, count(*) AS n, sum(item)::BIGINT AS sx, sum(cents)::BIGINT AS sy,
+             sum(item * item)::BIGINT AS sxx, sum(item * cents)::BIGINT AS sxy FROM ev GROUP BY ALL),
+k AS (SELECT model_pos, n, sx, sy, CASE WHEN n * sxx - sx * sx <> 0
+             THEN (n * sxy - sx * sy)::DOUBLE / (n * sxx - sx * sx)::DOUBLE ELSE 0.0::DOUBLE END AS slope FROM s),
+mo AS (SELECT model_pos, slope, (sy - slope * sx) / n AS intercept FROM k)
+SELECT event_id, make_timestamp(model_pos) AS model_at, round(intercept + slope * item, 4) AS prediction
+FROM ev ASOF LEFT JOIN mo ON pos >= model_pos""")
+def window_model_predict(spark, sf_dir):
+    rows = events(spark, sf_dir).select("event_id", "ts", "pos", "item", "cents")
+    models = m.window_linear_models(rows, "ts", "1 day", "item", "cents")
+    scored = m.score_with_latest(rows, models, ["pos", "event_id"], "item", "1 day")
+    return scored.select("event_id", plain("model_at").alias("model_at"),
+                         F.round("prediction", 4).alias("prediction"))
+
+
+@query("batch_score", f"""
+SELECT vec_id, round(list_sum(list_transform(embedding, lambda x, i: CASE WHEN i % 2 = 1 THEN x::DOUBLE ELSE -x::DOUBLE END)) + {BIAS}, 6) AS score
+FROM embeddings""")
+def batch_score(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    width = len(vectors.select("embedding").first()[0])  # every vector has the same length
+    score = m.linear_scorer(weights(width), BIAS)
+    return vectors.select("vec_id", F.round(score("embedding"), 6).alias("score"))

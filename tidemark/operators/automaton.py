@@ -137,10 +137,10 @@ def _entry_states(
         started = groups.withColumn("_from", F.lit(0))
     else:
         upper = groups.filter(F.size("_maps") == chunk).select(
-            *keys, "_up",
+            *keys, F.col("_up").alias("_at"),
             F.aggregate("_maps", _identity(machine), lambda acc, m: _compose(acc, m["map"])).alias("_map"))
-        entry = _entry_states(upper, keys, "_up", "_map", machine, chunk, levels - 1)
-        started = groups.join(entry, [*keys, "_up"], "left").withColumn(
+        entry = _entry_states(upper, keys, "_at", "_map", machine, chunk, levels - 1)
+        started = groups.join(entry.withColumnRenamed("_at", "_up"), [*keys, "_up"], "left").withColumn(
             "_from", F.coalesce("_entry", F.lit(0))).drop("_entry")
     walk = F.aggregate(
         "_maps",
