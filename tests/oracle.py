@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import sys
 import time
+from fnmatch import fnmatch
 
 import duckdb
 import pandas as pd
@@ -71,7 +72,7 @@ def main(argv: list[str]) -> int:
     con, bad = duck(sf_dir), 0
     oracles = entry.oracle_sql()
     for name, run in entry.queries().items():
-        if argv[1:] and not any(name == a or (a.endswith("*") and name.startswith(a[:-1])) for a in argv[1:]):
+        if argv[1:] and not any(fnmatch(name, a) for a in argv[1:]):
             continue
         started = time.time()
         try:
