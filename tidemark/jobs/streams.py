@@ -215,12 +215,11 @@ def state_as_table(spark, sf_dir):
 @query("uv_daily_cumulative_stream", """
 SELECT strftime(ts, '%Y%m%d') AS day, event_type AS url, count(DISTINCT user_id) AS uv FROM events GROUP BY ALL""")
 def uv_daily_cumulative_stream(spark, sf_dir):
-    seen = event_stream(spark, sf_dir).select(
-        F.date_format("ts", "yyyyMMdd").alias("day"), F.col("event_type").alias("url"), "user_id", "pos")
-    fresh = fresh_visitors(seen, ["day", "url"], "user_id", ["pos"], ttl_ms=2 * DAY // 1000, slots=8)
+    seen = event_stream(spark, sf_dir).withColumn("url", F.col("event_type"))
+    fresh = fresh_visitors(seen, "ts", "1 day", ["url"], "user_id")
     counted = to_batches(
-        fresh, "daily-uv", lambda batch, _: batch.groupBy("day", "url").agg(F.count(F.lit(1)).alias("fresh")), "update")
-    return counted.groupBy("day", "url").agg(F.sum("fresh").alias("uv"))
+        fresh, "daily-uv", lambda batch, _: batch.groupBy("window", "url").agg(F.count(F.lit(1)).alias("fresh")), "append")
+    return counted.groupBy(F.date_format("window.start", "yyyyMMdd").alias("day"), "url").agg(F.sum("fresh").alias("uv"))
 
 
 @query("state_machine_alerts_stream", f"""

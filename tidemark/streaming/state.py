@@ -52,43 +52,14 @@ def route_late_stream(
     )
 
 
-class FreshVisitors(StatefulProcessor):
-    """Emit each user of a key once; the memory of a user expires after ``ttl_ms``."""
+def fresh_visitors(df: DataFrame, ts: str, period: str, keys: list[str], user: str) -> DataFrame:
+    """First sighting of each user per key and period, for running distinct counts.
 
-    def __init__(self, keys: list[str], user: str, carry: list[str], ttl_ms: int):
-        self.keys, self.user, self.carry, self.ttl_ms = keys, user, carry, ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", "user long", "one boolean", self.ttl_ms)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for frame in rows:
-            ordered = frame.sort_values(self.carry) if self.carry else frame
-            first = ordered.drop_duplicates(self.user)
-            new = [not self.seen.containsKey((int(u),)) for u in first[self.user]]
-            fresh = first[np.array(new, dtype=bool)]
-            for user in fresh[self.user]:
-                self.seen.updateValue((int(user),), (True,))
-            if len(fresh):
-                out = fresh.assign(**dict(zip(self.keys, key)))
-                yield out[[*self.keys, self.user, *self.carry]]
-
-    def close(self) -> None:
-        pass
-
-
-def fresh_visitors(
-    df: DataFrame, keys: list[str], user: str, carry: list[str], ttl_ms: int, slots: int = 64,
-) -> DataFrame:
-    """First sighting of each user per key, for running distinct counts.
-
-    The state of a key is split by a hash of the user, so a key visited by
-    everyone is spread over ``slots`` groups; adding up fresh users over the
-    slots gives the key's count.
+    State is one entry per (period, key, user), spread by all three, so a key
+    visited by everyone is no single task's state; the watermark drops a
+    period's entries once it is over.
     """
-    slotted = df.select(*keys, user, *carry).withColumn(
-        "_slot", F.pmod(F.xxhash64(user), F.lit(slots)))
-    fields = {f.name: f.dataType.simpleString() for f in slotted.schema.fields}
-    out = ", ".join(f"{c} {fields[c]}" for c in [*keys, "_slot", user, *carry])
-    return slotted.groupBy(*keys, "_slot").transformWithStateInPandas(
-        FreshVisitors([*keys, "_slot"], user, carry, ttl_ms), out, "update", "ProcessingTime")
+    return (
+        df.withColumn("window", F.window(ts, period))
+        .dropDuplicates(["window", *keys, user]).select("window", *keys, user)
+    )
