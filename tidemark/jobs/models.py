@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.jobs.registry import DAY, EVENTS, events, query, table
 from tidemark.operators import models as m
+from tidemark.plans.staging import staged
 from tidemark.plans.timing import plain
 
 # Weights of the demonstration model: alternating signs over the vector's positions.
@@ -41,7 +42,7 @@ SELECT event_id, make_timestamp(model_pos) AS model_at, round(intercept + slope
 FROM ev ASOF LEFT JOIN mo ON pos >= model_pos""")
 def window_model_predict(spark, sf_dir):
     rows = events(spark, sf_dir).select("event_id", "ts", "pos", "item", "cents")
-    models = m.window_linear_models(rows, "ts", "1 day", "item", "cents")
+    models = staged(m.window_linear_models(rows, "ts", "1 day", "item", "cents"), "models")
     scored = m.score_with_latest(rows, models, ["pos", "event_id"], "item", "1 day")
     return scored.select("event_id", plain("model_at").alias("model_at"),
                          F.round("prediction", 4).alias("prediction"))

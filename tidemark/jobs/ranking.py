@@ -23,7 +23,7 @@ FROM r WHERE rank <= 3"""
 
 def hot_items(views):
     counts = w.sliding(views, "ts", "1 hour", "10 minutes", ["item"], cnt=F.count(F.lit(1)))
-    return r.top_n(counts, ["window"], [F.desc("cnt"), "item"], 3)
+    return r.top_n(counts, ["window.start"], [F.desc("cnt"), "item"], 3)
 
 
 @query("hot_items_topn", HOT_ITEMS_SQL)
@@ -43,7 +43,7 @@ def hot_items_report(spark, sf_dir):
 
     views = events(spark, sf_dir).filter("event_type = 'view'")
     counts = w.tumbling(views, "ts", "1 day", ["item"], cnt=F.count(F.lit(1)))
-    top = r.top_n(counts, ["window"], [F.desc("cnt"), "item"], 3)
+    top = r.top_n(counts, ["window.start"], [F.desc("cnt"), "item"], 3)
     return top.select(report_line(
         "%s No%d: item %d views %d", F.date_format("window.end", DATE_TIME),
         F.col("rank"), F.col("item"), F.col("cnt")).alias("line"))
@@ -62,7 +62,7 @@ def hot_urls_topn(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("item"), "url")
     visits = events(spark, sf_dir).select("ts", "item").join(pages, "item")
     counts = w.sliding(visits, "ts", "1 hour", "5 minutes", ["url"], cnt=F.count(F.lit(1)))
-    return w.flatten_window(r.top_n(counts, ["window"], [F.desc("cnt"), "url"], 3))
+    return w.flatten_window(r.top_n(counts, ["window.start"], [F.desc("cnt"), "url"], 3))
 
 
 @query("hot_urls_topn_late", f"""
@@ -74,7 +74,7 @@ FROM r WHERE rank <= 5""")
 def hot_urls_topn_late(spark, sf_dir):
     accepted = delayed_and_routed(spark, sf_dir).filter("route <> 'late'")
     counts = w.tumbling(accepted, "ts", "10 minutes", ["item"], cnt=F.count(F.lit(1)))
-    return w.flatten_window(r.top_n(counts, ["window"], [F.desc("cnt"), "item"], 5))
+    return w.flatten_window(r.top_n(counts, ["window.start"], [F.desc("cnt"), "item"], 5))
 
 
 AREA_ORDERS_SQL = """
@@ -101,7 +101,7 @@ FROM r WHERE rank <= 3""")
 def window_group_topn(spark, sf_dir):
     sums = w.tumbling(area_orders(spark, sf_dir), "o_orderdate", "28 days", ["area", "c_custkey"],
                       cents=F.sum("cents"))
-    top = r.top_n(sums, ["window", "area"], [F.desc("cents"), "c_custkey"], 3)
+    top = r.top_n(sums, ["window.start", "area"], [F.desc("cents"), "c_custkey"], 3)
     return w.flatten_window(top)
 
 

@@ -78,7 +78,7 @@ def hot_items_topn_stream(spark, sf_dir):
     counts = w.sliding(views, "ts", "1 hour", "10 minutes", ["item"], cnt=F.count(F.lit(1)))
     ranked = to_batches(
         counts, "hot-items",
-        lambda batch, _: w.flatten_window(r.top_n(batch, ["window"], [F.desc("cnt"), "item"], 3)), "append")
+        lambda batch, _: w.flatten_window(r.top_n(batch, ["window.start"], [F.desc("cnt"), "item"], 3)), "append")
     return ranked.drop("batch")
 
 

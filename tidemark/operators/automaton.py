@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans.ordered import row_numbers
+from tidemark.plans.staging import staged
 
 # The order life-cycle machine (state, event) -> state.
 STATES = ("Initial", "W", "X", "Y", "Z")
@@ -69,8 +70,8 @@ def alerts(
         df.select(*keys, *order, event, symbol.cast("int").alias("_sym")), keys, order, width, "_rn")
     rows = rows.withColumn("_chunk", _div(F.col("_rn") - 1, chunk))
 
-    packed = rows.groupBy(*keys, "_chunk").agg(
-        F.array_sort(F.collect_list(F.struct("_rn", "_sym", *order, event))).alias("_events"))
+    packed = staged(rows.groupBy(*keys, "_chunk").agg(
+        F.array_sort(F.collect_list(F.struct("_rn", "_sym", *order, event))).alias("_events")), "chunks")
     # Only chunks followed by another one are folded ahead: for a key that fits
     # one chunk the entry state is the initial one.
     step = lambda state, sym: F.element_at(
@@ -80,7 +81,7 @@ def alerts(
         F.aggregate(
             "_events", _identity(machine),
             lambda acc, e: F.transform(acc, lambda s: step(s, e["_sym"]))).alias("_map"))
-    entry = _entry_states(folded, keys, "_chunk", "_map", machine, chunk)
+    entry = _entry_states(staged(folded, "maps"), keys, "_chunk", "_map", machine, chunk)
     started = packed.join(entry, [*keys, "_chunk"], "left").withColumn(
         "_start", F.coalesce("_entry", F.lit(0)))
 

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import top_n
-from tidemark.plans.ordered import in_bucket, overlap, settle, with_next, with_previous
+from tidemark.plans.ordered import in_bucket, overlap, running, settle, with_next, with_previous
 from tidemark.plans.segments import SEGMENT, chain_rows, with_segments
+from tidemark.plans.staging import staged
 from tidemark.plans.timing import instant, micros
 
 PAID = "payed successfully"
@@ -128,20 +129,20 @@ def rising_trends(
     seen = with_previous(df, keys, order, [value], width)
     before = F.col(f"prev_{value}")
     reset = before.isNull() | (before > F.col(value)) | (before == 0)
-    cut = with_segments(seen.withColumn("_rise", ~reset & (before < F.col(value))),
-                        keys, order, reset, width)
-    # A timer lives until the next reset row, which opens the next segment.
-    starts = cut.groupBy(*keys, SEGMENT).agg(F.min(pos).alias("_start"))
-    horizon = F.broadcast(df.agg(F.max(pos).alias("_end")))  # one row
-    until = with_next(starts, keys, ["_start", SEGMENT], ["_start"], width).crossJoin(horizon).select(
-        *keys, SEGMENT, F.coalesce(F.col("next__start"), F.col("_end") + 1).alias("_until"))
-    rises = cut.filter("_rise").select(*keys, SEGMENT, *order)
-    begun = chain_rows(rises, keys, order, pos, wait)
+    # A timer lives until the next reset row.  Scanned backwards, that row is the
+    # last reset met so far; its position also names the stretch before it.
+    marked = staged(
+        seen.select(*keys, *order, (~reset & (before < F.col(value))).alias("_rise"),
+                    F.when(reset, F.col(pos)).alias("_reset_at"), (-F.col(pos)).alias("_back"),
+                    *[(-F.col(c)).alias(f"_back_{c}") for c in order[1:]]), "rising")
+    backwards = ["_back", *[f"_back_{c}" for c in order[1:]]]
+    ahead = running(marked, keys, backwards, {SEGMENT: ("_reset_at", "last")}, width)
+    horizon = F.broadcast(df.agg((F.max(pos) + 1).alias("_end")))  # one row
+    rises = ahead.filter("_rise").crossJoin(horizon).select(
+        *keys, *order, F.coalesce(SEGMENT, "_end").alias(SEGMENT))
     due = F.col(pos) + F.lit(wait)
-    return (
-        begun.join(until, [*keys, SEGMENT]).filter(due < F.col("_until"))
-        .select(*keys, *order, instant(due).alias("alert_at"))
-    )
+    begun = chain_rows(rises, keys, order, pos, wait).filter(due < F.col(SEGMENT))
+    return begun.select(*keys, *order, instant(due).alias("alert_at"))
 
 
 def delta_trigger(
@@ -163,9 +164,9 @@ def delta_trigger(
     rank = F.struct(F.col(measure), *[(-F.col(c)).alias(f"_{c}") for c in order])
     best = settle(overlap(df, pos, width, behind=last).withColumn(
         "_best", F.max_by(F.struct(*fields), rank).over(recent)))
-    flat = best.select(*keys, *order, progress,
-                       *[F.col(f"_best.{f}").alias(f"best_{f}") for f in fields])
-    seen = with_previous(flat, keys, order, [progress], width)
+    flat = staged(best.select(
+        *keys, *order, progress, *[F.col(f"_best.{f}").alias(f"best_{f}") for f in fields]), "recent-best")
+    seen = staged(with_previous(flat, keys, order, [progress], width), "delta")
     before = F.col(f"prev_{progress}")
     jumped = F.col(progress) - before > F.lit(threshold)
     cut = with_segments(seen.withColumn("_first", before.isNull()), keys, order,

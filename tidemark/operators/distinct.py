@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.panes import tumbling_totals
+
 # Fixed values of the visitor bitmap: hash seed and number of bits.
 HASH_SEED = 61
 BITMAP_BITS = 1 << 29
@@ -22,8 +24,7 @@ def exact_uv(df: DataFrame, ts: str, size: str, user: str, keys: Sequence[str] =
         once = df.groupBy(F.window(ts, size).alias("window"), user, *keys).agg(
             F.count(F.lit(1)).alias("_n"))
         return once.groupBy("window", *keys).agg(F.count(F.lit(1)).alias("uv"))
-    return df.groupBy(F.window(ts, size).alias("window"), *keys).agg(
-        F.count_distinct(user).alias("uv"))
+    return tumbling_totals(df, ts, keys, size, {"uv": F.count_distinct(user)})
 
 
 def text_hash(text: Column, seed: int = HASH_SEED, bits: int = BITMAP_BITS) -> Column:
@@ -53,16 +54,14 @@ def bitmap_uv(df: DataFrame, ts: str, size: str, user: str) -> DataFrame:
 
 
 def approx_uv(df: DataFrame, ts: str, size: str, user: str, rsd: float = 0.02) -> DataFrame:
-    return df.groupBy(F.window(ts, size).alias("window")).agg(
-        F.approx_count_distinct(user, rsd).alias("uv"))
+    return tumbling_totals(df, ts, [], size, {"uv": F.approx_count_distinct(user, rsd)})
 
 
 def hll_sketches(
     df: DataFrame, ts: str, size: str, user: str, log2m: int = 14, keys: Sequence[str] = (),
 ) -> DataFrame:
     """One mergeable sketch per window."""
-    return df.groupBy(F.window(ts, size).alias("window"), *keys).agg(
-        F.hll_sketch_agg(user, log2m).alias("sketch"))
+    return tumbling_totals(df, ts, keys, size, {"sketch": F.hll_sketch_agg(user, log2m)})
 
 
 def hll_rollup(sketches: DataFrame, *group) -> DataFrame:
@@ -76,16 +75,14 @@ def cumulative_uv(
 ) -> DataFrame:
     """Distinct users since the period began, at every step in which the key had rows.
 
-    A user counts at the first step it is seen in.  After the two aggregations a
-    key has one row per step, so the running sum is over a handful of rows.
+    A user's steps within a period are a small set; its first element is where the
+    user counts.  So the input is read once, and a key has one row per step when
+    the running sum is taken.
     """
-    seen = df.select(*keys, user, period_start.alias("period"), step_end.alias("step_end"))
-    # One row per (key, period, step, user), then the first step of each user.
-    visits = seen.groupBy(*keys, "period", "step_end", user).agg(F.lit(1).alias("_v"))
-    first = visits.groupBy(*keys, "period", user).agg(F.min("step_end").alias("step_end"))
-    fresh = first.groupBy(*keys, "period", "step_end").agg(F.count(F.lit(1)).alias("_new"))
-    active = seen.groupBy(*keys, "period", "step_end").agg(F.lit(0).cast("long").alias("_new"))
-    steps = fresh.unionByName(active).groupBy(*keys, "period", "step_end").agg(
-        F.sum("_new").alias("_new"))
+    visits = df.select(*keys, user, period_start.alias("period"), step_end.alias("step_end"))
+    steps = visits.groupBy(*keys, "period", user).agg(
+        F.sort_array(F.collect_set("step_end")).alias("_steps"))
+    counted = steps.select(*keys, "period", F.posexplode("_steps").alias("_i", "step_end")).groupBy(
+        *keys, "period", "step_end").agg(F.count_if(F.col("_i") == 0).alias("_new"))
     scan = Window.partitionBy(*keys, "period").orderBy("step_end")
-    return steps.select(*keys, "period", "step_end", F.sum("_new").over(scan).alias("uv"))
+    return counted.select(*keys, "period", "step_end", F.sum("_new").over(scan).alias("uv"))

@@ -10,30 +10,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans.ordered import asof_latest
+from tidemark.plans.panes import tumbling_totals
 from tidemark.plans.timing import instant, position
 
 
-def steps_to_bound(a: Column, b: Column, bound: int = 100, most: int = 64) -> Column:
+def steps_to_bound(a: Column, b: Column, bound: int = 100) -> Column:
     """Fibonacci steps ``(a, b) -> (b, a + b)`` until one value reaches ``bound``.
 
-    The step runs once before the test.  Each row iterates on its own, so the
-    feedback loop is a fold inside the row: no shuffle and no driver loop.
-    From (1, 1) the bound 100 takes 10 steps; ``most`` only has to be large
-    enough for the smallest positive pair, otherwise the result is null.
+    The step runs once before the test.  After n steps both values are fixed
+    combinations ``p * a + q * b`` of the start, so the loop unrolls into one
+    generated CASE expression per row: no shuffle, no driver loop.  Inputs must
+    not be negative; the pair (0, 0) never ends and gives null.
     """
-    start = F.struct(
-        a.cast("long").alias("a"), b.cast("long").alias("b"),
-        F.lit(0).alias("n"), F.lit(False).alias("done"))
-
-    def step(acc, _):
-        following = F.struct(
-            acc["b"].alias("a"), (acc["a"] + acc["b"]).alias("b"), (acc["n"] + 1).alias("n"),
-            ((acc["b"] >= bound) | (acc["a"] + acc["b"] >= bound)).alias("done"))
-        return F.when(acc["done"], acc).otherwise(following)
-
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(most)), start, step,
-        lambda acc: F.when(acc["done"], acc["n"]))
+    a, b = a.cast("long"), b.cast("long")
+    x, y = (0, 1), (1, 1)  # coefficients of (a, b) after the first step
+    result, n, slowest = None, 1, (1, 0)  # (1, 0) needs the most steps
+    while True:
+        reached = ((x[0] * a + x[1] * b) >= bound) | ((y[0] * a + y[1] * b) >= bound)
+        result = F.when(reached, n) if result is None else result.when(reached, n)
+        if max(x[0] * slowest[0] + x[1] * slowest[1], y[0] * slowest[0] + y[1] * slowest[1]) >= bound:
+            return result
+        x, y, n = y, (x[0] + y[0], x[1] + y[1]), n + 1
 
 
 def iterate_until(
@@ -65,9 +62,9 @@ def window_linear_models(df: DataFrame, ts: str, size: str, x: str, y: str) -> D
 
     A window's model becomes usable at the window's end.
     """
-    sums = df.groupBy(F.window(ts, size).alias("window")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"),
-        F.sum(F.col(x) * F.col(x)).alias("sxx"), F.sum(F.col(x) * F.col(y)).alias("sxy"))
+    sums = tumbling_totals(df, ts, [], size, {
+        "n": F.count(F.lit(1)), "sx": F.sum(x), "sy": F.sum(y),
+        "sxx": F.sum(F.col(x) * F.col(x)), "sxy": F.sum(F.col(x) * F.col(y))})
     spread = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
     common = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
     slope = F.when(spread != 0, common.cast("double") / spread.cast("double")).otherwise(0.0)

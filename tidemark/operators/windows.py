@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.plans.ordered import row_numbers, running
-from tidemark.plans.panes import sliding_totals
+from tidemark.plans.panes import sliding_totals, tumbling_totals
 from tidemark.plans.timing import instant, micros, plain, position, window_end
 
 
@@ -25,8 +25,7 @@ def tumbling(
     **aggs: Column,
 ) -> DataFrame:
     """Aggregates per key and tumbling window; partial aggregation runs map-side."""
-    return df.groupBy(F.window(ts, size, startTime=offset).alias("window"), *keys).agg(
-        *[agg.alias(name) for name, agg in aggs.items()])
+    return tumbling_totals(df, ts, keys, size, aggs, offset)
 
 
 def sliding(

@@ -1,4 +1,9 @@
-"""Sliding windows by panes.
+"""Tumbling and sliding windows.
+
+On batch input the grouping key is the window's start as a plain number, which
+hashes and sorts faster than a window struct; the ``window`` struct column is put
+together after the aggregation.  Streams group by ``F.window``, whose metadata
+the watermark needs.
 
 A direct sliding window copies each input row ``size / slide`` times before the
 first aggregation.  Here rows are first aggregated per pane (a tumbling window
@@ -12,7 +17,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.plans.timing import micros
+from tidemark.plans.timing import floor_div, instant, micros, position
+
+START = "_start"
+
+
+def _start(ts: str, size: int, offset: int = 0) -> Column:
+    pos = position(ts)
+    return pos - F.pmod(pos - F.lit(offset), F.lit(size))
+
+
+def _with_window(df: DataFrame, size: int, rest: Sequence[str]) -> DataFrame:
+    window = F.struct(
+        instant(START).alias("start"), instant(F.col(START) + F.lit(size)).alias("end"))
+    return df.select(window.alias("window"), *rest)
+
+
+def tumbling_totals(
+    df: DataFrame, ts: str, keys: Sequence[str], size: str, aggs: dict[str, Column],
+    offset: str | None = None,
+) -> DataFrame:
+    """Any aggregates per key and tumbling window."""
+    columns = [agg.alias(name) for name, agg in aggs.items()]
+    if df.isStreaming:
+        return df.groupBy(F.window(ts, size, startTime=offset).alias("window"), *keys).agg(*columns)
+    width = micros(size)
+    grouped = df.filter(F.col(ts).isNotNull()).groupBy(
+        _start(ts, width, micros(offset or 0)).alias(START), *keys).agg(*columns)
+    return _with_window(grouped, width, [*keys, *aggs])
 
 
 def sliding_totals(
@@ -26,16 +58,22 @@ def sliding_totals(
     watermark on ``ts`` and use append mode.
     """
     keys = list(keys)
-    if micros(size) % micros(slide):
+    width, step = micros(size), micros(slide)
+    if width % step:
         raise ValueError("window size must be a multiple of the slide")
-    panes = df.groupBy(F.window(ts, slide).alias("_pane"), *keys).agg(
-        *[agg.alias(name) for name, agg in totals.items()])
-    if not df.isStreaming and keys:
+    columns = [agg.alias(name) for name, agg in totals.items()]
+    sums = [F.sum(name).alias(name) for name in totals]
+    if df.isStreaming:
+        panes = df.groupBy(F.window(ts, slide).alias("_pane"), *keys).agg(*columns)
+        moved = panes.withColumn("_at", F.window_time("_pane")).drop("_pane")
+        return moved.groupBy(F.window("_at", size, slide).alias("window"), *keys).agg(*sums)
+    panes = df.filter(F.col(ts).isNotNull()).groupBy(
+        floor_div(position(ts), step).alias("_pane"), *keys).agg(*columns)
+    if keys:
         # One copy of each pane total is shuffled by key; the spread over the
         # windows and the final sum then run inside that partitioning.
         panes = panes.repartition(*keys)
-    moved = panes.withColumn("_at", F.window_time("_pane")).drop("_pane")
-    return (
-        moved.groupBy(F.window("_at", size, slide).alias("window"), *keys)
-        .agg(*[F.sum(name).alias(name) for name in totals])
-    )
+    starts = F.transform(
+        F.sequence(F.col("_pane") - (width // step - 1), F.col("_pane")), lambda p: p * step)
+    spread = panes.select(F.explode(starts).alias(START), *keys, *totals)
+    return _with_window(spread.groupBy(START, *keys).agg(*sums), width, [*keys, *totals])
