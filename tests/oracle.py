@@ -63,16 +63,20 @@ def main(argv: list[str]) -> int:
     import __spark_entry__ as entry
     from tidemark.session import build_session
 
-    sf = argv[0] if argv else "0.01"
+    sf = next((a for a in argv if a.startswith("0")), "0.01")
     sf_dir = f"/root/testdata/sf{sf}"
     spark = build_session(
         "oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
                                  "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
+    if "--buckets" in argv:  # cut even small tables into many buckets
+        argv.remove("--buckets")
+        spark.conf.set("tidemark.rowsPerBucket", "400")
     con, bad = duck(sf_dir), 0
+    wanted = [a for a in argv if not a.startswith("0")]
     oracles = entry.oracle_sql()
     for name, run in entry.queries().items():
-        if argv[1:] and not any(fnmatch(name, a) for a in argv[1:]):
+        if wanted and not any(fnmatch(name, a) for a in wanted):
             continue
         started = time.time()
         try:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.jobs.registry import DAY, EVENTS, HOUR, MINUTE, WIDTH, events, query, table, tumble_sql
+from tidemark.jobs.registry import DAY, EVENTS, HOUR, MINUTE, events, query, table, tumble_sql
 from tidemark.jobs.windows import sliding_starts
 from tidemark.operators import aggregates as a
 from tidemark.operators import distinct as d
@@ -30,7 +30,7 @@ SELECT event_id, user_id, ts, (sum(cents) OVER (PARTITION BY user_id ORDER BY po
 FROM ev""")
 def rolling_sum(spark, sf_dir):
     rows = events(spark, sf_dir).select("event_id", "user_id", "ts", "pos", "cents")
-    out = a.rolling_sum(rows, ["user_id"], ["pos", "event_id"], "cents", WIDTH)
+    out = a.rolling_sum(rows, ["user_id"], ["pos", "event_id"], "cents")
     return out.select("event_id", "user_id", plain("ts").alias("ts"), "rolling_sum")
 
 
@@ -57,7 +57,7 @@ def window_collect(spark, sf_dir):
     item = F.concat_ws("=", "event_type", F.col("cents").cast("string"))
     return a.collect_window_text(
         events(spark, sf_dir).select("user_id", "event_id", "ts", "pos", "event_type", "cents"),
-        "ts", "1 day", ["user_id"], ["pos", "event_id"], item, "6 hours", per_part=3)
+        "ts", "1 day", ["user_id"], ["pos", "event_id"], item, per_part=3)
 
 
 @query("count_by_channel_behavior", f"""
@@ -165,7 +165,7 @@ SELECT pos, event_id, item, '+' AS op, n AS cnt FROM n
 UNION ALL SELECT pos, event_id, item, '-', n - 1 FROM n WHERE n > 1""")
 def retract_changelog_counts(spark, sf_dir):
     rows = events(spark, sf_dir).select("pos", "event_id", "item")
-    return a.changelog_counts(rows, "item", ["pos", "event_id"], WIDTH)
+    return a.changelog_counts(rows, "item", ["pos", "event_id"])
 
 
 @query("observed_counts")

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.jobs.registry import DAY, EVENTS, HOUR, WIDTH, events, query
+from tidemark.jobs.registry import DAY, EVENTS, HOUR, events, query
 from tidemark.operators import automaton
 from tidemark.operators import detection as d
 from tidemark.operators import patterns as p
@@ -43,7 +43,7 @@ FROM n WHERE event_type = 'signup'""")
 def pattern_next_within(spark, sf_dir):
     orders = slim(spark, sf_dir).filter("event_type IN ('signup', 'purchase')")
     out = p.next_within(orders, ["user_id"], ORDER, is_type("signup"), is_type("purchase"),
-                        "10 hours", "5 days", ["event_id"])
+                        "10 hours", ["event_id"])
     return out.select("user_id", "event_id", "status", "next_event_id")
 
 
@@ -53,7 +53,7 @@ SELECT user_id, event_id, make_timestamp(pos + {HOUR}) AS timeout_at
 FROM n WHERE event_type = 'signup' AND (np IS NULL OR np - pos >= {HOUR})""")
 def pattern_timeout(spark, sf_dir):
     ended = F.col("event_type").isin("purchase", "view")
-    out = p.next_within(slim(spark, sf_dir), ["user_id"], ORDER, is_type("signup"), ended, "1 hour", WIDTH, [])
+    out = p.next_within(slim(spark, sf_dir), ["user_id"], ORDER, is_type("signup"), ended, "1 hour", [])
     return out.filter(F.col("status") == p.TIMEOUT).select(
         "user_id", "event_id", plain(instant(F.col("pos") + F.lit(HOUR))).alias("timeout_at"))
 
@@ -67,7 +67,7 @@ f AS (SELECT s.user_id, s.event_id, s.pos, arg_min(b.event_id, (b.pos, b.event_i
 SELECT user_id, event_id, CASE WHEN nid IS NULL THEN 'timeout' ELSE 'matched' END AS status, nid AS next_event_id FROM f""")
 def pattern_followed_by(spark, sf_dir):
     out = p.followed_by(slim(spark, sf_dir), ["user_id"], ORDER, is_type("signup"), is_type("purchase"),
-                        "15 hours", "5 days", ["event_id"])
+                        "15 hours", ["event_id"])
     return out.select("user_id", "event_id", "status", "next_event_id")
 
 
@@ -90,7 +90,7 @@ LOGINS_ONLY = "WHERE event_type IN ('signup', 'error')"
 def login_pairs(spark, sf_dir):
     logins = slim(spark, sf_dir).filter("event_type IN ('signup', 'error')")
     out = p.next_within(logins, ["user_id"], ORDER, is_type("error"), is_type("error"),
-                        "3 hours", WIDTH, ["event_id", "pos"])
+                        "3 hours", ["event_id", "pos"])
     return out.filter(F.col("status") == p.MATCHED)
 
 
@@ -118,7 +118,7 @@ SELECT user_id, event_id, nid AS next_event_id
 FROM n WHERE event_type = 'error' AND nt = 'signup' AND np - pos < {10 * HOUR}""")
 def pattern_fail_then_success(spark, sf_dir):
     out = p.next_within(slim(spark, sf_dir), ["user_id"], ORDER, is_type("error"), is_type("signup"),
-                        "10 hours", "5 days", ["event_id"])
+                        "10 hours", ["event_id"])
     return out.filter(F.col("status") == p.MATCHED).select("user_id", "event_id", "next_event_id")
 
 
@@ -142,7 +142,7 @@ SELECT user_id, first_ids, second_ids FROM y WHERE stop - start < {5 * DAY}"""
 def pattern_times(spark, sf_dir):
     return p.times_then_times(
         slim(spark, sf_dir), ["user_id"], ORDER, "event_id", is_type("view"), (2, 3),
-        is_type("purchase"), (1, 2), "5 days", "10 days")
+        is_type("purchase"), (1, 2), "5 days")
 
 
 @query("escalation_alarm", f"""
@@ -153,7 +153,7 @@ al AS (SELECT *, lead(warned) OVER k AS nw, lead(event_id) OVER k AS nid FROM wn
 SELECT user_id, event_id, nid AS next_event_id, make_timestamp(nw) AS alarm_at FROM al WHERE nw - warned < {30 * HOUR}""")
 def escalation_alarm(spark, sf_dir):
     readings = events(spark, sf_dir).select("user_id", "event_id", "pos", "cents")
-    out = p.escalation(readings, ["user_id"], ORDER, F.col("cents") > 1500, "10 hours", "30 hours", "10 days")
+    out = p.escalation(readings, ["user_id"], ORDER, F.col("cents") > 1500, "10 hours", "30 hours")
     return out.select("user_id", "event_id", "next_event_id", plain(instant("next_warned")).alias("alarm_at"))
 
 
@@ -183,7 +183,7 @@ n AS (SELECT c.user_id, c.event_id, c.pos, count(e.event_id) AS fails
 SELECT user_id, event_id, fails, make_timestamp(pos + {6 * HOUR}) AS alert_at FROM n WHERE fails >= 2""")
 def login_fail_timer(spark, sf_dir):
     logins = slim(spark, sf_dir).filter("event_type IN ('error', 'signup')")
-    out = d.fails_at_timer(logins, ["user_id"], "pos", is_type("error"), is_type("signup"), "6 hours", WIDTH)
+    out = d.fails_at_timer(logins, ["user_id"], "pos", is_type("error"), is_type("signup"), "6 hours")
     return out.select("user_id", "event_id", "fails", plain("alert_at").alias("alert_at"))
 
 
@@ -226,7 +226,7 @@ s AS (SELECT user_id, pos, event_id, unnest(generate_series(pos + {5 * HOUR}, co
       FROM n WHERE event_type = 'error')
 SELECT user_id, event_id, (fire - pos) // {5 * HOUR} AS alert_no, make_timestamp(fire) AS alert_at FROM s""")
 def offline_alerts(spark, sf_dir):
-    out = d.offline_alerts(slim(spark, sf_dir), ["user_id"], ORDER, is_type("error"), "5 hours", WIDTH)
+    out = d.offline_alerts(slim(spark, sf_dir), ["user_id"], ORDER, is_type("error"), "5 hours")
     return out.select("user_id", "event_id", "alert_no", plain("alert_at").alias("alert_at"))
 
 
@@ -247,7 +247,7 @@ SELECT t.user_id, make_timestamp(t.pos) AS rise_at, make_timestamp(t.pos + {4 *
 FROM t JOIN u ON u.user_id = t.user_id AND u.seg = t.seg WHERE t.pos + {4 * HOUR} < u.until""")
 def rising_trend_alert(spark, sf_dir):
     rows = events(spark, sf_dir).select("user_id", "event_id", "pos", "cents")
-    out = d.rising_trends(rows, ["user_id"], ORDER, "cents", "4 hours", WIDTH)
+    out = d.rising_trends(rows, ["user_id"], ORDER, "cents", "4 hours")
     return out.select("user_id", plain(instant("pos")).alias("rise_at"), plain("alert_at").alias("alert_at"))
 
 
@@ -268,8 +268,8 @@ GROUP BY f.user_id, f.event_id, f.dist""")
 def delta_trigger_max(spark, sf_dir):
     """Each further 80 units of a user's accumulated value: the largest event of the last day."""
     rows = events(spark, sf_dir).select("user_id", "event_id", "pos", "cents")
-    moved = running(rows, ["user_id"], ORDER, {"distance": ("cents", "sum")}, WIDTH)
-    out = d.delta_trigger(moved, ["user_id"], ORDER, "distance", 8000, "cents", "1 day", "5 days")
+    moved = running(rows, ["user_id"], ORDER, {"distance": ("cents", "sum")})
+    out = d.delta_trigger(moved, ["user_id"], ORDER, "distance", 8000, "cents", "1 day")
     return out.select("user_id", "event_id", "distance", "best_event_id", "best_cents")
 
 
@@ -304,7 +304,7 @@ SELECT user_id, event_id, event, was AS state FROM m WHERE NOT legal"""
 @query("state_machine_alerts", MACHINE_SQL)
 def state_machine_alerts(spark, sf_dir):
     rows = with_symbols(slim(spark, sf_dir))
-    out = automaton.alerts(rows, ["user_id"], ORDER, "event", WIDTH)
+    out = automaton.alerts(rows, ["user_id"], ORDER, "event")
     return out.select("user_id", "event_id", "event", "state")
 
 
@@ -312,5 +312,5 @@ def state_machine_alerts(spark, sf_dir):
 def state_machine_alerts_chunked(spark, sf_dir):
     """The same alerts with sequences cut into chunks of four, so that state maps are scanned over three levels."""
     rows = with_symbols(slim(spark, sf_dir))
-    out = automaton.alerts(rows, ["user_id"], ORDER, "event", WIDTH, chunk=4)
+    out = automaton.alerts(rows, ["user_id"], ORDER, "event", chunk=4)
     return out.select("user_id", "event_id", "event", "state")

@@ -178,7 +178,7 @@ def broadcast_keyword_filter(spark, sf_dir):
         F.min_by("text", "turn").alias("text")).select(
         "conv_id", F.lower(F.split_part("text", F.lit(" "), F.lit(1))).alias("keyword"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return j.keyword_filter(docs, talks, ["doc_id"], "conv_id", "keyword", "text", "java", 1000).select(
+    return j.keyword_filter(docs, talks, ["doc_id"], "conv_id", "keyword", "text", "java").select(
         "doc_id", "keyword")
 
 
@@ -205,4 +205,4 @@ def asof_join(spark, sf_dir):
         "user_id", F.col("pos").alias("view_pos"), F.col("event_id").alias("view_id"),
         F.col("cents").alias("view_cents"))
     return asof_latest(buys, views, ["user_id"], ["pos", "event_id"], "view_pos",
-                       ["view_id", "view_cents"], "1 day", ["view_id"]).drop("pos")
+                       ["view_id", "view_cents"], right_tie=["view_id"]).drop("pos")

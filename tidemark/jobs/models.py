@@ -43,7 +43,7 @@ FROM ev ASOF LEFT JOIN mo ON pos >= model_pos""")
 def window_model_predict(spark, sf_dir):
     rows = events(spark, sf_dir).select("event_id", "ts", "pos", "item", "cents")
     models = staged(m.window_linear_models(rows, "ts", "1 day", "item", "cents"), "models")
-    scored = m.score_with_latest(rows, models, ["pos", "event_id"], "item", "1 day")
+    scored = m.score_with_latest(rows, models, ["pos", "event_id"], "item")
     return scored.select("event_id", plain("model_at").alias("model_at"),
                          F.round("prediction", 4).alias("prediction"))
 

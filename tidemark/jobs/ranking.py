@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.jobs.registry import DAY, EVENTS, HOUR, MINUTE, WIDTH, events, query, table
+from tidemark.jobs.registry import DAY, EVENTS, HOUR, MINUTE, events, query, table
 from tidemark.jobs.routing import WORDS
 from tidemark.jobs.windows import LATE_SQL, delayed_and_routed, sliding_starts
 from tidemark.operators import ranking as r
@@ -135,7 +135,7 @@ FROM l WHERE event_type = 'error' AND pt = 'error' AND pos - pp < {4 * HOUR}""")
 def login_fail_consecutive(spark, sf_dir):
     logins = events(spark, sf_dir).filter("event_type IN ('error', 'signup')").select(
         "user_id", "event_id", "event_type", "pos")
-    hits = r.previous_within(logins, ["user_id"], ["pos", "event_id"], "event_type", "error", "4 hours", WIDTH)
+    hits = r.previous_within(logins, ["user_id"], ["pos", "event_id"], "event_type", "error", "4 hours")
     return hits.select(
         "user_id", "event_id", plain(F.timestamp_micros("prev_pos")).alias("first_fail"),
         plain(F.timestamp_micros("pos")).alias("second_fail"))
@@ -146,7 +146,7 @@ WITH {EVENTS}, l AS (SELECT *, lag(cents) OVER (PARTITION BY user_id ORDER BY po
 SELECT user_id, event_id, prev AS prev_cents, cents FROM l WHERE prev <> 0 AND abs(prev - cents) > 3000""")
 def value_jump_alert(spark, sf_dir):
     rows = events(spark, sf_dir).select("user_id", "event_id", "pos", "cents")
-    return r.value_jumps(rows, ["user_id"], ["pos", "event_id"], "cents", 3000, WIDTH).drop("pos")
+    return r.value_jumps(rows, ["user_id"], ["pos", "event_id"], "cents", 3000).drop("pos")
 
 
 @query("keep_first", f"""

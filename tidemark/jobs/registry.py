@@ -15,9 +15,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-# Bucket length of ordered scans over the event table.
-WIDTH = "1 day"
-
 # Position in SQL: microseconds since the epoch.
 POS = "epoch_us(ts)"
 

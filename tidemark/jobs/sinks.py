@@ -46,7 +46,7 @@ FROM n""")
 def wide_column_puts(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     line = F.concat_ws("::", "o_orderkey", "o_custkey", "o_orderstatus")
-    puts = batched.wide_column_puts(orders, ["o_orderkey"], line, ["order", "cust", "status"], 100, 5000)
+    puts = batched.wide_column_puts(orders, ["o_orderkey"], line, ["order", "cust", "status"], 100)
     return puts.select("o_orderkey", "rowkey", "batch_no", F.col("columns")["cust"].alias("cust"),
                        F.col("columns")["status"].alias("status"))
 

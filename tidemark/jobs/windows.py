@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.jobs.registry import DAY, EVENTS, HOUR, MINUTE, WIDTH, events, query, table, tumble_sql
+from tidemark.jobs.registry import DAY, EVENTS, HOUR, MINUTE, events, query, table, tumble_sql
 from tidemark.operators import windows as w
 from tidemark.plans.timing import plain
 
@@ -81,7 +81,7 @@ SELECT window_no, count(*) AS n, sum(cents)::BIGINT AS cents, min(event_id) AS f
 FROM n GROUP BY window_no""")
 def count_window(spark, sf_dir):
     rows = events(spark, sf_dir).select("event_id", "pos", "cents")
-    return w.count_windows(rows, ["pos", "event_id"], 100, WIDTH).groupBy("window_no").agg(
+    return w.count_windows(rows, ["pos", "event_id"], 100).groupBy("window_no").agg(
         F.count(F.lit(1)).alias("n"), F.sum("cents").alias("cents"),
         F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
 
@@ -113,7 +113,7 @@ routed AS (SELECT *, CASE WHEN (pos // {10 * MINUTE} + 1) * {10 * MINUTE} - 1 >
 def delayed_and_routed(spark, sf_dir):
     """Events replayed out of order, marked by how late they are for their 10-minute window."""
     delayed = events(spark, sf_dir).withColumn("arrival", F.expr(ARRIVAL))
-    return w.route_late(delayed, "ts", ["arrival", "event_id"], "10 minutes", "1 minute", "30 minutes", WIDTH)
+    return w.route_late(delayed, "ts", ["arrival", "event_id"], "10 minutes", "1 minute", "30 minutes")
 
 
 @query("late_data_split", f"""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.windows import tumbling
+from tidemark.plans.buckets import Width
 from tidemark.plans.ordered import row_numbers, running
 from tidemark.plans.timing import plain, position
 
@@ -23,7 +24,7 @@ def reduce_window(
 
 
 def rolling_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, width: str | int,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, width: Width = None,
     name: str = "rolling_sum",
 ) -> DataFrame:
     """Running sum per key, one output row per input row."""
@@ -32,7 +33,7 @@ def rolling_sum(
 
 def collect_window_text(
     df: DataFrame, ts: str, size: str, keys: Sequence[str], order: Sequence[str], item: Column,
-    width: str | int, per_part: int = 1000, sep: str = ";",
+    width: Width = None, per_part: int = 1000, sep: str = ";",
 ) -> DataFrame:
     """Window contents as ordered text.
 
@@ -56,7 +57,7 @@ def collect_window_text(
 
 
 def changelog_counts(
-    df: DataFrame, key: str, order: Sequence[str], width: str | int,
+    df: DataFrame, key: str, order: Sequence[str], width: Width = None,
 ) -> DataFrame:
     """Running count per key as a retract log.
 

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.buckets import Width
 from tidemark.plans.ordered import row_numbers
 from tidemark.plans.staging import staged
 
@@ -59,7 +60,7 @@ class Machine:
 
 
 def alerts(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], event: str, width: str | int,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], event: str, width: Width = None,
     machine: Machine = Machine(), chunk: int = 2000,
 ) -> DataFrame:
     """Events that are illegal in the key's state at that moment, with that state."""

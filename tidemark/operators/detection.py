@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import top_n
+from tidemark.plans.buckets import Width, buckets_for
 from tidemark.plans.ordered import in_bucket, overlap, running, settle, with_next, with_previous
 from tidemark.plans.segments import SEGMENT, chain_rows, with_segments
 from tidemark.plans.staging import staged
@@ -47,7 +48,7 @@ def order_outcomes(
 
 def fails_at_timer(
     df: DataFrame, keys: Sequence[str], pos: str, is_fail: Column, is_clear: Column,
-    wait: str, width: str | int, at_least: int = 2,
+    wait: str, width: Width = None, at_least: int = 2,
 ) -> DataFrame:
     """Failed logins counted by a timer ``wait`` after each failure.
 
@@ -96,7 +97,7 @@ def blacklist(
 
 def offline_alerts(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], is_offline: Column, every: str,
-    width: str | int,
+    width: Width = None,
 ) -> DataFrame:
     """Alerts ``every`` after an offline message and again until the next message.
 
@@ -118,7 +119,7 @@ def offline_alerts(
 
 def rising_trends(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, hold: str,
-    width: str | int,
+    width: Width = None,
 ) -> DataFrame:
     """Alert when a value has not decreased for ``hold`` after it began to rise.
 
@@ -126,7 +127,8 @@ def rising_trends(
     of zero, cancels it.  After an alert the next rise starts a new timer.
     """
     pos, wait = order[0], micros(hold)
-    seen = with_previous(df, keys, order, [value], width)
+    buckets = buckets_for(df, pos, width)
+    seen = with_previous(df, keys, order, [value], buckets)
     before = F.col(f"prev_{value}")
     reset = before.isNull() | (before > F.col(value)) | (before == 0)
     # A timer lives until the next reset row.  Scanned backwards, that row is the
@@ -136,7 +138,7 @@ def rising_trends(
                     F.when(reset, F.col(pos)).alias("_reset_at"), (-F.col(pos)).alias("_back"),
                     *[(-F.col(c)).alias(f"_back_{c}") for c in order[1:]]), "rising")
     backwards = ["_back", *[f"_back_{c}" for c in order[1:]]]
-    ahead = running(marked, keys, backwards, {SEGMENT: ("_reset_at", "last")}, width)
+    ahead = running(marked, keys, backwards, {SEGMENT: ("_reset_at", "last")}, buckets.mirrored())
     horizon = F.broadcast(df.agg((F.max(pos) + 1).alias("_end")))  # one row
     rises = ahead.filter("_rise").crossJoin(horizon).select(
         *keys, *order, F.coalesce(SEGMENT, "_end").alias(SEGMENT))
@@ -147,7 +149,7 @@ def rising_trends(
 
 def delta_trigger(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], progress: str, threshold: int,
-    measure: str, last: str, width: str | int, keep: Sequence[str] = (),
+    measure: str, last: str, width: Width = None, keep: Sequence[str] = (),
 ) -> DataFrame:
     """Fire whenever ``progress`` has grown by more than ``threshold`` since the last firing.
 
@@ -157,20 +159,21 @@ def delta_trigger(
     scan restarts there and the stretches run in parallel.
     """
     pos = order[0]
+    buckets = buckets_for(df, pos, width, apart=8 * micros(last))
     # The evictor's view is a bounded look back: the best row is known before any firing.
     recent = in_bucket(keys, pos).rangeBetween(-(micros(last) - 1), Window.currentRow)
     fields = list(dict.fromkeys([*order, *keep, measure]))
     # The earliest of the rows that share the largest measure.
     rank = F.struct(F.col(measure), *[(-F.col(c)).alias(f"_{c}") for c in order])
-    best = settle(overlap(df, pos, width, behind=last).withColumn(
+    best = settle(overlap(df, pos, buckets, behind=last).withColumn(
         "_best", F.max_by(F.struct(*fields), rank).over(recent)))
     flat = staged(best.select(
         *keys, *order, progress, *[F.col(f"_best.{f}").alias(f"best_{f}") for f in fields]), "recent-best")
-    seen = staged(with_previous(flat, keys, order, [progress], width), "delta")
+    seen = staged(with_previous(flat, keys, order, [progress], buckets), "delta")
     before = F.col(f"prev_{progress}")
     jumped = F.col(progress) - before > F.lit(threshold)
     cut = with_segments(seen.withColumn("_first", before.isNull()), keys, order,
-                        before.isNull() | jumped, width)
+                        before.isNull() | jumped, buckets)
     # The very first row of a key only sets the level.
     return chain_rows(cut, keys, order, progress, threshold).filter("NOT _first").drop(
         "_first", f"prev_{progress}", SEGMENT)

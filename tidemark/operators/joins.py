@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.buckets import Width
 from tidemark.plans.ordered import asof_latest
 from tidemark.plans.skew import broadcast_if_small, salted_join
 from tidemark.plans.timing import floor_div, micros, position
@@ -137,7 +138,7 @@ def map_lookup(df: DataFrame, entries: DataFrame, column: str, value: str) -> Da
 
 def keyword_filter(
     messages: DataFrame, keywords: DataFrame, order: Sequence[str], keyword_pos: str,
-    keyword: str, text: str, initial: str, width: str | int,
+    keyword: str, text: str, initial: str, width: Width = None,
 ) -> DataFrame:
     """Messages containing the newest keyword at their time (``initial`` before the first)."""
     tagged = asof_latest(messages, keywords, [], order, keyword_pos, [keyword], width)

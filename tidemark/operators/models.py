@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.buckets import Width
 from tidemark.plans.ordered import asof_latest
 from tidemark.plans.panes import tumbling_totals
 from tidemark.plans.timing import instant, position
@@ -74,7 +75,7 @@ def window_linear_models(df: DataFrame, ts: str, size: str, x: str, y: str) -> D
 
 
 def score_with_latest(
-    df: DataFrame, models: DataFrame, order: Sequence[str], x: str, width: str | int,
+    df: DataFrame, models: DataFrame, order: Sequence[str], x: str, width: Width = None,
 ) -> DataFrame:
     """Score each row with the newest model at its time (null before the first)."""
     tagged = asof_latest(df, models, [], order, "model_pos", ["model_pos", "slope", "intercept"], width)

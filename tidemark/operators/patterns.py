@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import interval_join
+from tidemark.plans.buckets import Width, buckets_for
 from tidemark.plans.ordered import BUCKET, in_bucket, overlap, settle
 from tidemark.plans.timing import micros
 
@@ -23,7 +24,7 @@ MATCHED, TIMEOUT, BROKEN = "matched", "timeout", "broken"
 
 def next_within(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], first: Column, second: Column,
-    within: str, width: str | int, carry: Sequence[str],
+    within: str, carry: Sequence[str], width: Width = None,
 ) -> DataFrame:
     """``first`` immediately followed by ``second`` within the limit.
 
@@ -54,7 +55,7 @@ def next_within(
 
 def followed_by(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], first: Column, second: Column,
-    within: str, width: str | int, carry: Sequence[str],
+    within: str, carry: Sequence[str], width: Width = None,
 ) -> DataFrame:
     """``first`` followed, with anything between, by the first later ``second`` in time.
 
@@ -95,7 +96,7 @@ def flat(df: DataFrame, *steps: Column) -> DataFrame:
 def times_then_times(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], event_id: str,
     first: Column, first_times: tuple[int, int], second: Column, second_times: tuple[int, int],
-    within: str, width: str | int,
+    within: str, width: Width = None,
 ) -> DataFrame:
     """``first`` x(min..max), then at once ``second`` x(min..max), all within the limit.
 
@@ -141,14 +142,15 @@ def times_then_times(
 
 def escalation(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], over: Column, warn_within: str,
-    alarm_within: str, width: str | int,
+    alarm_within: str, width: Width = None,
 ) -> DataFrame:
     """Two-level alarm: two over-limit events in a row make a warning, two warnings in a row an alarm."""
     pos, tie = order[0], list(order[1:])
-    pairs = next_within(df, keys, order, over, over, warn_within, width, list(order))
+    buckets = buckets_for(df, pos, width, apart=8 * max(micros(warn_within), micros(alarm_within)))
+    pairs = next_within(df, keys, order, over, over, warn_within, list(order), buckets)
     warnings = pairs.filter(F.col("status") == MATCHED).select(
         *keys, *order, F.col(f"next_{pos}").alias("warned"))
     alarms = next_within(
-        warnings, keys, ["warned", pos, *tie], F.lit(True), F.lit(True), alarm_within, width,
-        ["warned", *tie])
+        warnings, keys, ["warned", pos, *tie], F.lit(True), F.lit(True), alarm_within,
+        ["warned", *tie], buckets)
     return alarms.filter(F.col("status") == MATCHED)

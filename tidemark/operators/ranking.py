@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.buckets import Width
 from tidemark.plans.ordered import in_bucket, overlap, settle, with_previous
 from tidemark.plans.timing import micros
 
@@ -43,7 +44,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 def previous_within(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], event: str, wanted: str,
-    within: str, width: str | int, keep: Sequence[str] = (),
+    within: str, width: Width = None, keep: Sequence[str] = (),
 ) -> DataFrame:
     """Rows of type ``wanted`` whose previous row of the key is also ``wanted``
     and less than ``within`` earlier."""
@@ -62,7 +63,7 @@ def previous_within(
 
 def value_jumps(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, threshold: float,
-    width: str | int,
+    width: Width = None,
 ) -> DataFrame:
     """Rows whose value differs from the key's previous value by more than ``threshold``.
 

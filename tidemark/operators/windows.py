@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.buckets import Width
 from tidemark.plans.ordered import row_numbers, running
 from tidemark.plans.panes import sliding_totals, tumbling_totals
 from tidemark.plans.timing import instant, micros, plain, position, window_end
@@ -42,7 +43,7 @@ def sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str], **aggs: Colu
 
 
 def count_windows(
-    df: DataFrame, order: Sequence[str], n: int, width: str | int, keys: Sequence[str] = (),
+    df: DataFrame, order: Sequence[str], n: int, width: Width = None, keys: Sequence[str] = (),
 ) -> DataFrame:
     """Number rows into consecutive windows of ``n`` elements (``window_no`` from 0)."""
     numbered = row_numbers(df, keys, order, width, "_rn")
@@ -77,7 +78,7 @@ def early_fire_sums(
 
 def route_late(
     df: DataFrame, ts: str, arrival: Sequence[str], size: str, bound: str, lateness: str,
-    width: str | int,
+    width: Width = None,
 ) -> DataFrame:
     """Mark each row ``on_time``, ``late_accepted`` or ``late`` for its tumbling window.
 

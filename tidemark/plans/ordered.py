@@ -2,18 +2,19 @@
 
 A window function over ``PARTITION BY key ORDER BY time`` sorts everything a
 key owns in a single task.  When one key holds a third of the table that task
-never ends.  The scans here cut every key into time buckets and run the window
-function per ``(key, bucket)``:
+never ends.  The scans here cut the time axis into buckets (see ``buckets``) and
+run the window function per ``(key, bucket)``:
 
 * ``with_previous`` / ``with_next`` / ``running`` need information from other
   buckets.  That is one small row per ``(key, bucket)``, aggregated map-side,
   scanned per key, and handed to the bucket it concerns as an extra row.  A key
-  has at most ``time span / width`` buckets, however many rows it owns.
+  has at most as many of these rows as there are buckets.
 * ``overlap`` is for operators that only look a bounded distance around a row:
   rows near a bucket border are copied into the neighbouring bucket, and
   nothing else crosses buckets.
 
-Both are exact.  ``width`` only moves work between tasks.
+Both are exact.  ``width`` (a duration, ready-made buckets, or ``None`` to
+measure the data) only moves work between tasks.
 """
 
 from __future__ import annotations
@@ -22,22 +23,24 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.plans.timing import floor_div, micros
+from tidemark.plans.buckets import Width, buckets_for
+from tidemark.plans.timing import micros
 
 BUCKET = "_bucket"
 CARRIED = "_carried"
 
 
-def _bucketed(df: DataFrame, pos: str, width: str | int) -> DataFrame:
-    return df.withColumn(BUCKET, floor_div(pos, micros(width)))
-
-
 def _neighbour(df, keys, order, values, width, prefix, forward: bool) -> DataFrame:
     keys, order, values = list(keys), list(order), list(values)
-    rows = _bucketed(df, order[0], width)
+    buckets = buckets_for(df, order[0], width)
+    shift = F.lead if forward else F.lag
+    if buckets.single:
+        whole = Window.partitionBy(*keys).orderBy(*order)
+        return df.select("*", *[shift(v).over(whole).alias(prefix + v) for v in values])
+    rows = buckets.assign(df, order[0], BUCKET)
     fields = list(dict.fromkeys([*order, *values]))
     pick = F.min_by if forward else F.max_by
     edge = rows.groupBy(*keys, BUCKET).agg(
@@ -53,7 +56,6 @@ def _neighbour(df, keys, order, values, width, prefix, forward: bool) -> DataFra
     )
     both = rows.withColumn(CARRIED, F.lit(False)).unionByName(handed, allowMissingColumns=True)
     scan = Window.partitionBy(*keys, BUCKET).orderBy(*order)
-    shift = F.lead if forward else F.lag
     return (
         both.select("*", *[shift(v).over(scan).alias(prefix + v) for v in values])
         .filter(~F.col(CARRIED))
@@ -63,7 +65,7 @@ def _neighbour(df, keys, order, values, width, prefix, forward: bool) -> DataFra
 
 def with_previous(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
-    width: str | int, prefix: str = "prev_",
+    width: Width = None, prefix: str = "prev_",
 ) -> DataFrame:
     """``lag(value)`` per key for every value.
 
@@ -74,18 +76,21 @@ def with_previous(
 
 def with_next(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str],
-    width: str | int, prefix: str = "next_",
+    width: Width = None, prefix: str = "next_",
 ) -> DataFrame:
     """``lead(value)`` per key for every value."""
     return _neighbour(df, keys, order, values, width, prefix, forward=True)
 
 
-_FOLDS = {"sum": F.sum, "max": F.max, "min": F.min}
+def _fold(fold: str, column: str) -> Column:
+    if fold == "last":
+        return F.last(column, ignorenulls=True)
+    return {"sum": F.sum, "max": F.max, "min": F.min}[fold](column)
 
 
 def running(
     df: DataFrame, keys: Sequence[str], order: Sequence[str],
-    measures: dict[str, tuple[str, str]], width: str | int,
+    measures: dict[str, tuple[str, str]], width: Width = None,
 ) -> DataFrame:
     """Running aggregates from the first row of the key up to the current one.
 
@@ -93,7 +98,13 @@ def running(
     of ``sum``, ``max``, ``min`` or ``last`` (latest value that is not null).
     """
     keys, order = list(keys), list(order)
-    rows = _bucketed(df, order[0], width)
+    buckets = buckets_for(df, order[0], width)
+    if buckets.single:
+        whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        return df.select("*", *[_fold(fold, source).over(whole).alias(out)
+                                for out, (source, fold) in measures.items()])
+    rows = buckets.assign(df, order[0], BUCKET)
     for out, (source, _) in measures.items():
         rows = rows.withColumn(f"_m_{out}", F.col(source))
 
@@ -104,14 +115,10 @@ def running(
         Window.unboundedPreceding, Window.currentRow)
     for out, (_, fold) in measures.items():
         name = f"_m_{out}"
-        if fold == "last":
-            totals.append(F.max_by(name, F.when(F.col(name).isNotNull(), F.struct(*order))).alias(name))
-            carried.append(F.last(name, ignorenulls=True).over(before).alias(name))
-            folded.append(F.last(name, ignorenulls=True).over(scan).alias(out))
-        else:
-            totals.append(_FOLDS[fold](name).alias(name))
-            carried.append(_FOLDS[fold](name).over(before).alias(name))
-            folded.append(_FOLDS[fold](name).over(scan).alias(out))
+        newest = F.max_by(name, F.when(F.col(name).isNotNull(), F.struct(*order)))
+        totals.append((newest if fold == "last" else _fold(fold, name)).alias(name))
+        carried.append(_fold(fold, name).over(before).alias(name))
+        folded.append(_fold(fold, name).over(scan).alias(out))
     names = [f"_m_{out}" for out in measures]
     handed = (
         rows.groupBy(*keys, BUCKET).agg(*totals)
@@ -124,7 +131,7 @@ def running(
 
 
 def row_numbers(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], width: str | int,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], width: Width = None,
     name: str = "rn",
 ) -> DataFrame:
     """``row_number()`` per key, counted bucket by bucket."""
@@ -133,31 +140,27 @@ def row_numbers(
 
 
 def overlap(
-    df: DataFrame, pos: str, width: str | int, ahead: str | int = 0, behind: str | int = 0,
+    df: DataFrame, pos: str, width: Width = None, ahead: str | int = 0, behind: str | int = 0,
 ) -> DataFrame:
     """Assign rows to time buckets, copying those near a border.
 
     A bucket receives copies (``_carried`` = true) of the rows up to ``ahead``
     after its end and up to ``behind`` before its start.  Run the window
     function over ``(key, _bucket)`` and keep rows with ``_carried`` = false.
-    The share of copied rows is ``(ahead + behind) / width``.
+    Measured buckets are kept much longer than the reach, so few rows are copied.
     """
-    size, after, before = micros(width), micros(ahead), micros(behind)
-    if max(after, before) > size:
-        raise ValueError("bucket width must not be below the reach")
-    home = floor_div(pos, size)
-    offset = F.pmod(F.col(pos), F.lit(size))
-    copies = [F.struct(home.alias("b"), F.lit(False).alias("c"))]
-    if after:
-        copies.append(F.when(offset < after, F.struct((home - 1).alias("b"), F.lit(True).alias("c"))))
-    if before:
-        copies.append(F.when(offset >= size - before,
-                             F.struct((home + 1).alias("b"), F.lit(True).alias("c"))))
+    after, before = micros(ahead), micros(behind)
+    buckets = buckets_for(df, pos, width, apart=8 * max(after, before))
+    if buckets.single:
+        return buckets.assign(df, pos, BUCKET).withColumn(CARRIED, F.lit(False))
+    cut = buckets.assign(df, pos, BUCKET)
+    cut = buckets.assign(cut.withColumn("_low", F.col(pos) - F.lit(after)), "_low", "_from")
+    cut = buckets.assign(cut.withColumn("_high", F.col(pos) + F.lit(before)), "_high", "_to")
     return (
-        df.withColumn("_copy", F.explode(F.filter(F.array(*copies), lambda c: c.isNotNull())))
-        .withColumn(BUCKET, F.col("_copy.b"))
-        .withColumn(CARRIED, F.col("_copy.c"))
-        .drop("_copy")
+        cut.withColumn("_home", F.col(BUCKET))
+        .withColumn(BUCKET, F.explode(F.sequence("_from", "_to")))
+        .withColumn(CARRIED, F.col(BUCKET) != F.col("_home"))
+        .drop("_low", "_high", "_from", "_to", "_home")
     )
 
 
@@ -173,7 +176,7 @@ def settle(df: DataFrame) -> DataFrame:
 
 def asof_latest(
     left: DataFrame, right: DataFrame, keys: Sequence[str], left_order: Sequence[str],
-    right_pos: str, values: Sequence[str], width: str | int, right_tie: Sequence[str] = (),
+    right_pos: str, values: Sequence[str], width: Width = None, right_tie: Sequence[str] = (),
 ) -> DataFrame:
     """Attach to each left row the latest right row of its key at or before it.
 
@@ -183,6 +186,7 @@ def asof_latest(
     """
     keys, left_order = list(keys), list(left_order)
     pos = left_order[0]
+    buckets = buckets_for(left, pos, width)
     probes = left.withColumn("_side", F.lit(1)).withColumn("_tie", F.lit(""))
     builds = right.select(
         *keys, F.col(right_pos).alias(pos), F.lit(0).alias("_side"),
@@ -190,6 +194,6 @@ def asof_latest(
         F.struct(*values).alias("_right"),
     )
     both = probes.unionByName(builds, allowMissingColumns=True)
-    scanned = running(both, keys, [pos, "_side", "_tie"], {"_latest": ("_right", "last")}, width)
+    scanned = running(both, keys, [pos, "_side", "_tie"], {"_latest": ("_right", "last")}, buckets)
     return scanned.filter(F.col("_side") == 1).select(
         *left.columns, *[F.col(f"_latest.{v}").alias(v) for v in values])

@@ -71,8 +71,11 @@ def sliding_totals(
         floor_div(position(ts), step).alias("_pane"), *keys).agg(*columns)
     if keys:
         # One copy of each pane total is shuffled by key; the spread over the
-        # windows and the final sum then run inside that partitioning.
-        panes = panes.repartition(*keys)
+        # windows and the final sum then run inside that partitioning.  The
+        # partition count is explicit because adaptive merging would go by the
+        # size before the spread.
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        panes = panes.repartition(parts, *keys)
     starts = F.transform(
         F.sequence(F.col("_pane") - (width // step - 1), F.col("_pane")), lambda p: p * step)
     spread = panes.select(F.explode(starts).alias(START), *keys, *totals)

@@ -15,13 +15,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.buckets import Width
 from tidemark.plans.ordered import running
 
 SEGMENT = "_segment"
 
 
 def with_segments(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], reset: Column, width: str | int,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], reset: Column, width: Width = None,
 ) -> DataFrame:
     """Number the stretches of each key; a row where ``reset`` holds starts a new one."""
     marked = df.withColumn("_reset", F.coalesce(reset, F.lit(True)).cast("long"))

@@ -13,6 +13,7 @@ from itertools import islice
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.buckets import Width
 from tidemark.plans.ordered import row_numbers
 
 
@@ -51,7 +52,8 @@ def keyed_batches(path: str, fmt: str = "parquet"):
     return batch_writer(save)
 
 
-def wide_column_puts(df: DataFrame, order: list[str], line: Column, names: list[str], n: int, width) -> DataFrame:
+def wide_column_puts(df: DataFrame, order: list[str], line: Column, names: list[str], n: int,
+    width: Width = None) -> DataFrame:
     """Records as wide-column puts in batches of ``n``.
 
     The row key is the record with ``::`` replaced by ``_``; every field becomes
