@@ -73,18 +73,21 @@ def alerts(
 
     packed = staged(rows.groupBy(*keys, "_chunk").agg(
         F.array_sort(F.collect_list(F.struct("_rn", "_sym", *order, event))).alias("_events")), "chunks")
-    # Only chunks followed by another one are folded ahead: for a key that fits
-    # one chunk the entry state is the initial one.
     step = lambda state, sym: F.element_at(
         F.col("_step"), (state * F.lit(n_events) + sym + 1).cast("int"))
-    folded = packed.filter(F.size("_events") == chunk).withColumn("_step", machine.step_table()).select(
-        *keys, "_chunk",
-        F.aggregate(
-            "_events", _identity(machine),
-            lambda acc, e: F.transform(acc, lambda s: step(s, e["_sym"]))).alias("_map"))
-    entry = _entry_states(staged(folded, "maps"), keys, "_chunk", "_map", machine, chunk)
-    started = packed.join(entry, [*keys, "_chunk"], "left").withColumn(
-        "_start", F.coalesce("_entry", F.lit(0)))
+    if packed.filter("_chunk > 0").isEmpty():
+        # Every key fits one chunk and starts in the initial state.
+        started = packed.withColumn("_start", F.lit(0))
+    else:
+        # Only full chunks can be followed by another one.
+        folded = packed.filter(F.size("_events") == chunk).withColumn("_step", machine.step_table()).select(
+            *keys, "_chunk",
+            F.aggregate(
+                "_events", _identity(machine),
+                lambda acc, e: F.transform(acc, lambda s: step(s, e["_sym"]))).alias("_map"))
+        entry = _entry_states(staged(folded, "maps"), keys, "_chunk", "_map", machine, chunk)
+        started = packed.join(entry, [*keys, "_chunk"], "left").withColumn(
+            "_start", F.coalesce("_entry", F.lit(0)))
 
     legal = lambda state, sym: F.element_at(
         F.col("_legal"), (state * F.lit(n_events) + sym + 1).cast("int"))
