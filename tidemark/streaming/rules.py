@@ -234,23 +234,25 @@ class DeltaTrigger(Rule):
     """Fire when progress has grown enough; report the largest recent measure."""
 
     fields = (("pos", "long"), ("event_id", "long"), ("progress", "long"), ("measure", "long"))
-    memo = (("base", "long"), ("recent", "array<struct<pos:long,id:long,measure:long>>"))
+    # Recent rows as three parallel lists: position, id, measure.
+    memo = (("base", "long"), ("at", "array<long>"), ("ids", "array<long>"), ("measures", "array<long>"))
     output = (("event_id", "long"), ("progress", "long"), ("best_event_id", "long"), ("best", "long"))
 
     def __init__(self, threshold: int, last: int):
         self.threshold, self.last = threshold, last
 
     def start(self):
-        return {"base": None, "recent": []}
+        return {"base": None, "at": [], "ids": [], "measures": []}
 
     def on_event(self, memo, row):
-        kept = [tuple(r) for r in memo["recent"] if r[0] > row["pos"] - self.last]
-        memo["recent"] = [*kept, (row["pos"], row["event_id"], row["measure"])]
+        recent = [r for r in zip(memo["at"], memo["ids"], memo["measures"]) if r[0] > row["pos"] - self.last]
+        recent.append((row["pos"], row["event_id"], row["measure"]))
+        memo["at"], memo["ids"], memo["measures"] = (list(column) for column in zip(*recent))
         if memo["base"] is None:
             memo["base"] = row["progress"]
             return []
         if row["progress"] - memo["base"] <= self.threshold:
             return []
         memo["base"] = row["progress"]
-        best = max(memo["recent"], key=lambda r: (r[2], -r[0], -r[1]))
+        best = max(recent, key=lambda r: (r[2], -r[0], -r[1]))
         return [(row["event_id"], row["progress"], best[1], best[2])]

@@ -42,6 +42,11 @@ def route_late_stream(
     Routing needs no state per key, so rows are grouped by a hash of themselves:
     a hot key does not end up in one task.
     """
+    # A stateful operator drops late rows when it sees the watermarked column
+    # itself, so the column goes in as a plain timestamp.
+    for field in df.schema.fields:
+        if "spark.watermarkDelayMs" in (field.metadata or {}):
+            df = df.withColumn(field.name, F.timestamp_micros(F.unix_micros(field.name)))
     columns = df.columns
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
     return (
