@@ -100,3 +100,19 @@ def test_match_streams_pairs_once_and_reports_the_rest(spark):
     right = right.select("k", F.to_timestamp("s").alias("rt"))
     got = sorted((r["k"], r["status"]) for r in joins.match_streams(left, right, ["k"], "lt", "rt", "5 seconds").collect())
     assert got == [(1, "matched"), (2, "only_left"), (2, "only_right"), (3, "only_left"), (4, "only_right")]
+
+
+def test_top_n_beyond_the_group_limit(spark):
+    df = spark.range(5000).select((F.col("id") % 2).alias("g"), "id")
+    got = ranking.top_n(df, ["g"], [F.desc("id")], 1500).groupBy("g").agg(F.count("*").alias("n"), F.min("id").alias("low"))
+    assert sorted(map(tuple, got.collect())) == [(0, 1500, 2000), (1, 1500, 2001)]
+
+
+def test_sessions_split_exactly_at_the_gap(spark):
+    from tidemark.operators.windows import sessions
+
+    df = spark.createDataFrame([(1, s) for s in (0, 9, 18, 28, 37, 100)], "k long, s long").withColumn(
+        "ts", F.timestamp_seconds("s"))
+    got = sessions(df, "ts", "10 seconds", ["k"], n=F.count("*")).select(
+        F.unix_seconds("window.start").alias("a"), F.unix_seconds("window.end").alias("b"), "n").collect()
+    assert sorted(map(tuple, got)) == [(0, 28, 3), (28, 47, 2), (100, 110, 1)]

@@ -168,7 +168,10 @@ def retract_changelog_counts(spark, sf_dir):
     return a.changelog_counts(rows, "item", ["pos", "event_id"])
 
 
-@query("observed_counts")
+@query("observed_counts", """
+SELECT event_type, count(*) AS cnt, (SELECT count(*) FROM events) AS records,
+       (SELECT count(*) FROM events WHERE event_type = 'error') AS errors
+FROM events GROUP BY event_type""")
 def observed_counts(spark, sf_dir):
     """Job-wide counters gathered while the result is written, next to the result itself."""
     from pyspark.sql import Observation

@@ -105,13 +105,12 @@ def offline_alerts(
     series still open at the end runs up to the latest event time of the input.
     """
     pos, step = order[0], micros(every)
-    horizon = df.agg(F.max(pos).alias("_end"))
+    end = df.agg(F.max(pos)).first()[0]
     seen = with_next(df, keys, order, [pos], width).filter(is_offline)
-    ended = seen.crossJoin(F.broadcast(horizon))  # one row
-    last = F.coalesce(F.col(f"next_{pos}") - 1, F.col("_end"))
+    last = F.coalesce(F.col(f"next_{pos}") - 1, F.lit(end))
     marks = F.when(last >= F.col(pos) + step, F.sequence(F.col(pos) + F.lit(step), last, F.lit(step)))
     return (
-        ended.select(*keys, *order, F.posexplode(marks).alias("_i", "_at"))
+        seen.select(*keys, *order, F.posexplode(marks).alias("_i", "_at"))
         .select(*keys, *order, (F.col("_i") + 1).cast("long").alias("alert_no"),
                 instant("_at").alias("alert_at"))
     )
@@ -139,9 +138,9 @@ def rising_trends(
                     *[(-F.col(c)).alias(f"_back_{c}") for c in order[1:]]), "rising")
     backwards = ["_back", *[f"_back_{c}" for c in order[1:]]]
     ahead = running(marked, keys, backwards, {SEGMENT: ("_reset_at", "last")}, buckets.mirrored())
-    horizon = F.broadcast(df.agg((F.max(pos) + 1).alias("_end")))  # one row
-    rises = ahead.filter("_rise").crossJoin(horizon).select(
-        *keys, *order, F.coalesce(SEGMENT, "_end").alias(SEGMENT))
+    end = -(marked.agg(F.min("_back")).first()[0] or 0)
+    rises = ahead.filter("_rise").select(
+        *keys, *order, F.coalesce(SEGMENT, F.lit(end + 1)).alias(SEGMENT))
     due = F.col(pos) + F.lit(wait)
     begun = chain_rows(rises, keys, order, pos, wait).filter(due < F.col(SEGMENT))
     return begun.select(*keys, *order, instant(due).alias("alert_at"))

@@ -42,15 +42,12 @@ def text_hash(text: Column, seed: int = HASH_SEED, bits: int = BITMAP_BITS) -> C
 def bitmap_uv(df: DataFrame, ts: str, size: str, user: str) -> DataFrame:
     """Visitors per window counted as set bits of a hashed bitmap.
 
-    The bitmap is kept as fixed-size blocks per window, so no task holds a whole
-    window's bitmap; colliding users count once, as in any single-hash bitmap.
+    Counting distinct bit numbers gives the bitmap's population without building
+    it: a sparse bitmap would travel as blocks that are mostly zeros.  Colliding
+    users count once, as in any single-hash bitmap.
     """
-    hashed = df.select(
-        F.window(ts, size).alias("window"), text_hash(F.col(user).cast("string")).alias("_bit"))
-    blocks = hashed.groupBy("window", F.bitmap_bucket_number("_bit").alias("_block")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_bits"))
-    return blocks.groupBy("window").agg(
-        F.sum(F.bitmap_count("_bits")).cast("long").alias("uv"))
+    hashed = df.withColumn("_bit", text_hash(F.col(user).cast("string")))
+    return tumbling_totals(hashed, ts, [], size, {"uv": F.count_distinct("_bit")})
 
 
 def approx_uv(df: DataFrame, ts: str, size: str, user: str, rsd: float = 0.02) -> DataFrame:

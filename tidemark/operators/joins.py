@@ -140,7 +140,11 @@ def keyword_filter(
     messages: DataFrame, keywords: DataFrame, order: Sequence[str], keyword_pos: str,
     keyword: str, text: str, initial: str, width: Width = None,
 ) -> DataFrame:
-    """Messages containing the newest keyword at their time (``initial`` before the first)."""
-    tagged = asof_latest(messages, keywords, [], order, keyword_pos, [keyword], width)
-    current = F.coalesce(F.col(keyword), F.lit(initial))
-    return tagged.withColumn(keyword, current).filter(F.col(text).contains(F.col(keyword)))
+    """Messages containing the newest keyword at their time (``initial`` before the first).
+
+    ``order`` identifies a message.  Only these columns go through the ordered
+    scan; the texts meet their keyword in a join afterwards.
+    """
+    current = asof_latest(messages.select(*order), keywords, [], order, keyword_pos, [keyword], width)
+    current = current.withColumn(keyword, F.coalesce(F.col(keyword), F.lit(initial)))
+    return messages.join(current, list(order)).filter(F.col(text).contains(F.col(keyword)))

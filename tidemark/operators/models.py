@@ -66,8 +66,9 @@ def window_linear_models(df: DataFrame, ts: str, size: str, x: str, y: str) -> D
     sums = tumbling_totals(df, ts, [], size, {
         "n": F.count(F.lit(1)), "sx": F.sum(x), "sy": F.sum(y),
         "sxx": F.sum(F.col(x) * F.col(x)), "sxy": F.sum(F.col(x) * F.col(y))})
-    spread = F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx")
-    common = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
+    wide = {c: F.col(c).cast("decimal(19,0)") for c in ("n", "sx", "sy", "sxx", "sxy")}  # products exceed 64 bits
+    spread = wide["n"] * wide["sxx"] - wide["sx"] * wide["sx"]
+    common = wide["n"] * wide["sxy"] - wide["sx"] * wide["sy"]
     slope = F.when(spread != 0, common.cast("double") / spread.cast("double")).otherwise(0.0)
     return sums.withColumn("slope", slope).select(
         position("window.end").alias("model_pos"), "slope",

@@ -19,8 +19,15 @@ def top_n(
 
     Written as ``row_number() <= n``, which Spark turns into a group limit before
     the shuffle: each map task sends at most ``n`` rows per group, so a group of
-    any size is ranked without being gathered.
+    any size is ranked without being gathered.  Spark does so for n up to its
+    threshold; beyond it the groups are first ranked in hashed parts.
     """
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n >= threshold:
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(64))
+        local = Window.partitionBy(*group, "_part").orderBy(*order)
+        df = df.withColumn("_part", part).withColumn("_r", F.row_number().over(local)).filter(
+            F.col("_r") <= n).drop("_part", "_r")
     scan = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(scan)).filter(F.col(rank) <= n)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.plans.buckets import Width
 from tidemark.plans.ordered import row_numbers, running
 from tidemark.plans.panes import sliding_totals, tumbling_totals
-from tidemark.plans.timing import instant, micros, plain, position, window_end
+from tidemark.plans.timing import floor_div, instant, micros, plain, position, window_end
 
 
 def flatten_window(df: DataFrame, *rest: str) -> DataFrame:
@@ -36,10 +36,30 @@ def sliding(
     return sliding_totals(df, ts, keys, size, slide, totals)
 
 
-def sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str], **aggs: Column) -> DataFrame:
-    """Aggregates per key and session window closed by ``gap`` without events."""
-    return df.groupBy(F.session_window(ts, gap).alias("window"), *keys).agg(
-        *[agg.alias(name) for name, agg in aggs.items()])
+def sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str], **totals: Column) -> DataFrame:
+    """Additive aggregates per key and session window closed by ``gap`` without events.
+
+    Batch input is first aggregated to cells of one gap length: rows of a cell are
+    closer than the gap and always share a session.  Sessions are then put
+    together from cells, of which a key has at most ``time span / gap``.
+    """
+    keys, width = list(keys), micros(gap)
+    if df.isStreaming:
+        return df.groupBy(F.session_window(ts, gap).alias("window"), *keys).agg(
+            *[agg.alias(name) for name, agg in totals.items()])
+    rows = df.filter(F.col(ts).isNotNull()).withColumn("_pos", position(ts))
+    cells = rows.groupBy(*keys, floor_div("_pos", width).alias("_cell")).agg(
+        F.min("_pos").alias("_low"), F.max("_pos").alias("_high"),
+        *[agg.alias(name) for name, agg in totals.items()])
+    scan = Window.partitionBy(*keys).orderBy("_cell")
+    opens = F.coalesce(F.col("_low") - F.lag("_high").over(scan) >= width, F.lit(True))
+    numbered = cells.withColumn("_opens", opens.cast("long")).withColumn(
+        "_session", F.sum("_opens").over(scan))
+    merged = numbered.groupBy(*keys, "_session").agg(
+        F.min("_low").alias("_low"), F.max("_high").alias("_high"),
+        *[F.sum(name).alias(name) for name in totals])
+    window = F.struct(instant("_low").alias("start"), instant(F.col("_high") + width).alias("end"))
+    return merged.select(window.alias("window"), *keys, *totals)
 
 
 def count_windows(

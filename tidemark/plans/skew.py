@@ -28,13 +28,9 @@ def broadcast_if_small(
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
     """Keys that own more than ``share`` of all rows: at most ``1 / share`` rows."""
+    total = df.count()
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows").alias("_total"))
-    return (
-        counts.crossJoin(F.broadcast(total))
-        .filter(F.col("_rows") > F.col("_total") * F.lit(share))
-        .select(*keys)
-    )
+    return counts.filter(F.col("_rows") > F.lit(total * share)).select(*keys)
 
 
 def salted_join(

@@ -17,18 +17,16 @@ def write_text(df: DataFrame, path: str, line: Column, single_file: bool = False
 
 
 def write_by_day(
-    df: DataFrame, path: str, ts: str, fmt: str = "parquet", files_per_day: int = 1,
-    max_records: int = 5_000_000,
+    df: DataFrame, path: str, ts: str, fmt: str = "parquet", max_records: int = 5_000_000,
 ) -> None:
     """Files bucketed by the record's own event date as ``dt=yyyyMMdd``.
 
-    Rows are placed by day and a hash slot, so a crowded day is written by
-    ``files_per_day`` tasks and no task opens a file for every day.
+    Rows are rebalanced by day before writing: adaptive execution merges small
+    days into one task and splits a crowded one over several.
     """
     dated = df.withColumn("dt", F.date_format(ts, "yyyyMMdd"))
-    slot = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_day))
     (
-        dated.repartition("dt", slot).write.mode("overwrite").partitionBy("dt")
+        dated.hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt")
         .option("maxRecordsPerFile", max_records).format(fmt).save(path)
     )
 
