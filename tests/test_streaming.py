@@ -123,7 +123,7 @@ def test_two_sources_matched_or_reported(spark):
     assert got == {(1, 2, "matched"), (None, 3, "only_right"), (4, None, "only_left"), (None, 5, "only_right")}
 
 
-@pytest.mark.parametrize("name", ["jump", "changelog", "delta"])
+@pytest.mark.parametrize("name", ["jump", "changelog", "delta", "model", "count"])
 def test_simple_rules(spark, name):
     rows = make_events(6, ["x"], 60)
     seen = {}
@@ -136,6 +136,19 @@ def test_simple_rules(spark, name):
         got = {(r["event_id"], r["op"], r["cnt"]) for r in run_rule(spark, rows, rules.Changelog())}
         want = {(r[1], "+", i + 1) for s in seen.values() for i, r in enumerate(s)}
         want |= {(r[1], "-", i) for s in seen.values() for i, r in enumerate(s) if i}
+    elif name == "model":
+        rows = make_events(6, ["model", "data", "data"], 60)
+        got = {(r["event_id"], r["model_id"]) for r in run_rule(spark, rows, rules.LatestModel())}
+        want, newest = set(), {}
+        for row in rows:
+            if row[2] == "model":
+                newest[row[0]] = row[1]
+            else:
+                want.add((row[1], newest.get(row[0])))
+    elif name == "count":
+        got = {(r["user_id"], r["window_no"], r["total"], r["last_event_id"]) for r in run_rule(spark, rows, rules.CountWindow(4))}
+        want = {(k, i // 4, sum(r[3] for r in s[i:i + 4]), s[i + 3][1])
+                for k, s in seen.items() for i in range(0, len(s) - 3, 4)}
     else:
         total, moved = {}, []
         for row in rows:

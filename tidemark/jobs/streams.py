@@ -28,24 +28,25 @@ from tidemark.streaming.state import fresh_visitors
 DELAY = "10 minutes"
 
 
-def mark(kind: str | None = None) -> str:
+def mark(*kinds: str) -> str:
     """Where the watermark ends up, in SQL: Spark keeps it in whole milliseconds."""
-    where = f" WHERE event_type = '{kind}'" if kind else ""
+    listed = ", ".join(f"'{kind}'" for kind in kinds)
+    where = f" WHERE event_type IN ({listed})" if kinds else ""
     return f"(SELECT (max(epoch_us(ts)) // 1000) * 1000 - {10 * MINUTE} FROM events{where})"
 
 
-def event_stream(spark, sf_dir, kind: str | None = None):
-    """Events as a stream; of one type, the watermark follows the events of that type."""
+def event_stream(spark, sf_dir, *kinds: str):
+    """Events as a stream; of some types only, the watermark follows the events of these types."""
     use_rocksdb(spark)
     rows = stream_of(spark, sf_dir, "events")
-    if kind:
-        rows = rows.filter(F.col("event_type") == kind)
+    if kinds:
+        rows = rows.filter(F.col("event_type").isin(*kinds))
     return with_event_columns(rows.withWatermark("ts", DELAY))
 
 
-def closed(sql: str, kind: str | None = None) -> str:
+def closed(sql: str, *kinds: str) -> str:
     """Windows of a batch oracle that the watermark has closed."""
-    return f"SELECT * FROM ({sql}) WHERE epoch_us(window_end) <= {mark(kind)}"
+    return f"SELECT * FROM ({sql}) WHERE epoch_us(window_end) <= {mark(*kinds)}"
 
 
 @query("window_count_by_key_stream", closed(f"""
@@ -152,6 +153,54 @@ def early_fire_stream(spark, sf_dir):
     return newest(fired, ["window_start", "window_end", "event_type"])
 
 
+@query("hot_urls_topn_late_stream", f"""
+WITH {EVENTS},
+c AS (SELECT pos // {10 * MINUTE} AS w, item, count(*) AS cnt FROM ev GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY w ORDER BY cnt DESC, item) AS rank FROM c)
+SELECT make_timestamp(w * {10 * MINUTE}) AS window_start, make_timestamp((w + 1) * {10 * MINUTE}) AS window_end, item, cnt, rank
+FROM r WHERE rank <= 5""")
+def hot_urls_topn_late_stream(spark, sf_dir):
+    """Rankings that late rows may still change: counts re-emitted on update, ranked in their newest version."""
+    counts = w.tumbling(event_stream(spark, sf_dir), "ts", "10 minutes", ["item"], cnt=F.count(F.lit(1)))
+    kept = newest(to_batches(counts, "late-top", lambda batch, _: w.flatten_window(batch), "update"),
+                  ["window_start", "window_end", "item"])
+    return r.top_n(kept, ["window_start", "window_end"], [F.desc("cnt"), "item"], 5)
+
+
+MATCH_STREAM_SQL = f"""
+WITH RECURSIVE {EVENTS},
+s AS (SELECT user_id, item, event_id AS id, pos, CASE event_type WHEN 'click' THEN 'left' ELSE 'right' END AS side,
+             row_number() OVER (PARTITION BY user_id, item ORDER BY pos, event_id) AS rn
+      FROM ev WHERE event_type IN ('click', 'purchase') AND pos < {mark("click", "purchase")}),
+m AS (SELECT user_id, item, rn, side AS wside, pos AS wpos, id AS wid,
+             CAST(NULL AS BIGINT) AS left_id, CAST(NULL AS BIGINT) AS right_id, CAST(NULL AS VARCHAR) AS status
+      FROM s WHERE rn = 1
+      UNION ALL
+      SELECT n.user_id, n.item, n.rn,
+             CASE WHEN pair THEN NULL ELSE side END, CASE WHEN pair THEN NULL ELSE pos END, CASE WHEN pair THEN NULL ELSE id END,
+             CASE WHEN pair AND side = 'left' THEN id WHEN wside = 'left' THEN wid END,
+             CASE WHEN pair AND side = 'right' THEN id WHEN wside = 'right' THEN wid END,
+             CASE WHEN pair THEN 'matched' ELSE 'only_' || wside END
+      FROM (SELECT s.*, m.wside, m.wpos, m.wid,
+                   coalesce(m.wpos + {5 * DAY} >= s.pos AND m.wside <> s.side, FALSE) AS pair
+            FROM m JOIN s ON s.user_id = m.user_id AND s.item = m.item AND s.rn = m.rn + 1) n),
+fin AS (SELECT user_id, item, arg_max(coalesce(wside, ''), rn) AS wside, arg_max(coalesce(wpos, 0), rn) AS wpos,
+               arg_max(coalesce(wid, -1), rn) AS wid FROM m GROUP BY ALL)
+SELECT user_id, item, left_id, right_id, status FROM m WHERE status IS NOT NULL
+UNION ALL
+SELECT user_id, item, CASE WHEN wside = 'left' THEN wid END, CASE WHEN wside = 'right' THEN wid END, 'only_' || wside
+FROM fin WHERE wside <> '' AND wpos + {5 * DAY} < {mark("click", "purchase")}"""
+
+
+@query("two_stream_match_stream", MATCH_STREAM_SQL)
+def two_stream_match_stream(spark, sf_dir):
+    """Clicks and purchases of one item by one user, paired within five days or reported alone."""
+    sides = event_stream(spark, sf_dir, "click", "purchase").withColumn(
+        "event_type", F.when(F.col("event_type") == "click", "left").otherwise("right"))
+    rows = sides.select("user_id", "item", "ts", *ORDER, "event_type")
+    return to_table(apply_rule(rows, ["user_id", "item"], rules.MatchStreams(5 * DAY)), "match")
+
+
 @query("latest_status_count_stream", """
 SELECT status, count(*) AS devices FROM (
   SELECT user_id, arg_max(event_type, (ts, event_type)) AS status FROM events GROUP BY user_id)

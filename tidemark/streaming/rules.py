@@ -256,3 +256,39 @@ class DeltaTrigger(Rule):
         memo["base"] = row["progress"]
         best = max(recent, key=lambda r: (r[2], -r[0], -r[1]))
         return [(row["event_id"], row["progress"], best[1], best[2])]
+
+
+class LatestModel(Rule):
+    """Tag each data row with the newest model row before it (``event_type`` ``model`` marks models)."""
+
+    fields = (("pos", "long"), ("event_id", "long"), ("event_type", "string"), ("value", "long"))
+    memo = (("model_id", "long"), ("model", "long"))
+    output = (("event_id", "long"), ("model_id", "long"), ("model", "long"))
+
+    def on_event(self, memo, row):
+        if row["event_type"] == "model":
+            memo["model_id"], memo["model"] = row["event_id"], row["value"]
+            return []
+        return [(row["event_id"], memo["model_id"], memo["model"])]
+
+
+class CountWindow(Rule):
+    """Emit count and sum of every ``n`` rows of a key; an incomplete window stays open."""
+
+    fields = READING
+    memo = (("n", "long"), ("total", "long"), ("window_no", "long"))
+    output = (("window_no", "long"), ("total", "long"), ("last_event_id", "long"))
+
+    def __init__(self, n: int):
+        self.n = n
+
+    def start(self):
+        return {"n": 0, "total": 0, "window_no": 0}
+
+    def on_event(self, memo, row):
+        memo["n"], memo["total"] = memo["n"] + 1, memo["total"] + row["value"]
+        if memo["n"] < self.n:
+            return []
+        found = [(memo["window_no"], memo["total"], row["event_id"])]
+        memo.update(n=0, total=0, window_no=memo["window_no"] + 1)
+        return found
