@@ -71,7 +71,7 @@ def main(argv: list[str]) -> int:
     spark.sparkContext.setLogLevel("ERROR")
     if "--buckets" in argv:  # cut even small tables into many buckets
         argv.remove("--buckets")
-        spark.conf.set("tidemark.rowsPerBucket", "400")
+        spark.conf.set("tidemark.rowsPerBucket", "70")
     con, bad = duck(sf_dir), 0
     wanted = [a for a in argv if not a.startswith("0")]
     oracles = entry.oracle_sql()

@@ -72,7 +72,7 @@ def test_running(frame, rows, width):
 
 @pytest.mark.parametrize("width", WIDTHS)
 def test_overlap_sees_everything_within_reach(frame, rows, width):
-    seen = o.overlap(frame, "pos", width, ahead=40, behind=25)
+    seen = o.overlap(frame, KEYS, "pos", width, ahead=40, behind=25)
     scan = o.in_bucket(KEYS, "pos").rangeBetween(-25, 40)
     got = {r["id"]: r["n"] for r in o.settle(seen.withColumn("n", F.count("*").over(scan))).collect()}
     assert len(got) == len(rows)
@@ -107,3 +107,21 @@ def test_buckets_are_monotone_when_mirrored(spark):
     back = cut.mirrored().assign(df, "q", "b").orderBy("q").collect()
     assert [r["b"] for r in back] == sorted(r["b"] for r in back)
     assert Grid(5).mirrored() == Grid(5)
+
+
+def test_a_hot_null_key_is_cut_like_any_other(spark):
+    rows = [(None if i % 3 else i, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, pos long")
+    got = {r["pos"]: r["prev_pos"] for r in o.with_previous(df, ["k"], ["pos"], ["pos"]).collect()}
+    nulls = [p for k, p in rows if k is None]
+    assert len(got) == 300
+    assert all(got[p] == before for before, p in zip([None, *nulls], nulls))
+
+
+def test_only_hot_keys_are_cut(spark, frame):
+    cut = buckets_for(frame, "pos")
+    assert [tuple(k) for k in cut.hot_keys(frame, KEYS)] == [(0,)]
+    plan = o.with_previous(frame, KEYS, ORDER, ["v"])._jdf.queryExecution().toString()
+    assert "_hot" in plan
+    calm = frame.filter("k <> 0").limit(40)
+    assert "_hot" not in o.with_previous(calm, KEYS, ORDER, ["v"])._jdf.queryExecution().toString()

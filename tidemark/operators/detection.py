@@ -60,7 +60,7 @@ def fails_at_timer(
     w = micros(wait)
     rows = overlap(
         df.withColumn("_fail", is_fail.cast("long")).withColumn("_clear", is_clear),
-        pos, width, ahead=wait, behind=wait)
+        keys, pos, width, ahead=wait, behind=wait)
     by_time = in_bucket(keys, pos)
     upto = by_time.rangeBetween(Window.unboundedPreceding, w)
     counted = (
@@ -164,7 +164,7 @@ def delta_trigger(
     fields = list(dict.fromkeys([*order, *keep, measure]))
     # The earliest of the rows that share the largest measure.
     rank = F.struct(F.col(measure), *[(-F.col(c)).alias(f"_{c}") for c in order])
-    best = settle(overlap(df, pos, buckets, behind=last).withColumn(
+    best = settle(overlap(df, keys, pos, buckets, behind=last).withColumn(
         "_best", F.max_by(F.struct(*fields), rank).over(recent)))
     flat = staged(best.select(
         *keys, *order, progress, *[F.col(f"_best.{f}").alias(f"best_{f}") for f in fields]), "recent-best")

@@ -39,7 +39,7 @@ def next_within(
     limit = micros(within)
     pos = order[0]
     rows = overlap(
-        df.withColumn("_first", first).withColumn("_second", second), pos, width, ahead=within)
+        df.withColumn("_first", first).withColumn("_second", second), keys, pos, width, ahead=within)
     scan = in_bucket(keys, *order)
     ahead = F.lead(F.struct(pos, "_second", *[c for c in carry if c != pos])).over(scan)
     seen = settle(rows.withColumn("_next", ahead)).filter("_first")
@@ -64,7 +64,7 @@ def followed_by(
     limit = micros(within)
     pos = order[0]
     rows = overlap(
-        df.withColumn("_first", first).withColumn("_second", second), pos, width, ahead=within)
+        df.withColumn("_first", first).withColumn("_second", second), keys, pos, width, ahead=within)
     # Scanned backwards, the nearest follower is the last one met so far; this
     # frame grows row by row, while "rows to the end" is recomputed for every row.
     later = in_bucket(keys, *[F.desc(c) for c in order]).rowsBetween(
@@ -113,7 +113,7 @@ def times_then_times(
     (a_min, a_max), (b_min, b_max) = first_times, second_times
     part = F.when(first, "a").when(second, "b").otherwise("x")
     rows = overlap(
-        df.withColumn("_part", part), pos, width, ahead=within, behind=within
+        df.withColumn("_part", part), keys, pos, width, ahead=within, behind=within
     ).repartition(*keys, BUCKET)  # one placement serves both window partitionings
     entry = F.struct(F.col(pos).alias("pos"), F.col(event_id).alias("id"))
     runs = in_bucket([*keys, "_part"], *order)

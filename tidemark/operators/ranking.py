@@ -55,7 +55,7 @@ def previous_within(
 ) -> DataFrame:
     """Rows of type ``wanted`` whose previous row of the key is also ``wanted``
     and less than ``within`` earlier."""
-    rows = overlap(df, order[0], width, behind=within)
+    rows = overlap(df, keys, order[0], width, behind=within)
     scan = in_bucket(keys, *order)
     seen = rows.withColumn("prev_type", F.lag(event).over(scan)).withColumn(
         "prev_pos", F.lag(order[0]).over(scan))

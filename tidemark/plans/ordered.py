@@ -2,11 +2,11 @@
 
 A window function over ``PARTITION BY key ORDER BY time`` sorts everything a
 key owns in a single task.  When one key holds a third of the table that task
-never ends.  The scans here cut the time axis into buckets (see ``buckets``) and
-run the window function per ``(key, bucket)``:
+never ends.  The scans here cut the rows of hot keys into time buckets (see
+``buckets``) and run the window function per ``(key, bucket)``:
 
 * ``with_previous`` / ``with_next`` / ``running`` need information from other
-  buckets.  That is one small row per ``(key, bucket)``, aggregated map-side,
+  buckets.  That is one small row per hot key and bucket, aggregated map-side,
   scanned per key, and handed to the bucket it concerns as an extra row.  A key
   has at most as many of these rows as there are buckets.
 * ``overlap`` is for operators that only look a bounded distance around a row:
@@ -26,24 +26,31 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.plans.buckets import Width, buckets_for
+from tidemark.plans.buckets import HOT, Width, buckets_for, mark_hot
 from tidemark.plans.timing import micros
 
 BUCKET = "_bucket"
 CARRIED = "_carried"
 
 
+def _placed(flagged: DataFrame, pos: str, buckets) -> DataFrame:
+    """Rows with their bucket: the cut one for hot keys, 0 for the others."""
+    placed = buckets.assign(flagged, pos, BUCKET)
+    return placed.withColumn(BUCKET, F.when(F.col(HOT), F.col(BUCKET)).otherwise(F.lit(0)))
+
+
 def _neighbour(df, keys, order, values, width, prefix, forward: bool) -> DataFrame:
     keys, order, values = list(keys), list(order), list(values)
     buckets = buckets_for(df, order[0], width)
     shift = F.lead if forward else F.lag
-    if buckets.single:
+    flagged = mark_hot(df, keys, buckets)
+    if flagged is None:
         whole = Window.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[shift(v).over(whole).alias(prefix + v) for v in values])
-    rows = buckets.assign(df, order[0], BUCKET)
+    rows = _placed(flagged, order[0], buckets)
     fields = list(dict.fromkeys([*order, *values]))
     pick = F.min_by if forward else F.max_by
-    edge = rows.groupBy(*keys, BUCKET).agg(
+    edge = rows.filter(HOT).groupBy(*keys, BUCKET).agg(
         pick(F.struct(*fields), F.struct(*order)).alias("_edge")
     )
     by_bucket = Window.partitionBy(*keys).orderBy(BUCKET)
@@ -59,7 +66,7 @@ def _neighbour(df, keys, order, values, width, prefix, forward: bool) -> DataFra
     return (
         both.select("*", *[shift(v).over(scan).alias(prefix + v) for v in values])
         .filter(~F.col(CARRIED))
-        .drop(BUCKET, CARRIED)
+        .drop(BUCKET, CARRIED, HOT)
     )
 
 
@@ -99,12 +106,13 @@ def running(
     """
     keys, order = list(keys), list(order)
     buckets = buckets_for(df, order[0], width)
-    if buckets.single:
+    flagged = mark_hot(df, keys, buckets)
+    if flagged is None:
         whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
         return df.select("*", *[_fold(fold, source).over(whole).alias(out)
                                 for out, (source, fold) in measures.items()])
-    rows = buckets.assign(df, order[0], BUCKET)
+    rows = _placed(flagged, order[0], buckets)
     for out, (source, _) in measures.items():
         rows = rows.withColumn(f"_m_{out}", F.col(source))
 
@@ -121,13 +129,13 @@ def running(
         folded.append(_fold(fold, name).over(scan).alias(out))
     names = [f"_m_{out}" for out in measures]
     handed = (
-        rows.groupBy(*keys, BUCKET).agg(*totals)
+        rows.filter(HOT).groupBy(*keys, BUCKET).agg(*totals)
         .select(*keys, BUCKET, *carried)
         .filter(reduce(or_, [F.col(n).isNotNull() for n in names]))
         .withColumn(CARRIED, F.lit(True))
     )
     both = rows.withColumn(CARRIED, F.lit(False)).unionByName(handed, allowMissingColumns=True)
-    return both.select("*", *folded).filter(~F.col(CARRIED)).drop(BUCKET, CARRIED, *names)
+    return both.select("*", *folded).filter(~F.col(CARRIED)).drop(BUCKET, CARRIED, HOT, *names)
 
 
 def row_numbers(
@@ -140,9 +148,10 @@ def row_numbers(
 
 
 def overlap(
-    df: DataFrame, pos: str, width: Width = None, ahead: str | int = 0, behind: str | int = 0,
+    df: DataFrame, keys: Sequence[str], pos: str, width: Width = None, ahead: str | int = 0,
+    behind: str | int = 0,
 ) -> DataFrame:
-    """Assign rows to time buckets, copying those near a border.
+    """Assign the rows of hot keys to time buckets, copying those near a border.
 
     A bucket receives copies (``_carried`` = true) of the rows up to ``ahead``
     after its end and up to ``behind`` before its start.  Run the window
@@ -151,16 +160,17 @@ def overlap(
     """
     after, before = micros(ahead), micros(behind)
     buckets = buckets_for(df, pos, width, apart=8 * max(after, before))
-    if buckets.single:
-        return buckets.assign(df, pos, BUCKET).withColumn(CARRIED, F.lit(False))
-    cut = buckets.assign(df, pos, BUCKET)
+    flagged = mark_hot(df, keys, buckets)
+    if flagged is None:
+        return df.withColumn(BUCKET, F.lit(0).cast("long")).withColumn(CARRIED, F.lit(False))
+    cut = buckets.assign(flagged, pos, "_home")
     cut = buckets.assign(cut.withColumn("_low", F.col(pos) - F.lit(after)), "_low", "_from")
     cut = buckets.assign(cut.withColumn("_high", F.col(pos) + F.lit(before)), "_high", "_to")
+    seen_by = F.when(F.col(HOT), F.sequence("_from", "_to")).otherwise(F.array(F.lit(0).cast("long")))
     return (
-        cut.withColumn("_home", F.col(BUCKET))
-        .withColumn(BUCKET, F.explode(F.sequence("_from", "_to")))
-        .withColumn(CARRIED, F.col(BUCKET) != F.col("_home"))
-        .drop("_low", "_high", "_from", "_to", "_home")
+        cut.withColumn(BUCKET, F.explode(seen_by))
+        .withColumn(CARRIED, F.col(HOT) & (F.col(BUCKET) != F.col("_home")))
+        .drop("_low", "_high", "_from", "_to", "_home", HOT)
     )
 
 

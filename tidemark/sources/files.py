@@ -18,13 +18,3 @@ def stream_lines(spark: SparkSession, path: str, files_per_trigger: int = 1) ->
 def read_csv(spark: SparkSession, path: str, ddl: str, sep: str = ",") -> DataFrame:
     """CSV with a fixed field order; the schema is declared, never inferred."""
     return spark.read.schema(ddl).option("sep", sep).option("mode", "PERMISSIVE").csv(path)
-
-
-def stream_table(
-    spark: SparkSession, folder: str, name: str, schema, files_per_trigger: int = 1,
-) -> DataFrame:
-    """A Parquet table as a stream: the file ``name`` in ``folder``, or all files below it."""
-    return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-        .option("pathGlobFilter", name).parquet(folder)
-    )
