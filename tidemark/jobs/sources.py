@@ -162,12 +162,12 @@ def fn_epoch_roundtrip(spark, sf_dir):
 
 
 @query("fn_ipv4", """
-WITH a AS (SELECT o_orderkey, (o_orderkey * 2654435761) % 4294967296 AS address FROM orders)
+WITH a AS (SELECT o_orderkey, (o_orderkey * 65537) % 4294967296 AS address FROM orders)
 SELECT o_orderkey, address,
        (address >> 24) || '.' || ((address >> 16) & 255) || '.' || ((address >> 8) & 255) || '.' || (address & 255) AS ip
 FROM a""")
 def fn_ipv4(spark, sf_dir):
-    address = F.expr("(o_orderkey * 2654435761L) % 4294967296L")
+    address = F.expr("(o_orderkey * 65537L) % 4294967296L")
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", address.alias("address"), scalar.ipv4(address).alias("ip"))
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.windows import tumbling
 from tidemark.plans.buckets import Width
 from tidemark.plans.ordered import row_numbers, running
-from tidemark.plans.timing import plain, position
+from tidemark.plans.timing import window_end, window_start
 
 
 def reduce_window(
@@ -41,16 +41,15 @@ def collect_window_text(
     a crowded window never has to fit into one cell; an ordinary window has one
     part.
     """
-    start = F.window(ts, size)
-    rows = df.withColumn("window", start).withColumn("_item", item)
-    numbered = row_numbers(rows, [*keys, "window"], order, width, "_rn").withColumn(
+    rows = df.withColumn("_start", window_start(ts, size)).withColumn("_item", item)
+    numbered = row_numbers(rows, [*keys, "_start"], order, width, "_rn").withColumn(
         "part", F.call_function("div", F.col("_rn") - 1, F.lit(per_part)).cast("long"))
-    packed = numbered.groupBy("window", *keys, "part").agg(
+    packed = numbered.groupBy("_start", *keys, "part").agg(
         F.array_sort(F.collect_list(F.struct("_rn", "_item"))).alias("_items"))
     contents = F.array_join(F.transform("_items", lambda e: e["_item"]), sep)
     label = F.format_string(
-        "[%s~%s)", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss"),
-        F.date_format("window.end", "yyyy-MM-dd HH:mm:ss"))
+        "[%s~%s)", F.date_format("_start", "yyyy-MM-dd HH:mm:ss"),
+        F.date_format(window_end("_start", size), "yyyy-MM-dd HH:mm:ss"))
     return packed.select(
         *keys, label.alias("window_label"), "part",
         F.size("_items").cast("long").alias("n"), contents.alias("contents"))
