@@ -8,10 +8,10 @@ Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their shingle
    any partner that chose the same ``l``; ``l`` is chosen per document so that the estimated cost of reading postings
    and of verifying candidates, which falls with ``l``, is least.  Two documents need ``min(l, l')`` common prefix
    shingles, since the longer prefix contains the shorter choice.
-4. Neighbours in the posting lists are verified first and joined into components.  Then every pair that shares
-   enough prefix shingles and is still in two components goes through a parity bitmap, whose Hamming distance never
-   exceeds the sets' difference, and is verified on the whole texts.  Only pairs inside one component stay
-   unexpanded, and those cannot change a component.
+4. Parity bitmaps, whose Hamming distance never exceeds the sets' difference, rule out most pairs of a posting list.
+   Classes without any remaining partner are done.  Of the others each one's nearest partner is verified first, which
+   joins most groups of copies; then every pair that shares enough prefix shingles and is still in two components is
+   verified on the whole texts.  Only pairs inside one component stay unexpanded: they cannot change a component.
 
 Rows: a null or word-less text has an empty set and links with nothing.  Rows that share a doc_id count as one
 document; a null doc_id links with nothing.  Only ``doc_id`` and ``text`` are read, so further columns are ignored.
@@ -36,6 +36,7 @@ PIECE = 1 << 20          # bytes of text hashed at a time
 SKETCH = 1 << 16         # counters of each sketch row: its size does not grow with the data
 MOST_MATCHES = 6         # largest l a document may choose
 VERIFY_COST = 40.0       # cost of verifying one candidate, in postings read
+SCAN_ROWS = 20_000       # postings compared at a time
 BLOCK = 2048             # members of one posting list that one task compares with one another
 
 
@@ -93,35 +94,42 @@ def choose_prefix(tokens: np.ndarray, sketch: np.ndarray, percent: int) -> tuple
 
 
 def parity_bitmap(tokens: np.ndarray) -> bytes:
-    """Parity of the tokens per bit, in about four bits per token, so that few differences fall together."""
-    bits = min(max(256, 1 << max(4 * len(tokens) - 1, 0).bit_length()), 1 << 16)
+    """Parity of the tokens per bit, with about as many bits as tokens."""
+    bits = min(max(256, 1 << max(len(tokens) - 1, 0).bit_length()), 1 << 16)
     counts = np.bincount((mix(tokens + np.uint64(99)) % np.uint64(bits)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
-def bitmap_distances(bitmaps: list[bytes]) -> list[np.ndarray]:
-    """Hamming distances of each bitmap to all later ones; larger bitmaps are folded to the smaller size.
+class Bitmaps:
+    """Hamming distances between bitmaps of several sizes; the larger of two is folded to the smaller's size.
 
     A bit's place is the hash modulo the size, so the halves of a bitmap fold onto one another.
     """
-    sizes = np.array([len(b) for b in bitmaps])
-    folded: dict[int, np.ndarray] = {}
-    for size in np.unique(sizes).tolist():
-        rows = np.zeros((len(bitmaps), size // 8), np.uint64)
-        for k, one in enumerate(bitmaps):
-            if len(one) >= size:
-                rows[k] = np.bitwise_xor.reduce(np.frombuffer(one, np.uint64).reshape(-1, size // 8), axis=0)
-        folded[size] = rows
-    out = []
-    for k in range(len(bitmaps) - 1):
-        later = sizes[k + 1:]
-        distance = np.zeros(len(later), np.int64)
-        for size in np.unique(np.minimum(later, sizes[k])).tolist():
-            at = np.flatnonzero(np.minimum(later, sizes[k]) == size)
-            rows = folded[size]
-            distance[at] = np.bitwise_count(rows[k + 1 + at] ^ rows[k]).sum(axis=1)
-        out.append(distance)
-    return out
+
+    def __init__(self, column: pa.Array) -> None:
+        data, offsets = bytes_of(column)
+        self.sizes = np.diff(offsets)
+        self.rows: dict[int, np.ndarray] = {}
+        self.place: dict[int, np.ndarray] = {}
+        for size in np.unique(self.sizes).tolist():
+            folded, owners = [], []
+            for own in np.unique(self.sizes[self.sizes >= size]).tolist():
+                at = np.flatnonzero(self.sizes == own)
+                bits = data[offsets[at][:, None] + np.arange(own)].view(np.uint64).reshape(len(at), -1, size // 8)
+                folded.append(np.bitwise_xor.reduce(bits, axis=1))
+                owners.append(at)
+            self.rows[size] = np.concatenate(folded)
+            self.place[size] = np.zeros(len(self.sizes), np.int64)
+            self.place[size][np.concatenate(owners)] = np.arange(len(self.rows[size]))
+
+    def distance(self, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+        size = np.minimum(self.sizes[one], self.sizes[other])
+        out = np.zeros(len(one), np.int64)
+        for width in np.unique(size).tolist():
+            at = np.flatnonzero(size == width)
+            rows, place = self.rows[width], self.place[width]
+            out[at] = np.bitwise_count(rows[place[one[at]]] ^ rows[place[other[at]]]).sum(axis=1)
+        return out
 
 
 def described(texts: DataFrame, width: int, percent: int, sketch: np.ndarray) -> DataFrame:
@@ -177,28 +185,10 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return whole.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
-def neighbour_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """For every class its best partner of two kinds: next in its posting lists, and the lists' common pivot."""
-    sides = postings.select(
-        "id", F.explode(F.array(
-            F.struct(F.lit(0).alias("kind"), F.when(F.expr(_close("before_n", "n", percent)), F.col("before")).alias("other")),
-            F.struct(F.lit(1).alias("kind"), F.col("pivot").alias("other")))).alias("e"),
-    ).select("id", "e.kind", "e.other").filter("other is not null and other <> id")
-    counted = sides.groupBy("id", "kind", "other").agg(F.count(F.lit(1)).alias("shared"))
-    best = counted.groupBy("id", "kind").agg(F.max(F.struct("shared", "other")).alias("best"))
-    return best.select(F.greatest("id", "best.other").alias("b"), F.least("id", "best.other").alias("a")).distinct()
-
-
 def posting_lists(classes: DataFrame) -> DataFrame:
-    """Postings of the prefix shingles that at least two classes index, with each one's neighbour in its list."""
-    listed = classes.select("id", "n", "l", F.explode("prefix").alias("token"))
-    return listed.selectExpr(
-        "token", "id", "n", "l",
-        "count(1) over (partition by token) as members",
-        "lag(id) over (partition by token order by n, id) as before",
-        "lag(n) over (partition by token order by n, id) as before_n",
-        "min(struct(xxhash64(id), id)) over (partition by token).id as pivot",
-    ).filter("members > 1")
+    """Postings of the prefix shingles that at least two classes index, with the length of their list."""
+    return classes.select("id", "n", "l", F.explode("prefix").alias("token")).selectExpr(
+        "token", "id", "n", "l", "count(1) over (partition by token) as members").filter("members > 1")
 
 
 def _tiles(rows: DataFrame) -> DataFrame:
@@ -211,66 +201,114 @@ def _tiles(rows: DataFrame) -> DataFrame:
         .withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
         .withColumn("tile_a", F.least("block", "other")).withColumn("tile_b", F.greatest("block", "other"))
+        .repartition("token", "tile_a", "tile_b").sortWithinPartitions("token", "tile_a", "tile_b", "id")
     )
 
 
-def _cross_pairs(group: list[tuple], token: int, same_tile: bool, percent: int) -> Iterator[tuple]:
-    """Candidate pairs of one tile: other components, close sizes, bitmaps near enough, enough prefix shingles shared.
+def _whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Runs of complete tiles from sorted rows whose first three columns name the tile."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= SCAN_ROWS:
+            table = pa.Table.from_batches(held).combine_chunks()
+            key = np.stack([table.column(k).to_numpy().astype(np.int64) for k in range(3)])
+            changes = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+            if len(changes):
+                cut = int(changes[-1])
+                yield table.slice(0, cut)
+                held = table.slice(cut).to_batches()
+                rows = table.num_rows - cut
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
+def close_pairs(tiles: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row pairs of the same tile, of different parts, with close sizes and bitmaps near enough.
+
+    Rows are compared with those one further, two further and so on, each step for all tiles at once.
+    """
+    tiles = tiles.combine_chunks()
+    token, tile_a, tile_b, _, size, part, block = (tiles.column(k).to_numpy() for k in range(7))
+    starts = np.ones(len(token), bool)
+    starts[1:] = (token[1:] != token[:-1]) | (tile_a[1:] != tile_a[:-1]) | (tile_b[1:] != tile_b[:-1])
+    bounds = np.append(np.flatnonzero(starts), len(token))
+    stop = np.repeat(bounds[1:], np.diff(bounds))
+    bitmaps = Bitmaps(tiles.column(7).chunk(0)) if len(token) else None
+    rows, step = np.arange(len(token)), 0
+    while True:
+        step += 1
+        rows = rows[rows + step < stop[rows]]
+        if not len(rows):
+            return
+        other = rows + step
+        small, large = np.minimum(size[rows], size[other]), np.maximum(size[rows], size[other])
+        fits = (part[rows] != part[other]) & (small * 100 >= large * percent)
+        fits &= (tile_a[rows] == tile_b[rows]) | (block[rows] != block[other])
+        one, two = rows[fits], other[fits]
+        if len(one):
+            distance = bitmaps.distance(one, two)
+            near = distance * (100 + percent) <= (size[one] + size[two]) * (100 - percent)
+            if near.any():
+                yield one[near], two[near], distance[near]
+
+
+def partners(postings: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """``(id, a, b)``: every class that has a possible partner, with the pair of it and its nearest one."""
+    rows = _tiles(postings.join(classes.select("id", "bitmap"), "id").withColumn("part", F.col("id")))
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tiles in _whole_tiles(batches):
+            ids = tiles.column(3).to_numpy()
+            best = np.full(len(ids), np.iinfo(np.int64).max)
+            other = np.zeros(len(ids), np.int64)
+            for one, two, distance in close_pairs(tiles, percent):
+                for x, y in ((one, two), (two, one)):  # a row stands once on either side of a step
+                    nearer = distance < best[x]
+                    best[x[nearer]], other[x[nearer]] = distance[nearer], ids[y[nearer]]
+            found = np.flatnonzero(best < np.iinfo(np.int64).max)
+            yield pa.record_batch([pa.array(ids[found]), pa.array(best[found]), pa.array(other[found])],
+                                  names=["id", "distance", "other"])
+
+    best = rows.select("token", "tile_a", "tile_b", "id", "n", "part", "block", "bitmap").mapInArrow(
+        nearest, "id long, distance long, other long")
+    return best.groupBy("id").agg(F.min(F.struct("distance", "other")).alias("best")).select(
+        "id", F.least("id", "best.other").alias("a"), F.greatest("id", "best.other").alias("b"))
+
+
+def split_pairs(postings: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """``(a, b, distance)`` of the pairs in two components that share enough prefix shingles and pass their bitmaps.
 
     A pair meets under every shingle that both prefixes hold; it is reported under the least of them only.
     """
-    size, part, block = (np.array([g[k] for g in group]) for k in (1, 3, 4))
-    distances = None
-    for i in range(len(group) - 1):
-        small, large = np.minimum(size[i], size[i + 1:]), np.maximum(size[i], size[i + 1:])
-        fits = (part[i] != part[i + 1:]) & (small * 100 >= large * percent)
-        if not same_tile:
-            fits &= block[i] != block[i + 1:]
-        if not fits.any():
-            continue
-        if distances is None:
-            distances = bitmap_distances([g[5] for g in group])
-        fits &= distances[i] * (100 + percent) <= (size[i] + size[i + 1:]) * (100 - percent)
-        for j in (np.flatnonzero(fits) + i + 1).tolist():
-            common = np.intersect1d(group[i][6], group[j][6], assume_unique=True)
-            if len(common) >= min(group[i][2], group[j][2]) and common[0] == token:
-                a, b = sorted((group[i][0], group[j][0]))
-                yield a, b, int(distances[i][j - i - 1])
-
-
-def split_pairs(postings: DataFrame, classes: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """``(a, b, distance)`` of the pairs in two components that share enough prefix shingles and pass their bitmaps."""
-    placed = postings.select("token", "id", "n", "l", "members").join(parts, "id", "left").withColumn(
-        "part", F.coalesce("part", "id"))
+    placed = postings.join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
     mixed = placed.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi")
-    rows = _tiles(placed.join(mixed.select("token"), "token", "left_semi")).join(
-        classes.select("id", "bitmap", "prefix"), "id")
+    rows = _tiles(placed.join(mixed.select("token"), "token", "left_semi"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
-        key = None
-
-        def report() -> Iterator[pa.RecordBatch]:
-            if len(group) > 1:
-                found = list(_cross_pairs(group, key[0], key[1] == key[2], percent))
+        for tiles in _whole_tiles(batches):
+            ids, token, matches = (tiles.column(k).to_numpy() for k in (3, 0, 8))
+            prefixes = tiles.column(9).combine_chunks()
+            known: dict[int, frozenset[int]] = {}
+
+            def prefix(row: int) -> frozenset[int]:
+                if row not in known:
+                    known[row] = frozenset(prefixes[row].as_py())
+                return known[row]
+
+            for one, two, distance in close_pairs(tiles, percent):
+                found = []
+                for x, y, d in zip(one.tolist(), two.tolist(), distance.tolist()):
+                    common = prefix(x) & prefix(y)
+                    if len(common) >= min(matches[x], matches[y]) and min(common) == token[x]:
+                        found.append((min(ids[x], ids[y]), max(ids[x], ids[y]), d))
                 if found:
                     yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b", "distance"])
 
-        for batch in batches:
-            prefixes = batch.column(9)
-            columns = [c.to_pylist() for c in batch.columns[:9]]
-            for k, (token, tile_a, tile_b, *rest) in enumerate(zip(*columns)):
-                if (token, tile_a, tile_b) != key:
-                    yield from report()
-                    key, group = (token, tile_a, tile_b), []
-                group.append((*rest, np.sort(prefixes[k].values.to_numpy(zero_copy_only=False))))
-        yield from report()
-
-    return (
-        rows.select("token", "tile_a", "tile_b", "id", "n", "l", "part", "block", "bitmap", "prefix")
-        .repartition("token", "tile_a", "tile_b").sortWithinPartitions("token", "tile_a", "tile_b", "id")
-        .mapInArrow(compare, "a long, b long, distance long")
-    )
+    return rows.select("token", "tile_a", "tile_b", "id", "n", "part", "block", "bitmap", "l", "prefix").mapInArrow(
+        compare, "a long, b long, distance long")
 
 
 def nearest_pairs(pairs: DataFrame) -> DataFrame:
@@ -311,9 +349,13 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
             F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("l").alias("l"),
             F.first("prefix").alias("prefix"), F.first("bitmap").alias("bitmap")), "jaccard-classes")
     postings = staged(posting_lists(classes), "jaccard-postings")
-    near = verified(neighbour_pairs(postings, percent), texts, width, percent)
+    best = staged(partners(postings, classes, percent), "jaccard-partners")
+    # From here on only classes with a possible partner matter: their texts are shuffled once and kept.
+    texts = staged(texts.join(best.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), "jaccard-texts")
+    near = verified(best.select("a", "b").distinct(), texts, width, percent)
     parts = staged(components(near, "jaccard-parts").withColumnRenamed("component", "part"), "jaccard-parts")
-    pairs = staged(split_pairs(postings, classes, parts, percent), "jaccard-pairs")
+    listed = postings.join(best.join(classes, "id").select("id", "bitmap", "prefix"), "id")
+    pairs = staged(split_pairs(listed, parts, percent), "jaccard-pairs")
     parts = staged(_joined(parts, verified(nearest_pairs(pairs), texts, width, percent), "jaccard-near"), "jaccard-near")
     rest = verified(_apart(pairs, parts).select("a", "b"), texts, width, percent)
     final = _joined(parts, rest, "jaccard-rest").select(F.col("id").alias("class_id"), F.col("part").alias("linked"))
