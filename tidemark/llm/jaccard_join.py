@@ -94,8 +94,8 @@ def choose_prefix(tokens: np.ndarray, sketch: np.ndarray, percent: int) -> tuple
 
 
 def parity_bitmap(tokens: np.ndarray) -> bytes:
-    """Parity of the tokens per bit, with about as many bits as tokens."""
-    bits = min(max(256, 1 << max(len(tokens) - 1, 0).bit_length()), 1 << 16)
+    """Parity of the tokens per bit, with about half as many bits as tokens, 256 at least."""
+    bits = min(max(256, 1 << max(len(tokens) // 2 - 1, 0).bit_length()), 1 << 16)
     counts = np.bincount((mix(tokens + np.uint64(99)) % np.uint64(bits)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
@@ -185,10 +185,17 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     return whole.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
-def posting_lists(classes: DataFrame) -> DataFrame:
-    """Postings of the prefix shingles that at least two classes index, with the length of their list."""
-    return classes.select("id", "n", "l", F.explode("prefix").alias("token")).selectExpr(
-        "token", "id", "n", "l", "count(1) over (partition by token) as members").filter("members > 1")
+def posting_lists(classes: DataFrame, percent: int) -> DataFrame:
+    """Postings of the prefix shingles under which a class meets another of a size close enough to link.
+
+    ``members`` is the length of the whole list.
+    """
+    listed = classes.select("id", F.col("n").cast("int").alias("n"), "l", F.explode("prefix").alias("token")).selectExpr(
+        "token", "id", "n", "l", "count(1) over (partition by token) as members",
+        "lag(n) over (partition by token order by n, id) as smaller",
+        "lead(n) over (partition by token order by n, id) as larger")
+    return listed.filter(
+        f"smaller * 100L >= n * {percent}L or n * 100L >= larger * {percent}L").drop("smaller", "larger")
 
 
 def _tiles(rows: DataFrame) -> DataFrame:
@@ -313,10 +320,9 @@ def split_pairs(postings: DataFrame, parts: DataFrame, percent: int) -> DataFram
 
 def nearest_pairs(pairs: DataFrame) -> DataFrame:
     """For every document the pair with the least distance."""
-    ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("id"), "distance", "a", "b"),
-                                          F.struct(F.col("b").alias("id"), "distance", "a", "b"))).alias("e")).select("e.*")
-    return ends.groupBy("id").agg(F.min(F.struct("distance", "a", "b")).alias("best")).select(
-        "best.a", "best.b").distinct()
+    lows = pairs.groupBy("a").agg(F.min_by("b", F.struct("distance", "b")).alias("b"))
+    highs = pairs.groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("a"))
+    return lows.unionByName(highs).distinct()
 
 
 def _joined(parts: DataFrame, links: DataFrame, name: str) -> DataFrame:
@@ -348,7 +354,7 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
         sets.filter("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(
             F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("l").alias("l"),
             F.first("prefix").alias("prefix"), F.first("bitmap").alias("bitmap")), "jaccard-classes")
-    postings = staged(posting_lists(classes), "jaccard-postings")
+    postings = staged(posting_lists(classes, percent), "jaccard-postings")
     best = staged(partners(postings, classes, percent), "jaccard-partners")
     # From here on only classes with a possible partner matter: their texts are shuffled once and kept.
     texts = staged(texts.join(best.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), "jaccard-texts")

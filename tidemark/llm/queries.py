@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.jobs.registry import Query
-from tidemark.llm.common import load
+from tidemark.llm.ann import nearest
+from tidemark.llm.bpe import encode_digests
+from tidemark.llm.common import held_out, load
+from tidemark.llm.embedding_dedup import near_duplicates
 from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.langid import identify as identify_languages
+from tidemark.llm.langid import learn as learn_languages
+from tidemark.llm.mixing import MIX_SQL, mix
 from tidemark.session import prepare
 
 QUERIES: dict[str, Query] = {}
@@ -34,3 +42,36 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingle sets reach a Jaccard coefficient of 0.9."""
     return jaccard_components(load(spark, sf_dir, "documents"), width=3, percent=90).select(
         "doc_id", "n_shingles", "component_id")
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents that are not held out."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = learn_languages(docs, ~held_out(), sample_docs=400, slice_chars=400, sample_chars=48_000)
+    return identify_languages(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_mixing", MIX_SQL)
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of weights 1, 2, 3 with at most three epochs takes of every document."""
+    return mix(load(spark, sf_dir, "documents"), weights=[1, 2, 3], most_epochs=3, share=1.0, seed=42)
+
+
+@query("op7_bpe")
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the text decoded from them, as digests."""
+    return encode_digests(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op5_ann")
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest vectors of every vector whose id is divisible by 20."""
+    return nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op10_embedding_dedup")
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors of one label with a cosine of 0.98 or more."""
+    return near_duplicates(load(spark, sf_dir, "embeddings"), least=0.98)
