@@ -17,6 +17,7 @@ from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.langid import identify as identify_languages
 from tidemark.llm.langid import learn as learn_languages
 from tidemark.llm.mixing import MIX_SQL, mix
+from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.session import prepare
 
 QUERIES: dict[str, Query] = {}
@@ -75,3 +76,9 @@ def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of vectors of one label with a cosine of 0.98 or more."""
     return near_duplicates(load(spark, sf_dir, "embeddings"), least=0.98)
+
+
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes that remain of every document without strings of 400 bytes that start elsewhere too."""
+    return remove_repeats(load(spark, sf_dir, "documents"), width=400)
