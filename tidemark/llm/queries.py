@@ -13,11 +13,13 @@ from tidemark.llm.ann import nearest
 from tidemark.llm.bpe import encode_digests
 from tidemark.llm.common import held_out, load
 from tidemark.llm.embedding_dedup import near_duplicates
+from tidemark.llm.html_text import extract
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.langid import identify as identify_languages
 from tidemark.llm.langid import learn as learn_languages
 from tidemark.llm.mixing import MIX_SQL, mix
 from tidemark.llm.substring_dedup import remove_repeats
+from tidemark.llm.toxicity import toxicity
 from tidemark.session import prepare
 
 QUERIES: dict[str, Query] = {}
@@ -82,3 +84,18 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes that remain of every document without strings of 400 bytes that start elsewhere too."""
     return remove_repeats(load(spark, sf_dir, "documents"), width=400)
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity(docs, load(spark, sf_dir, "labels"), ~held_out(), most_labelled=20_000)
+    return scored.select("doc_id", held_out().alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op8_html_extraction")
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract(load(spark, sf_dir, "pages"))
