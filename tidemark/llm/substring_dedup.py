@@ -257,11 +257,15 @@ def repeated_spans(texts: DataFrame, width: int) -> DataFrame:
     )).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, width: int = 400, texts_too: bool = False) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every document; ``kept`` bytes on request."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.withColumn("row", F.xxhash64("doc_id", "text"))
-    spans = repeated_spans(texts.select("row", "text"), width)
+def remove_repeats(docs: DataFrame, width: int = 400, keep: tuple[str, ...] = (), kept_text: bool = False) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every document, and the columns named by ``keep``.
+
+    With ``kept_text`` also ``kept``, the remaining bytes as text; a character that lost some of its bytes is left out.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                        *keep, F.xxhash64("doc_id", "text").alias("_row"))
+    spans = repeated_spans(texts.select(F.col("_row").alias("row"), "text"), width).select(
+        F.col("row").alias("_row"), F.col("spans").alias("_spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -279,13 +283,20 @@ def remove_repeats(docs: DataFrame, width: int = 400, texts_too: bool = False) -
                     gone = np.cumsum(edge[:-1]) > 0
                     count = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                     kept = text[~gone].tobytes()
-                out.append((len(text), len(text) - len(kept), count, hashlib.sha256(kept).hexdigest(), kept))
+                out.append((len(text), len(text) - len(kept), count, hashlib.sha256(kept).hexdigest(),
+                            kept.decode("utf-8", "ignore") if kept_text else None))
             columns = list(zip(*out)) if out else [()] * 5
-            yield pa.record_batch(
-                [batch.column(0), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-                 pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.string()),
-                 *([pa.array(columns[4], pa.binary())] if texts_too else [])],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if texts_too else [])])
-
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts_too
-    return texts.join(spans, "row", "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
+            arrays = [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
+                      pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.string())]
+            if kept_text:
+                arrays.append(pa.array(columns[4], pa.string()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[3:], *arrays], names=schema.names)
+
+    joined = texts.join(spans, "_row", "left").select("doc_id", "text", "_spans", *keep)
+    schema = joined.drop("text", "_spans").schema
+    for name in ("n_bytes", "n_removed", "n_spans"):
+        schema = schema.add(name, "long")
+    schema = schema.add("kept_sha256", "string")
+    if kept_text:
+        schema = schema.add("kept", "string")
+    return joined.mapInArrow(run, schema)
