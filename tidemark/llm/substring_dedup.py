@@ -33,9 +33,9 @@ from tidemark.llm.wordhash import BYTE_BITS, mix, running, window_hash
 from tidemark.plans.staging import staged
 
 GRAM = 16
-PIECE = 1 << 20        # bytes of text hashed at a time
+PIECE = 1 << 18        # bytes of text hashed at a time
 SPAN = 2048            # most windows of one segment
-SHARD = 1 << 21        # bytes of text in one suffix array; a single key may exceed it
+SHARD = 1 << 19        # bytes of text in one suffix array; a single key may exceed it
 HOT = 4096             # different segments of one key that may meet in a shard
 STRETCH = 24           # windows per stretch where a hot key is split first
 

@@ -140,11 +140,12 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     return _induce(text, small, lms[_sort_names(name[lms])])
 
 
-def permuted_common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
+def permuted_common_prefixes(text: np.ndarray, order: np.ndarray, least: int = 0) -> np.ndarray:
     """For each position the length it shares with the suffix before its own in the suffix array.
 
     Where the bytes before both suffixes agree, the length is one less than that of the position before; all other
-    positions are compared directly, eight bytes at a time.
+    positions are compared directly, eight bytes at a time.  Lengths under ``least`` may come out smaller: positions
+    whose next ``least`` bytes have another hash than their neighbour's are not compared.
     """
     size = len(text)
     if size == 0:
@@ -155,6 +156,11 @@ def permuted_common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     reducible = (before > 0) & (places > 0)
     reducible[1:] &= text[:-1] == text[np.maximum(before[1:] - 1, 0)]
     direct = np.flatnonzero(~reducible & (before >= 0))
+    if least:
+        direct = direct[np.maximum(direct, before[direct]) <= size - least]
+        sums = running(BYTE_BITS[text])
+        direct = direct[window_hash(sums, direct, direct + least)
+                        == window_hash(sums, before[direct], before[direct] + least)]
     padded = np.concatenate([text, np.zeros(16, np.uint8)])
     words = np.zeros(size + 8, np.uint64)
     for k in range(8):
@@ -182,7 +188,7 @@ def permuted_common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
 def repeated_starts(text: np.ndarray, width: int) -> np.ndarray:
     """Positions whose next ``width`` bytes also start at another position."""
     order = suffix_array(text)
-    common = permuted_common_prefixes(text, order)
+    common = permuted_common_prefixes(text, order, width)
     repeated = common >= width
     follows = order[1:]
     repeated[order[:-1][common[follows] >= width]] = True
