@@ -9,7 +9,8 @@ Documents are then repeated ``floor(target / words)`` times, and the rest of the
 of a hash: whole documents up to one, of which only the first words are taken.  So every source meets its target to
 the word, no document is taken more than ``most_epochs`` times, and a rerun takes the same words.
 
-The running sums are cut into buckets of the hash, about ``BUCKET_ROWS`` documents each, so no source is sorted in one
+Sizes and targets are written to the shared folder once; the joins with the small tables of sources and of buckets
+then follow their file sizes.  The running sums are cut into buckets of the hash, about ``BUCKET_ROWS`` documents each, so no source is sorted in one
 task; only the table of sources, one row each, is ordered in one place.
 
 Rows: a null source is a source of its own, the last one; a null text has no words; repeated rows are documents of
@@ -21,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.plans.staging import staged
+
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKET_ROWS = 2000
 
@@ -64,9 +67,10 @@ def mix(docs: DataFrame, weights: list[int] = (1, 2, 3), most_epochs: int = 3, s
         F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("none")).alias("_key"),
         word_count(F.col("text")).alias("size"),
         F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(f":{seed}"))).alias("_h"))
+    sized = staged(sized, "mix-sizes")  # words are counted once
     names = {"_source": "source", "_key": "key"}
-    targets = source_targets(sized.select("_key", "_source", "size").withColumnsRenamed(names), list(weights),
-                             most_epochs, share).withColumnRenamed("key", "_key")
+    targets = staged(source_targets(sized.select("_key", "_source", "size").withColumnsRenamed(names), list(weights),
+                                    most_epochs, share), "mix-targets").withColumnRenamed("key", "_key")
     planned = targets.withColumn(
         "_whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     ).withColumn("_rest", F.round(F.col("target") - F.col("_whole") * F.col("source_size")).cast("long")).withColumn(
@@ -75,6 +79,7 @@ def mix(docs: DataFrame, weights: list[int] = (1, 2, 3), most_epochs: int = 3, s
         "_bucket", F.floor(F.conv(F.substring("_h", 1, 8), 16, 10).cast("long") * F.col("_buckets") / F.lit(1 << 32)))
     offsets = placed.groupBy("_key", "_bucket").agg(F.sum("size").alias("_words")).withColumn(
         "_offset", F.sum("_words").over(Window.partitionBy("_key").orderBy("_bucket")) - F.col("_words")).drop("_words")
+    offsets = staged(offsets, "mix-offsets")
     in_bucket = Window.partitionBy("_key", "_bucket").orderBy("_h", "size", "doc_id").rowsBetween(
         Window.unboundedPreceding, 0)
     before = F.sum("size").over(in_bucket) - F.col("size") + F.col("_offset")
