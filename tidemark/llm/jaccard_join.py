@@ -32,7 +32,7 @@ from tidemark.llm.components import components
 from tidemark.llm.wordhash import mix, set_digest, shingle_sets
 from tidemark.plans.staging import staged
 
-PIECE = 1 << 20          # bytes of text hashed at a time
+PIECE = 1 << 18          # bytes of text hashed at a time
 SKETCH = 1 << 16         # counters of each sketch row: its size does not grow with the data
 MOST_MATCHES = 6         # largest l a document may choose
 VERIFY_COST = 40.0       # cost of verifying one candidate, in postings read
