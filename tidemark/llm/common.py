@@ -59,3 +59,20 @@ def long_array(values: list[np.ndarray]) -> pa.Array:
     flat = np.concatenate(values) if len(values) else np.zeros(0, np.int64)
     offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
+
+
+FILTER_BITS = 1 << 23
+
+
+def rows_of(frame: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows of ``frame`` whose ``key`` is among ``ids``, which has that one column.
+
+    A bitmap of hashed ids goes first: at most ``FILTER_BITS`` / 64 rows of one number each (2 MB) whatever the
+    input, so it can be broadcast, and rows with long texts are ruled out before the join shuffles them.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    bitmap = ids.select(slot.alias("_slot")).groupBy(F.floor(F.col("_slot") / 64).alias("_word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(_slot % 64 as int))")).alias("_bits"))
+    kept = frame.withColumn("_slot", slot).withColumn("_word", F.floor(F.col("_slot") / 64)).join(
+        F.broadcast(bitmap), "_word").filter("shiftright(_bits, cast(_slot % 64 as int)) & 1 = 1")
+    return kept.select(*frame.columns).join(ids.distinct(), key, "left_semi")

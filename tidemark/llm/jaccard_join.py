@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bytes_of, long_array, pieces
+from tidemark.llm.common import bytes_of, long_array, pieces, rows_of
 from tidemark.llm.components import components
 from tidemark.llm.wordhash import mix, set_digest, shingle_sets
 from tidemark.plans.staging import staged
@@ -356,8 +356,8 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
             F.first("prefix").alias("prefix"), F.first("bitmap").alias("bitmap")), "jaccard-classes")
     postings = staged(posting_lists(classes, percent), "jaccard-postings")
     best = staged(partners(postings, classes, percent), "jaccard-partners")
-    # From here on only classes with a possible partner matter: their texts are shuffled once and kept.
-    texts = staged(texts.join(best.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), "jaccard-texts")
+    # From here on only classes with a possible partner matter: their texts are kept.
+    texts = staged(rows_of(texts, best.select(F.col("id").alias("doc_id")), "doc_id"), "jaccard-texts")
     near = verified(best.select("a", "b").distinct(), texts, width, percent)
     parts = staged(components(near, "jaccard-parts").withColumnRenamed("component", "part"), "jaccard-parts")
     listed = postings.join(best.join(classes, "id").select("id", "bitmap", "prefix"), "id")
