@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bytes_of, pieces
+from tidemark.llm.common import bytes_of, pieces, rows_of
 from tidemark.llm.suffixes import repeated_starts
 from tidemark.llm.wordhash import BYTE_BITS, mix, running, window_hash
 from tidemark.plans.staging import staged
@@ -139,7 +139,9 @@ def _with_text(wanted: DataFrame, texts: DataFrame, width: int) -> DataFrame:
                                        pa.array(bodies, pa.binary())],
                                       names=["key", "h1", "h2", "windows", "weight", "body"])
 
-    return texts.join(per_row, "row").select("text", "parts").mapInArrow(
+    # Copies of a row differ in nothing, so one of them will do.
+    once = rows_of(texts, wanted.select("row"), "row").dropDuplicates(["row"])
+    return once.join(per_row, "row").select("text", "parts").mapInArrow(
         run, "key long, h1 long, h2 long, windows int, weight long, body binary")
 
 
@@ -246,10 +248,10 @@ def repeated_spans(texts: DataFrame, width: int) -> DataFrame:
     met = all_segments.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("inner").alias("inner")).filter(
         "n > 1 or inner").select("key")
     candidates = staged(all_segments.join(met, "key", "left_semi"), "repeats-candidates")
-    wanted = candidates.groupBy("key", "h1", "h2").agg(
+    wanted = staged(candidates.groupBy("key", "h1", "h2").agg(
         F.first("windows").alias("windows"), F.count(F.lit(1)).alias("weight"),
         F.min(F.struct("row", "start")).alias("at")).select(
-        "key", "h1", "h2", "windows", "weight", "at.row", "at.start")
+        "key", "h1", "h2", "windows", "weight", "at.row", "at.start"), "repeats-wanted")
     distinct = staged(_with_text(wanted, texts, width), "repeats-distinct")
     runs = staged(_shard_runs(distinct, width, (STRETCH, 1)), "repeats-runs")
     return candidates.join(runs, ["h1", "h2"]).groupBy("row").agg(F.collect_list(F.struct(
