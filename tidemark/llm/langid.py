@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from tidemark.plans.staging import staged
+
 SPAN = 256           # symbols walked as one column; phrases end at its borders
 PIECE = 1 << 21      # characters decoded at a time
 
@@ -121,7 +123,8 @@ def learn(docs: DataFrame, known: Column, sample_docs: int, slice_chars: int, sa
     labelled = docs.filter(known & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     labelled = labelled.select("lang", F.xxhash64(F.col("doc_id").cast("string")).alias("h"),
                                "text").filter(F.length("text") > 0)
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
+    # One row per language; as a table its size is known, so the join need not shuffle the texts.
+    counts = staged(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
     # Thin out by hash first, so that the ranking meets a few times the wanted rows of each language at most.
     thinned = labelled.join(counts, "lang").filter(
         (F.pmod("h", F.lit(1 << 20)) * F.col("rows") <= F.lit(4 * sample_docs) * F.lit(1 << 20)))
