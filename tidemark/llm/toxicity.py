@@ -26,6 +26,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import rows_of
+from tidemark.plans.staging import staged
+
 # The letters of the character model, and which letters a written character may stand for.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 RESEMBLES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
@@ -188,19 +191,21 @@ def _weigher(cost: np.ndarray, lexicon: dict[str, float]):
     return Memo(weigh)
 
 
-def learn(texts: DataFrame, labelled: DataFrame, most_labelled: int = 20_000) -> dict:
-    """The model from all ``texts(text)`` and the rows ``labelled(doc_id, text, toxic)``."""
-    cost = character_model(texts)
-    labelled = labelled.filter("toxic in (0, 1) and doc_id is not null")
+def learn(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000) -> dict:
+    """The model from all texts of ``docs(doc_id, text)`` and the given rows of ``labels(doc_id, toxic)``."""
+    cost = character_model(docs)
+    labelled = labels.select("doc_id", "toxic").filter("toxic in (0, 1) and doc_id is not null")
     totals = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     share = totals.get(1, 0) / max(sum(totals.values()), 1) if totals else 0.5
     model = {"cost": cost, "lexicon": {}, "curve": None, "share": share}
     if len(totals) < 2:
         return model
     portion = min(1.0, most_labelled / sum(totals.values()))
-    sample = labelled.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) < int(portion * (1 << 20))
-                             ).select("text", F.col("toxic").cast("int").alias("toxic"))
-    context = texts.sparkSession.sparkContext
+    chosen = labelled.filter(
+        F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) < int(portion * (1 << 20)))
+    sample = staged(rows_of(docs.select("doc_id", "text"), chosen.select("doc_id"), "doc_id").join(chosen, "doc_id").select(
+        "text", F.col("toxic").cast("int").alias("toxic")), "labelled-texts")
+    context = docs.sparkSession.sparkContext
     shared = context.broadcast(cost)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,6 +285,5 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, known: Column, most_labelled: int = 20_000) -> DataFrame:
-    """Learn from the labels of documents where ``known`` holds, and score every document."""
-    labelled = docs.filter(known).select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id")
-    return score(docs, learn(docs, labelled, most_labelled))
+    """Learn from the rows of ``labels`` where ``known`` holds, and score every document."""
+    return score(docs, learn(docs, labels.filter(known), most_labelled))
