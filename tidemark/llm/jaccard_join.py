@@ -360,7 +360,8 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     texts = staged(rows_of(texts, best.select(F.col("id").alias("doc_id")), "doc_id"), "jaccard-texts")
     near = verified(best.select("a", "b").distinct(), texts, width, percent)
     parts = staged(components(near, "jaccard-parts").withColumnRenamed("component", "part"), "jaccard-parts")
-    listed = postings.join(best.join(classes, "id").select("id", "bitmap", "prefix"), "id")
+    left = best.select("id")
+    listed = rows_of(postings, left, "id").join(rows_of(classes, left, "id").select("id", "bitmap", "prefix"), "id")
     pairs = staged(split_pairs(listed, parts, percent), "jaccard-pairs")
     parts = staged(_joined(parts, verified(nearest_pairs(pairs), texts, width, percent), "jaccard-near"), "jaccard-near")
     rest = verified(_apart(pairs, parts).select("a", "b"), texts, width, percent)
