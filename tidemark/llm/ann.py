@@ -87,7 +87,7 @@ def _blocks(frame: DataFrame, count: str, block: int) -> Column:
     return F.ceil(F.col(count) / block).cast("int")
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 4, probes: int = 24, seed: int = 5,
+def nearest(vectors: DataFrame, is_query: Column, k: int = 20, tables: int = 4, probes: int = 40, seed: int = 5,
             block: int = 4096) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest rows of ``vectors(vec_id, embedding)`` for every query."""
     vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter("vec_id is not null")
