@@ -73,8 +73,11 @@ def alerts(
 
     packed = staged(rows.groupBy(*keys, "_chunk").agg(
         F.array_sort(F.collect_list(F.struct("_rn", "_sym", *order, event))).alias("_events")), "chunks")
-    step = lambda state, sym: F.element_at(
-        F.col("_step"), (state * F.lit(n_events) + sym + 1).cast("int"))
+    # An event outside the machine's alphabet, or a null one, is illegal everywhere and keeps the state.
+    known = lambda sym: F.coalesce(sym, F.lit(-1)) >= 0
+    cell = lambda table, state, sym: F.element_at(
+        F.col(table), (state * F.lit(n_events) + F.greatest(sym, F.lit(0)) + 1).cast("int"))
+    step = lambda state, sym: F.when(known(sym), cell("_step", state, sym)).otherwise(state)
     if packed.filter("_chunk > 0").isEmpty():
         # Every key fits one chunk and starts in the initial state.
         started = packed.withColumn("_start", F.lit(0))
@@ -89,8 +92,7 @@ def alerts(
         started = packed.join(entry, [*keys, "_chunk"], "left").withColumn(
             "_start", F.coalesce("_entry", F.lit(0)))
 
-    legal = lambda state, sym: F.element_at(
-        F.col("_legal"), (state * F.lit(n_events) + sym + 1).cast("int"))
+    legal = lambda state, sym: F.when(known(sym), cell("_legal", state, sym)).otherwise(F.lit(False))
     alert_type = packed.schema["_events"].dataType.elementType
     fields = [f"{c}:{alert_type[c].dataType.simpleString()}" for c in [*order, event]]
     empty = F.array().cast(f"array<struct<{','.join(fields)},_state:int>>")

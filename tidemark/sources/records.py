@@ -55,14 +55,15 @@ def parse_json(column: str | Column, ddl: str) -> Column:
 
 
 def little_endian_int(payload: Column, offset: int) -> Column:
-    """Unsigned 32-bit little-endian integer at a byte offset of a binary column."""
+    """Signed 32-bit little-endian integer at a byte offset of a binary column."""
     byte = lambda i: F.hex(F.substring(payload, offset + i + 1, 1))
-    return F.conv(F.concat(byte(3), byte(2), byte(1), byte(0)), 16, 10).cast("long")
+    value = F.conv(F.concat(byte(3), byte(2), byte(1), byte(0)), 16, 10).cast("long")
+    return F.when(value >= 1 << 31, value - (1 << 32)).otherwise(value)
 
 
 def to_little_endian(value: Column) -> Column:
-    """The four little-endian bytes of a non-negative 32-bit integer."""
-    digits = F.lpad(F.hex(value.cast("long")), 8, "0")
+    """The four little-endian bytes of a signed 32-bit integer."""
+    digits = F.lpad(F.hex(F.pmod(value.cast("long"), F.lit(1 << 32))), 8, "0")
     pair = lambda i: F.substring(digits, i, 2)
     return F.unhex(F.concat(pair(7), pair(5), pair(3), pair(1)))
 
