@@ -151,16 +151,24 @@ def codec(path: str) -> Codec:
 
 def encode(docs: DataFrame, path: str, long_chars: int = LONG_CHARS, part_chars: int = PART_CHARS) -> DataFrame:
     """``doc_id, ids`` (array of int) of every row of ``docs(doc_id, text)``; ``path`` names the vocabulary file."""
-    return _encoded(docs, path, long_chars, part_chars, digests=False)
+    return _encoded(docs, path, long_chars, part_chars, "ids")
 
 
 def encode_digests(docs: DataFrame, path: str, long_chars: int = LONG_CHARS, part_chars: int = PART_CHARS) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row: encoded, decoded again and hashed."""
-    return _encoded(docs, path, long_chars, part_chars, digests=True)
+    return _encoded(docs, path, long_chars, part_chars, "digests")
 
 
-def _result(doc_ids: list, encoded: list[list[int]], coder: Codec, digests: bool) -> pa.RecordBatch:
-    if digests:
+def encode_lengths(docs: DataFrame, path: str, long_chars: int = LONG_CHARS, part_chars: int = PART_CHARS) -> DataFrame:
+    """``doc_id, n_tokens`` of every row."""
+    return _encoded(docs, path, long_chars, part_chars, "lengths")
+
+
+def _result(doc_ids: list, encoded: list[list[int]], coder: Codec, kind: str) -> pa.RecordBatch:
+    if kind == "lengths":
+        return pa.record_batch([pa.array(doc_ids, pa.int64()), pa.array([len(ids) for ids in encoded], pa.int64())],
+                               names=["doc_id", "n_tokens"])
+    if kind == "digests":
         rows = [coder.digests(ids) for ids in encoded]
         return pa.record_batch(
             [pa.array(doc_ids, pa.int64()), pa.array([r[0] for r in rows], pa.int64()),
@@ -170,10 +178,10 @@ def _result(doc_ids: list, encoded: list[list[int]], coder: Codec, digests: bool
                            names=["doc_id", "ids"])
 
 
-def _encoded(docs: DataFrame, path: str, long_chars: int, part_chars: int, digests: bool) -> DataFrame:
+def _encoded(docs: DataFrame, path: str, long_chars: int, part_chars: int, kind: str) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    schema = ("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests
-              else "doc_id long, ids array<int>")
+    schema = {"digests": "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
+              "ids": "doc_id long, ids array<int>", "lengths": "doc_id long, n_tokens long"}[kind]
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
@@ -181,7 +189,7 @@ def _encoded(docs: DataFrame, path: str, long_chars: int, part_chars: int, diges
             texts = batch.column(1).to_pylist()
             for a in range(0, len(texts), 32):  # token lists are large: few rows at a time
                 yield _result(batch.column(0).slice(a, 32).to_pylist(), [coder.encode(t) for t in texts[a:a + 32]],
-                              coder, digests)
+                              coder, kind)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
@@ -220,7 +228,7 @@ def _encoded(docs: DataFrame, path: str, long_chars: int, part_chars: int, diges
                     leaves.append(np.frombuffer(once[k][2], np.int32).tolist())
                     k += 1
                 ids += coder.join_tree(leaves)
-            yield _result([key[0]] * copies, [ids] * copies, coder, digests)
+            yield _result([key[0]] * copies, [ids] * copies, coder, kind)
 
         for batch in batches:
             for doc_id, name, part, stretch, payload in zip(*(c.to_pylist() for c in batch.columns)):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.jobs.registry import Query
 from tidemark.llm.ann import nearest
-from tidemark.llm.bpe import encode_digests
+from tidemark.llm.bpe import encode_digests, encode_lengths
 from tidemark.llm.common import held_out, load
 from tidemark.llm.embedding_dedup import near_duplicates
 from tidemark.llm.html_text import extract
@@ -19,6 +19,7 @@ from tidemark.llm.langid import identify as identify_languages
 from tidemark.llm.langid import learn as learn_languages
 from tidemark.llm.mixing import MIX_SQL, mix
 from tidemark.llm.substring_dedup import remove_repeats
+from tidemark.llm.token_counts import length_histogram
 from tidemark.llm.toxicity import toxicity
 from tidemark.session import prepare
 
@@ -99,3 +100,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return extract(load(spark, sf_dir, "pages"))
+
+
+@query("op3_token_counts")
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histogram of all documents' token counts, with what each length answers as a context limit."""
+    lengths = encode_lengths(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return length_histogram(lengths)
