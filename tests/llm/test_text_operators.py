@@ -1,5 +1,4 @@
 import hashlib
-import random
 from collections import Counter
 
 import numpy as np
@@ -158,7 +157,6 @@ def test_viterbi_restores_disguised_words():
     for written, meant in [("1d10t", "idiot"), ("i.d.i.o.t", "idiot"), ("idiiiiooot", "idiot"), ("$tup!d", "stupid"),
                            ("id*ot", "idiot"), ("i-d-1-0-t", "idiot"), ("letter", "letter")]:
         assert meant in restorer.words(written), written
-    assert "idiot" in toxicity._tokens("you i d i o t now") | set(map("".join, [["idiot"]]))
     assert any(t == "idiot" for t in toxicity._tokens("you i d i o t"))
 
 
