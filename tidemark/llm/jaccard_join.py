@@ -9,9 +9,10 @@ Two documents link when ``100 * |A & B| >= percent * |A | B|`` for their shingle
    and of verifying candidates, which falls with ``l``, is least.  Two documents need ``min(l, l')`` common prefix
    shingles, since the longer prefix contains the shorter choice.
 4. Parity bitmaps, whose Hamming distance never exceeds the sets' difference, rule out most pairs of a posting list.
-   Classes without any remaining partner are done.  Of the others each one's nearest partner is verified first, which
-   joins most groups of copies; then every pair that shares enough prefix shingles and is still in two components is
-   verified on the whole texts.  Only pairs inside one component stay unexpanded: they cannot change a component.
+   Classes without any remaining partner are done; the others get finer bitmaps.  Each one's nearest partner, then its
+   nearest one in another component, is verified on the whole texts for a few rounds, which joins groups of copies;
+   then every pair that shares enough prefix shingles and is still in two components is verified.  Only pairs inside
+   one component stay unexpanded: they cannot change a component.
 
 Rows: a null or word-less text has an empty set and links with nothing.  Rows that share a doc_id count as one
 document; a null doc_id links with nothing.  Only ``doc_id`` and ``text`` are read, so further columns are ignored.
@@ -37,6 +38,8 @@ SKETCH = 1 << 16         # counters of each sketch row: its size does not grow w
 MOST_MATCHES = 6         # largest l a document may choose
 VERIFY_COST = 40.0       # cost of verifying one candidate, in postings read
 SCAN_ROWS = 20_000       # postings compared at a time
+SCAN_BYTES = 1 << 25     # and their bytes, unless one tile holds more
+ROUNDS = 4               # of nearest partners before all remaining pairs are listed; changes no result
 BLOCK = 2048             # members of one posting list that one task compares with one another
 
 
@@ -93,9 +96,9 @@ def choose_prefix(tokens: np.ndarray, sketch: np.ndarray, percent: int) -> tuple
     return tokens[order[:base + best + 1]], best + 1
 
 
-def parity_bitmap(tokens: np.ndarray) -> bytes:
-    """Parity of the tokens per bit, with about half as many bits as tokens, 256 at least."""
-    bits = min(max(256, 1 << max(len(tokens) // 2 - 1, 0).bit_length()), 1 << 16)
+def parity_bitmap(tokens: np.ndarray, density: float = 0.5) -> bytes:
+    """Parity of the tokens per bit, with about ``density`` bits a token, 256 at least."""
+    bits = min(max(256, 1 << max(int(len(tokens) * density) - 1, 0).bit_length()), 1 << 16)
     counts = np.bincount((mix(tokens + np.uint64(99)) % np.uint64(bits)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
@@ -154,8 +157,19 @@ def described(texts: DataFrame, width: int, percent: int, sketch: np.ndarray) ->
         describe, "doc_id long, n long, h1 long, h2 long, l int, prefix array<long>, bitmap binary")
 
 
-def _close(small: str, large: str, percent: int) -> str:
-    return f"{small} * 100 >= {large} * {percent}"
+def fine_bitmaps(texts: DataFrame, width: int) -> DataFrame:
+    """``(id, bitmap)`` with four bits a shingle, so that few pairs pass whose texts do not."""
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = bytes_of(batch.column(1))
+            for a, b in pieces(offsets, PIECE):
+                sets = shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], width)
+                yield pa.record_batch([batch.column(0).slice(a, b - a),
+                                       pa.array([parity_bitmap(s, 4.0) for s in sets], pa.binary())],
+                                      names=["id", "bitmap"])
+
+    return texts.select("doc_id", "text").mapInArrow(describe, "id long, bitmap binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -215,11 +229,12 @@ def _tiles(rows: DataFrame) -> DataFrame:
 def _whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Runs of complete tiles from sorted rows whose first three columns name the tile."""
     held: list[pa.RecordBatch] = []
-    rows = 0
+    rows = size = 0
     for batch in batches:
         held.append(batch)
         rows += batch.num_rows
-        if rows >= SCAN_ROWS:
+        size += batch.nbytes
+        if rows >= SCAN_ROWS or size >= SCAN_BYTES:
             table = pa.Table.from_batches(held).combine_chunks()
             key = np.stack([table.column(k).to_numpy().astype(np.int64) for k in range(3)])
             changes = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
@@ -227,7 +242,7 @@ def _whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
                 cut = int(changes[-1])
                 yield table.slice(0, cut)
                 held = table.slice(cut).to_batches()
-                rows = table.num_rows - cut
+                rows, size = table.num_rows - cut, sum(part.nbytes for part in held)
     if rows:
         yield pa.Table.from_batches(held)
 
@@ -262,16 +277,30 @@ def close_pairs(tiles: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.
                 yield one[near], two[near], distance[near]
 
 
-def partners(postings: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """``(id, a, b)``: every class that has a possible partner, with the pair of it and its nearest one."""
-    rows = _tiles(postings.join(classes.select("id", "bitmap"), "id").withColumn("part", F.col("id")))
+def met(postings: DataFrame, bitmaps: DataFrame, parts: DataFrame | None = None) -> DataFrame:
+    """Sorted tiles of the postings whose classes can meet one of another component under the same shingle.
+
+    Without ``parts(id, part)`` every class is a component of its own.
+    """
+    if parts is None:
+        placed = postings.withColumn("part", F.col("id"))
+    else:
+        placed = postings.join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
+        mixed = placed.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi")
+        placed = placed.join(mixed.select("token"), "token", "left_semi")
+    return _tiles(placed.join(bitmaps.select("id", "bitmap"), "id")).select(
+        "token", "tile_a", "tile_b", "id", "n", "part", "block", "bitmap", "l")
+
+
+def nearest_partners(tiles: DataFrame, percent: int) -> DataFrame:
+    """``(id, a, b)``: every class with a possible partner, with the pair of it and its nearest one."""
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tiles in _whole_tiles(batches):
-            ids = tiles.column(3).to_numpy()
+        for rows in _whole_tiles(batches):
+            ids = rows.column(3).to_numpy()
             best = np.full(len(ids), np.iinfo(np.int64).max)
             other = np.zeros(len(ids), np.int64)
-            for one, two, distance in close_pairs(tiles, percent):
+            for one, two, distance in close_pairs(rows, percent):
                 for x, y in ((one, two), (two, one)):  # a row stands once on either side of a step
                     nearer = distance < best[x]
                     best[x[nearer]], other[x[nearer]] = distance[nearer], ids[y[nearer]]
@@ -279,50 +308,25 @@ def partners(postings: DataFrame, classes: DataFrame, percent: int) -> DataFrame
             yield pa.record_batch([pa.array(ids[found]), pa.array(best[found]), pa.array(other[found])],
                                   names=["id", "distance", "other"])
 
-    best = rows.select("token", "tile_a", "tile_b", "id", "n", "part", "block", "bitmap").mapInArrow(
-        nearest, "id long, distance long, other long")
+    best = tiles.mapInArrow(nearest, "id long, distance long, other long")
     return best.groupBy("id").agg(F.min(F.struct("distance", "other")).alias("best")).select(
         "id", F.least("id", "best.other").alias("a"), F.greatest("id", "best.other").alias("b"))
 
 
-def split_pairs(postings: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """``(a, b, distance)`` of the pairs in two components that share enough prefix shingles and pass their bitmaps.
-
-    A pair meets under every shingle that both prefixes hold; it is reported under the least of them only.
-    """
-    placed = postings.join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
-    mixed = placed.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi")
-    rows = _tiles(placed.join(mixed.select("token"), "token", "left_semi"))
+def split_pairs(tiles: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)`` of the pairs in two components that share enough prefix shingles and pass their bitmaps."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tiles in _whole_tiles(batches):
-            ids, token, matches = (tiles.column(k).to_numpy() for k in (3, 0, 8))
-            prefixes = tiles.column(9).combine_chunks()
-            known: dict[int, frozenset[int]] = {}
-
-            def prefix(row: int) -> frozenset[int]:
-                if row not in known:
-                    known[row] = frozenset(prefixes[row].as_py())
-                return known[row]
-
-            for one, two, distance in close_pairs(tiles, percent):
-                found = []
-                for x, y, d in zip(one.tolist(), two.tolist(), distance.tolist()):
-                    common = prefix(x) & prefix(y)
-                    if len(common) >= min(matches[x], matches[y]) and min(common) == token[x]:
-                        found.append((min(ids[x], ids[y]), max(ids[x], ids[y]), d))
-                if found:
-                    yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b", "distance"])
-
-    return rows.select("token", "tile_a", "tile_b", "id", "n", "part", "block", "bitmap", "l", "prefix").mapInArrow(
-        compare, "a long, b long, distance long")
-
+        for rows in _whole_tiles(batches):
+            ids, matches = rows.column(3).to_numpy(), rows.column(8).to_numpy()
+            for one, two, _ in close_pairs(rows, percent):
+                yield pa.record_batch(
+                    [pa.array(np.minimum(ids[one], ids[two])), pa.array(np.maximum(ids[one], ids[two])),
+                     pa.array(np.minimum(matches[one], matches[two]))], names=["a", "b", "least"])
 
-def nearest_pairs(pairs: DataFrame) -> DataFrame:
-    """For every document the pair with the least distance."""
-    lows = pairs.groupBy("a").agg(F.min_by("b", F.struct("distance", "b")).alias("b"))
-    highs = pairs.groupBy("b").agg(F.min_by("a", F.struct("distance", "a")).alias("a"))
-    return lows.unionByName(highs).distinct()
+    # A pair meets once under every shingle that both prefixes hold.
+    return tiles.mapInArrow(compare, "a long, b long, least int").groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("common"), F.first("least").alias("least")).filter("common >= least").select("a", "b")
 
 
 def _joined(parts: DataFrame, links: DataFrame, name: str) -> DataFrame:
@@ -335,13 +339,6 @@ def _joined(parts: DataFrame, links: DataFrame, name: str) -> DataFrame:
         F.coalesce("id", "part").alias("id"), F.coalesce("whole", "part").alias("part"))
 
 
-def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """The pairs whose ends are in two components."""
-    for end in ("a", "b"):
-        pairs = pairs.join(parts.select(F.col("id").alias(end), F.col("part").alias(f"part_{end}")), end, "left")
-    return pairs.filter("coalesce(part_a, a) <> coalesce(part_b, b)").select("a", "b", "distance")
-
-
 def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """``doc_id, n_shingles, class_id, component_id`` of every row of ``docs(doc_id, text)``.
 
@@ -355,17 +352,24 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
             F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("l").alias("l"),
             F.first("prefix").alias("prefix"), F.first("bitmap").alias("bitmap")), "jaccard-classes")
     postings = staged(posting_lists(classes, percent), "jaccard-postings")
-    best = staged(partners(postings, classes, percent), "jaccard-partners")
+    best = staged(nearest_partners(met(postings, classes), percent), "jaccard-partners")
     # From here on only classes with a possible partner matter: their texts are kept.
     texts = staged(rows_of(texts, best.select(F.col("id").alias("doc_id")), "doc_id"), "jaccard-texts")
-    near = verified(best.select("a", "b").distinct(), texts, width, percent)
-    parts = staged(components(near, "jaccard-parts").withColumnRenamed("component", "part"), "jaccard-parts")
-    left = best.select("id")
-    listed = rows_of(postings, left, "id").join(rows_of(classes, left, "id").select("id", "bitmap", "prefix"), "id")
-    pairs = staged(split_pairs(listed, parts, percent), "jaccard-pairs")
-    parts = staged(_joined(parts, verified(nearest_pairs(pairs), texts, width, percent), "jaccard-near"), "jaccard-near")
-    rest = verified(_apart(pairs, parts).select("a", "b"), texts, width, percent)
-    final = _joined(parts, rest, "jaccard-rest").select(F.col("id").alias("class_id"), F.col("part").alias("linked"))
+    listed = staged(rows_of(postings, best.select("id"), "id"), "jaccard-listed")
+    bitmaps = staged(fine_bitmaps(texts, width), "jaccard-bitmaps")
+    links = verified(best.select("a", "b").distinct(), texts, width, percent)
+    parts = staged(components(links, "jaccard-parts").withColumnRenamed("component", "part"), "jaccard-parts")
+    near = links = None
+    for _ in range(ROUNDS):
+        near = staged(nearest_partners(met(listed, bitmaps, parts), percent), "jaccard-near")
+        links = staged(verified(near.select("a", "b").distinct(), texts, width, percent), "jaccard-links")
+        if links.isEmpty():
+            break
+        parts = staged(_joined(parts, links, "jaccard-parts"), "jaccard-parts")
+    if not near.isEmpty():  # some pairs of two components still pass their bitmaps
+        pairs = split_pairs(met(listed, bitmaps, parts), percent)
+        parts = _joined(parts, staged(verified(pairs, texts, width, percent), "jaccard-rest"), "jaccard-rest")
+    final = parts.select(F.col("id").alias("class_id"), F.col("part").alias("linked"))
     named = classes.select("h1", "h2", F.col("id").alias("class_id")).join(final, "class_id", "left")
     return sets.select("doc_id", "h1", "h2", "n").join(named, ["h1", "h2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"),
