@@ -1,9 +1,9 @@
-"""Cases the driver's tables do not hold: unknown events and negative integers."""
+"""Cases the driver's tables do not hold: unknown events, negative integers, null keys and tied positions."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import automaton
+from tidemark.operators import automaton, detection
 from tidemark.sources.records import little_endian_int, to_little_endian
 
 
@@ -21,3 +21,30 @@ def test_signed_integers_round_trip(spark):
     df = spark.createDataFrame([(v,) for v in values], "v long")
     got = df.select("v", little_endian_int(to_little_endian(F.col("v")), 0).alias("back")).collect()
     assert all(r["v"] == r["back"] for r in got)
+
+
+ORDER = ["pos", "id"]
+
+
+def test_null_keys_form_one_chain(spark):
+    big = 2**60 + 1  # beside a null, pandas would hold this key as a float
+    rows = [(k, 10 * i, i, 1 + i) for k in (None, big, big + 1) for i in range(9)]
+    df = spark.createDataFrame(rows, "k long, pos long, id long, v long")
+    found = detection.rising_trends(df, ["k"], ORDER, "v", 25).select("k", "pos").collect()
+    want = [(k, p) for k in (None, big, big + 1) for p in (10, 40)]
+    assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
+
+
+def test_delta_trigger_sees_no_later_row_of_its_position(spark):
+    rows = [("k", 0, 0, 0, 0), ("k", 10, 1, 5, 50), ("k", 10, 2, 9, 51), (None, 0, 3, 0, 0), (None, 10, 4, 1, 50), (None, 20, 5, 2, 90)]
+    df = spark.createDataFrame(rows, "k string, pos long, id long, speed long, dist long")
+    found = detection.delta_trigger(df, ["k"], ORDER, "dist", 30, "speed", 100).collect()
+    assert sorted((r["id"], r["best_id"]) for r in found) == [(1, 1), (4, 4), (5, 5)]
+
+
+def test_fail_timer_names_the_first_of_tied_failures(spark):
+    rows = [("k", 10, i) for i in (7, 3, 5)]
+    for given in (rows, rows[::-1]):
+        df = spark.createDataFrame(given, "k string, pos long, id long").coalesce(1)
+        found = detection.fails_at_timer(df, ["k"], "pos", F.lit(True), F.lit(False), 60, ties=["id"]).collect()
+        assert [(r["id"], r["fails"]) for r in found] == [(3, 3)]

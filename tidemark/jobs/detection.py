@@ -172,7 +172,7 @@ def order_pay_outcome(spark, sf_dir):
 
 @query("login_fail_timer", f"""
 WITH {EVENTS},
-f AS (SELECT *, lag(pos) OVER (PARTITION BY user_id ORDER BY pos) + {6 * HOUR} AS fired FROM ev WHERE event_type = 'error'),
+f AS (SELECT *, lag(pos) OVER (PARTITION BY user_id ORDER BY pos, event_id) + {6 * HOUR} AS fired FROM ev WHERE event_type = 'error'),
 c AS (SELECT f.user_id, f.event_id, f.pos, f.fired,
              (SELECT max(s.pos) FROM ev s WHERE s.user_id = f.user_id AND s.event_type = 'signup' AND s.pos <= f.pos + {6 * HOUR}) AS cleared
       FROM f),
@@ -183,7 +183,8 @@ n AS (SELECT c.user_id, c.event_id, c.pos, count(e.event_id) AS fails
 SELECT user_id, event_id, fails, make_timestamp(pos + {6 * HOUR}) AS alert_at FROM n WHERE fails >= 2""")
 def login_fail_timer(spark, sf_dir):
     logins = slim(spark, sf_dir).filter("event_type IN ('error', 'signup')")
-    out = d.fails_at_timer(logins, ["user_id"], "pos", is_type("error"), is_type("signup"), "6 hours")
+    out = d.fails_at_timer(logins, ["user_id"], "pos", is_type("error"), is_type("signup"), "6 hours",
+                           ties=["event_id"])
     return out.select("user_id", "event_id", "fails", plain("alert_at").alias("alert_at"))
 
 
@@ -263,7 +264,7 @@ t AS (SELECT user_id, rn, dist FROM c WHERE rn = 1
 f AS (SELECT c.* FROM t JOIN c ON c.user_id = t.user_id AND c.rn = t.rn WHERE t.rn > 1)
 SELECT f.user_id, f.event_id, f.dist::BIGINT AS distance,
        arg_max(e.event_id, (e.cents, -e.pos, -e.event_id)) AS best_event_id, max(e.cents) AS best_cents
-FROM f JOIN ev e ON e.user_id = f.user_id AND e.pos <= f.pos AND e.pos > f.pos - {DAY}
+FROM f JOIN ev e ON e.user_id = f.user_id AND (e.pos, e.event_id) <= (f.pos, f.event_id) AND e.pos > f.pos - {DAY}
 GROUP BY f.user_id, f.event_id, f.dist""")
 def delta_trigger_max(spark, sf_dir):
     """Each further 80 units of a user's accumulated value: the largest event of the last day."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import top_n
 from tidemark.plans.buckets import Width, buckets_for
-from tidemark.plans.ordered import in_bucket, overlap, running, settle, with_next, with_previous
+from tidemark.plans.ordered import BUCKET, in_bucket, overlap, running, settle, with_next, with_previous
 from tidemark.plans.segments import SEGMENT, chain_rows, with_segments
 from tidemark.plans.staging import staged
 from tidemark.plans.timing import instant, micros
@@ -48,14 +48,15 @@ def order_outcomes(
 
 def fails_at_timer(
     df: DataFrame, keys: Sequence[str], pos: str, is_fail: Column, is_clear: Column,
-    wait: str, width: Width = None, at_least: int = 2,
+    wait: str, width: Width = None, at_least: int = 2, ties: Sequence[str] = (),
 ) -> DataFrame:
     """Failed logins counted by a timer ``wait`` after each failure.
 
     Every failure sets a timer.  A timer counts the failures collected since the
     previous timer went off and since the last success, alarms from ``at_least``
     on, and empties the list.  So the count at a timer is a difference of running
-    counts, and only rows within ``wait`` around the failure matter.
+    counts, and only rows within ``wait`` around the failure matter.  Of failures at the same position the first
+    in the order of ``ties`` owns the alarm.
     """
     w = micros(wait)
     rows = overlap(
@@ -71,7 +72,7 @@ def fails_at_timer(
     counted = counted.withColumn(
         "_cleared", F.max(F.when(F.col("_clear"), F.col("_c"))).over(upto))
     fails = counted.filter("_fail = 1")
-    fails = fails.withColumn("_fired", F.lag("_due").over(by_time))
+    fails = fails.withColumn("_fired", F.lag("_due").over(in_bucket(keys, pos, *ties)))
     gone = F.greatest(F.coalesce("_fired", F.lit(0)), F.coalesce("_cleared", F.lit(0)))
     return (
         settle(fails.withColumn("fails", F.col("_due") - gone))
@@ -160,12 +161,15 @@ def delta_trigger(
     pos = order[0]
     buckets = buckets_for(df, pos, width, apart=8 * micros(last))
     # The evictor's view is a bounded look back: the best row is known before any firing.
-    recent = in_bucket(keys, pos).rangeBetween(-(micros(last) - 1), Window.currentRow)
+    # A range frame would also see later rows of the same position, so those are scanned by rows.
+    recent = in_bucket(keys, pos).rangeBetween(-(micros(last) - 1), -1)
+    tied = Window.partitionBy(*keys, BUCKET, pos).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     fields = list(dict.fromkeys([*order, *keep, measure]))
     # The earliest of the rows that share the largest measure.
-    rank = F.struct(F.col(measure), *[(-F.col(c)).alias(f"_{c}") for c in order])
+    rank = F.struct(F.col(measure).alias("_measure"), *[(-F.col(c)).alias(f"_{c}") for c in order],
+                    F.struct(*fields).alias("row"))
     best = settle(overlap(df, keys, pos, buckets, behind=last).withColumn(
-        "_best", F.max_by(F.struct(*fields), rank).over(recent)))
+        "_best", F.greatest(F.max(rank).over(recent), F.max(rank).over(tied))["row"]))
     flat = staged(best.select(
         *keys, *order, progress, *[F.col(f"_best.{f}").alias(f"best_{f}") for f in fields]), "recent-best")
     seen = staged(with_previous(flat, keys, order, [progress], buckets), "delta")

@@ -12,6 +12,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +34,7 @@ def with_segments(
 def chain_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, gap: int,
 ) -> DataFrame:
-    """Rows on the greedy chain of each segment (keys must not be null).
+    """Rows on the greedy chain of each segment; null keys form one key.
 
     The first row of a segment is on the chain; after it, always the next row
     whose ``value`` exceeds that of the last chain row by more than ``gap``.
@@ -42,21 +44,31 @@ def chain_rows(
     stream and carries one number from batch to batch, so memory does not grow
     with the segment.
     """
-    by = [*keys, SEGMENT]
-    placed = df.repartition(*by).sortWithinPartitions(*by, *order)
+    # Keys are compared as one text, in which a null equals a null.
+    by = ["_chain", SEGMENT]
+    placed = (
+        df.withColumn("_chain", F.to_json(F.struct(*keys)) if keys else F.lit(""))
+        .repartition(*by).sortWithinPartitions(*by, *order)
+    )
 
-    def batches(frames):
+    columns = df.columns
+
+    def on_chains(batches):
         segment, base = None, None
-        for frame in frames:
-            if frame.empty:
+        for batch in batches:
+            rows = batch.num_rows
+            if not rows:
                 continue
-            values = frame[value].to_numpy()
-            opens = frame[by].ne(frame[by].shift()).any(axis=1).to_numpy()
+            values = batch.column(value).to_numpy()
+            opens = np.ones(rows, dtype=bool)
+            opens[1:] = np.logical_or.reduce([
+                pc.not_equal(batch.column(c).slice(1), batch.column(c).slice(0, rows - 1)).to_numpy(zero_copy_only=False)
+                for c in by])
             starts = np.flatnonzero(opens)
-            ends = np.append(starts[1:], len(frame))
-            on_chain = np.zeros(len(frame), dtype=bool)
+            ends = np.append(starts[1:], rows)
+            on_chain = np.zeros(rows, dtype=bool)
             at = starts.copy()
-            if tuple(frame[by].iloc[0]) == segment:
+            if tuple(batch.column(c)[0].as_py() for c in by) == segment:
                 at[:1] = _first_above(values, at[:1], ends[:1], np.array([base + gap]))
             limit = ends
             while True:
@@ -66,14 +78,13 @@ def chain_rows(
                     break
                 on_chain[at] = True
                 at = _first_above(values, at + 1, limit, values[at] + gap)
-            fresh = tuple(frame[by].iloc[-1])
             tail = np.flatnonzero(on_chain[starts[-1]:])
             if len(tail):
                 base = values[starts[-1] + tail[-1]]
-            segment = fresh
-            yield frame[on_chain]
+            segment = tuple(batch.column(c)[rows - 1].as_py() for c in by)
+            yield batch.select(columns).filter(pa.array(on_chain))
 
-    return placed.mapInPandas(batches, df.schema)
+    return placed.mapInArrow(on_chains, df.schema)
 
 
 def _first_above(values, low, high, target):
