@@ -360,15 +360,19 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     links = verified(best.select("a", "b").distinct(), texts, width, percent)
     parts = staged(components(links, "jaccard-parts").withColumnRenamed("component", "part"), "jaccard-parts")
     near = links = None
+    open_listed, open_texts = listed, texts
     for _ in range(ROUNDS):
-        near = staged(nearest_partners(met(listed, bitmaps, parts), percent), "jaccard-near")
-        links = staged(verified(near.select("a", "b").distinct(), texts, width, percent), "jaccard-links")
+        near = staged(nearest_partners(met(open_listed, bitmaps, parts), percent), "jaccard-near")
+        # Components only grow: a class without a possible partner in another one now never has one later.
+        open_listed = rows_of(listed, near.select("id"), "id")
+        open_texts = rows_of(texts, near.select(F.col("id").alias("doc_id")), "doc_id")
+        links = staged(verified(near.select("a", "b").distinct(), open_texts, width, percent), "jaccard-links")
         if links.isEmpty():
             break
         parts = staged(_joined(parts, links, "jaccard-parts"), "jaccard-parts")
     if not near.isEmpty():  # some pairs of two components still pass their bitmaps
-        pairs = split_pairs(met(listed, bitmaps, parts), percent)
-        parts = _joined(parts, staged(verified(pairs, texts, width, percent), "jaccard-rest"), "jaccard-rest")
+        pairs = split_pairs(met(open_listed, bitmaps, parts), percent)
+        parts = _joined(parts, staged(verified(pairs, open_texts, width, percent), "jaccard-rest"), "jaccard-rest")
     final = parts.select(F.col("id").alias("class_id"), F.col("part").alias("linked"))
     named = classes.select("h1", "h2", F.col("id").alias("class_id")).join(final, "class_id", "left")
     return sets.select("doc_id", "h1", "h2", "n").join(named, ["h1", "h2"], "left").select(
