@@ -1,10 +1,13 @@
 """Cases the driver's tables do not hold: unknown events, negative integers, null keys and tied positions."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import automaton, detection
+from tidemark.operators import automaton, detection, joins
 from tidemark.sources.records import little_endian_int, to_little_endian
+from tidemark.streaming import rules
 
 
 @pytest.mark.parametrize("chunk", [2000, 2])
@@ -48,3 +51,40 @@ def test_fail_timer_names_the_first_of_tied_failures(spark):
         df = spark.createDataFrame(given, "k string, pos long, id long").coalesce(1)
         found = detection.fails_at_timer(df, ["k"], "pos", F.lit(True), F.lit(False), 60, ties=["id"]).collect()
         assert [(r["id"], r["fails"]) for r in found] == [(3, 3)]
+
+
+def test_match_streams_keeps_repeated_records(spark):
+    at = lambda df, name: df.withColumn(name, F.timestamp_seconds(name))
+    left = at(spark.createDataFrame([("k", 1), ("k", 100)], "k string, lt long"), "lt")
+    right = at(spark.createDataFrame([("k", 101)], "k string, rt long"), "rt")
+    got = joins.match_streams(left, right, ["k"], "lt", "rt", "5 seconds").select(
+        "status", F.unix_seconds("lt"), F.unix_seconds("rt")).collect()
+    assert sorted(map(tuple, got)) == [("matched", 100, 101), ("only_left", 1, None)]
+
+
+@pytest.mark.parametrize("per_bucket", ["5", "100000"])
+def test_match_streams_equals_its_stream_rule(spark, per_bucket):
+    draw = random.Random(4)
+    events = [(draw.choice(["a", "a", "a", "b", None]), draw.randrange(120), i, draw.choice(["left", "right"])) for i in range(160)]
+    rule, want = rules.MatchStreams(3 * 1_000_000), []
+    for key in ("a", "b", None):
+        memo = dict.fromkeys(name for name, _ in rule.memo)
+        for _, second, i, side in sorted((e for e in events if e[0] == key), key=lambda e: e[1:3]):
+            pos = second * 1_000_000
+            if memo["side"] is not None and rule.due(memo) < pos:
+                want += [(key, *out) for out in rule.on_timer(memo, rule.due(memo))]
+            want += [(key, *out) for out in rule.on_event(memo, {"pos": pos, "event_id": i, "event_type": side})]
+        if memo["side"] is not None:
+            want += [(key, *out) for out in rule.on_timer(memo, rule.due(memo))]
+    df = spark.createDataFrame(events, "k string, s long, id long, side string").withColumn("ts", F.timestamp_seconds("s"))
+    of = lambda side: df.filter(F.col("side") == side).select(
+        "k", F.col("id").alias(f"{side}_id"), F.col("ts").alias(f"{side}_ts"))
+    before = spark.conf.get("tidemark.rowsPerBucket")
+    spark.conf.set("tidemark.rowsPerBucket", per_bucket)
+    try:
+        got = joins.match_streams(of("left"), of("right"), ["k"], "left_ts", "right_ts", "3 seconds",
+                                  ties=[("left_id", "right_id")]).select("k", "left_id", "right_id", "status").collect()
+    finally:
+        spark.conf.set("tidemark.rowsPerBucket", before)
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert {r["status"] for r in got} == {"matched", "only_left", "only_right"}

@@ -57,22 +57,36 @@ def window_cogroup_left(spark, sf_dir):
 
 
 MATCH_SQL = f"""
-WITH o AS (SELECT o_orderkey AS orderkey, o_totalprice, o_orderdate FROM orders),
-s AS (SELECT l_orderkey AS orderkey, min(l_shipdate) AS shipdate FROM lineitem GROUP BY 1),
-b AS (SELECT coalesce(o.orderkey, s.orderkey) AS orderkey, o_orderdate, shipdate,
-             abs(epoch_us(o_orderdate) - epoch_us(shipdate)) <= {500 * DAY} AS near
-      FROM o FULL JOIN s ON o.orderkey = s.orderkey)
-SELECT orderkey, 'matched' AS status, o_orderdate, shipdate FROM b WHERE near
-UNION ALL SELECT orderkey, 'only_left', o_orderdate, NULL FROM b WHERE o_orderdate IS NOT NULL AND near IS NOT TRUE
-UNION ALL SELECT orderkey, 'only_right', NULL, shipdate FROM b WHERE shipdate IS NOT NULL AND near IS NOT TRUE"""
+WITH RECURSIVE a AS (
+  SELECT o_orderkey AS orderkey, epoch_us(o_orderdate) AS pos, 0 AS side, o_orderdate AS seen, CAST(NULL AS BIGINT) AS line FROM orders
+  UNION ALL SELECT l_orderkey, epoch_us(l_shipdate), 1, l_shipdate, l_linenumber FROM lineitem),
+s AS (SELECT *, row_number() OVER (PARTITION BY orderkey ORDER BY pos, side, line) AS rn FROM a),
+m AS (SELECT orderkey, rn, side AS wside, pos AS wpos, seen AS wat, line AS wline, CAST(NULL AS VARCHAR) AS status,
+             CAST(NULL AS TIMESTAMP) AS o_orderdate, CAST(NULL AS BIGINT) AS l_linenumber, CAST(NULL AS TIMESTAMP) AS shipdate
+      FROM s WHERE rn = 1
+      UNION ALL
+      SELECT orderkey, rn, CASE WHEN NOT pair THEN side END, CASE WHEN NOT pair THEN pos END,
+             CASE WHEN NOT pair THEN seen END, CASE WHEN NOT pair THEN line END,
+             CASE WHEN pair THEN 'matched' WHEN wside = 0 THEN 'only_left' WHEN wside = 1 THEN 'only_right' END,
+             CASE WHEN wside = 0 THEN wat WHEN pair THEN seen END, CASE WHEN wside = 1 THEN wline WHEN pair THEN line END,
+             CASE WHEN wside = 1 THEN wat WHEN pair THEN seen END
+      FROM (SELECT s.*, wside, wat, wline, coalesce(wside <> side AND s.pos - wpos <= {30 * DAY}, FALSE) AS pair
+            FROM m JOIN s ON s.orderkey = m.orderkey AND s.rn = m.rn + 1) n)
+SELECT orderkey, status, o_orderdate, l_linenumber, shipdate FROM m WHERE status IS NOT NULL
+UNION ALL
+SELECT orderkey, CASE wside WHEN 0 THEN 'only_left' ELSE 'only_right' END, CASE wside WHEN 0 THEN wat END, wline,
+       CASE wside WHEN 1 THEN wat END
+FROM (SELECT *, max(rn) OVER (PARTITION BY orderkey) AS last FROM m) WHERE rn = last AND wside IS NOT NULL"""
 
 
 @query("two_stream_match", MATCH_SQL)
 def two_stream_match(spark, sf_dir):
+    """Every order and every line of it: shipped within 30 days, or alone."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("orderkey"), "o_orderdate")
-    ships = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("orderkey"), F.col("l_shipdate").alias("shipdate"))
-    out = j.match_streams(orders, ships, ["orderkey"], "o_orderdate", "shipdate", "500 days")
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").cast("long").alias("l_linenumber"),
+        F.col("l_shipdate").alias("shipdate"))
+    out = j.match_streams(orders, lines, ["orderkey"], "o_orderdate", "shipdate", "30 days")
     return out.withColumn("o_orderdate", plain("o_orderdate")).withColumn("shipdate", plain("shipdate"))
 
 

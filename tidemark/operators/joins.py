@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.plans.buckets import Width
-from tidemark.plans.ordered import asof_latest
+from tidemark.plans.buckets import Width, buckets_for
+from tidemark.plans.ordered import asof_latest, running, with_next, with_previous
 from tidemark.plans.skew import broadcast_if_small, salted_join
 from tidemark.plans.timing import floor_div, micros, position
 
@@ -63,36 +63,51 @@ def window_join(
 
 def match_streams(
     left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
-    timeout: str,
+    timeout: str, ties: Sequence[tuple[str, str]] = (), width: Width = None,
 ) -> DataFrame:
-    """Pair the records of two sources one-to-one, reporting what found no partner.
+    """Pair the records of two sources one-to-one, reporting every record that found no partner.
 
-    Each side has one record per key (its earliest).  A pair at most ``timeout``
-    apart is ``matched``; otherwise both records time out on their own.
+    Per key the records of both sides form one sequence.  A record waits for the
+    next one: if that is of the other side and at most ``timeout`` later, the two
+    are ``matched``, otherwise the waiting one is alone (``only_left`` or
+    ``only_right``) and the next one waits.  Nothing is dropped.
+
+    Equal times are ordered by ``ties`` (pairs of a left and a right column), then
+    left before right, then by the other columns.  Null keys form one key; a
+    record without a time stays alone.
     """
-    first_left = _earliest(left, keys, left_ts)
-    first_right = _earliest(right, keys, right_ts)
-    both = first_left.join(first_right, list(keys), "full")
-    near = F.abs(position(left_ts) - position(right_ts)) <= F.lit(micros(timeout))
-    outcomes = (
-        F.when(F.col(right_ts).isNull(), F.array(F.lit("only_left")))
-        .when(F.col(left_ts).isNull(), F.array(F.lit("only_right")))
-        .when(near, F.array(F.lit("matched")))
-        .otherwise(F.array(F.lit("only_left"), F.lit("only_right")))
-    )
-    tagged = both.withColumn("status", F.explode(outcomes))
-    own = lambda side, c: F.when(F.col("status") != side, F.col(c)).alias(c)
-    left_cols = [c for c in first_left.columns if c not in keys]
-    right_cols = [c for c in first_right.columns if c not in keys]
-    return tagged.select(
-        *keys, "status",
-        *[own("only_right", c) for c in left_cols], *[own("only_left", c) for c in right_cols])
-
-
-def _earliest(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys and c != ts]
-    aggs = [F.min(ts).alias(ts)] + [F.min_by(c, F.struct(ts, *rest)).alias(c) for c in rest]
-    return df.groupBy(*keys).agg(*aggs)
+    keys = list(keys)
+    left_cols = [c for c in left.columns if c not in keys]
+    right_cols = [c for c in right.columns if c not in keys]
+    tied = [f"_tie_{i}" for i in range(len(ties))]
+
+    def tagged(df, side, ts, columns, ties, name):
+        return df.select(
+            *keys, position(ts).alias("_pos"), F.lit(side).alias("_side"),
+            *[F.col(c).alias(out) for c, out in zip(ties, tied)], F.struct(*columns).alias(name))
+
+    both = tagged(left, 0, left_ts, left_cols, [a for a, _ in ties], "_left").unionByName(
+        tagged(right, 1, right_ts, right_cols, [b for _, b in ties], "_right"), allowMissingColumns=True)
+    order = ["_pos", *tied, "_side", "_left", "_right"]
+    buckets = buckets_for(both, "_pos", width)
+    rows = with_previous(both, keys, order, ["_pos", "_side", "_left", "_right"], buckets, "_before")
+    follows = (F.col("_side") != F.col("_before_side")) & (
+        F.col("_pos") - F.col("_before_pos") <= F.lit(micros(timeout)))
+    rows = rows.withColumn("_reset", ~F.coalesce(follows, F.lit(False)))
+    # Sides alternate between two resets, so every record of the first one's side waits and the next answers it.
+    rows = running(rows.withColumn("_opener", F.when(F.col("_reset"), F.col("_side"))), keys, order,
+                   {"_first": ("_opener", "last")}, buckets)
+    rows = with_next(rows, keys, order, ["_reset"], buckets, "_after")
+    alone = F.when(F.col("_side") == 0, "only_left").otherwise("only_right")
+    status = F.when(F.col("_side") != F.col("_first"), F.lit("matched")).when(
+        F.coalesce("_after_reset", F.lit(True)), alone)
+    told = rows.withColumn("status", status).filter(F.col("status").isNotNull())
+    matched = F.col("status") == "matched"
+    one = F.when(matched, F.coalesce("_left", "_before_left")).otherwise(F.col("_left"))
+    two = F.when(matched, F.coalesce("_right", "_before_right")).otherwise(F.col("_right"))
+    return told.select(*keys, "status", one.alias("_one"), two.alias("_two")).select(
+        *keys, "status", *[F.col(f"_one.{c}").alias(c) for c in left_cols],
+        *[F.col(f"_two.{c}").alias(c) for c in right_cols])
 
 
 def lookup(
