@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import automaton, detection, joins
+from tidemark.plans.ordered import asof_latest
 from tidemark.sources.records import little_endian_int, to_little_endian
 from tidemark.streaming import rules
 
@@ -88,3 +89,11 @@ def test_match_streams_equals_its_stream_rule(spark, per_bucket):
         spark.conf.set("tidemark.rowsPerBucket", before)
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert {r["status"] for r in got} == {"matched", "only_left", "only_right"}
+
+
+def test_asof_cuts_a_long_right_side(spark):
+    left = spark.range(50).selectExpr("'k' as k", "id * 100 + 50 as pos", "id")
+    right = spark.range(5000).selectExpr("'k' as k", "id as at", "id * 2 as v")
+    out = asof_latest(left, right, ["k"], ["pos", "id"], "at", ["v"])
+    assert "_bucket" in out._jdf.queryExecution().toString()
+    assert sorted((r["id"], r["v"]) for r in out.collect()) == [(i, 2 * (100 * i + 50)) for i in range(50)]

@@ -196,7 +196,6 @@ def asof_latest(
     """
     keys, left_order = list(keys), list(left_order)
     pos = left_order[0]
-    buckets = buckets_for(left, pos, width)
     probes = left.withColumn("_side", F.lit(1)).withColumn("_tie", F.lit(""))
     builds = right.select(
         *keys, F.col(right_pos).alias(pos), F.lit(0).alias("_side"),
@@ -204,6 +203,7 @@ def asof_latest(
         F.struct(*values).alias("_right"),
     )
     both = probes.unionByName(builds, allowMissingColumns=True)
-    scanned = running(both, keys, [pos, "_side", "_tie"], {"_latest": ("_right", "last")}, buckets)
+    # Measured on both sides: either may hold the hot key's long history.
+    scanned = running(both, keys, [pos, "_side", "_tie"], {"_latest": ("_right", "last")}, width)
     return scanned.filter(F.col("_side") == 1).select(
         *left.columns, *[F.col(f"_latest.{v}").alias(v) for v in values])
