@@ -1,5 +1,6 @@
 import hashlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
@@ -209,6 +210,41 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("long", ["<p>{}</p>", "<p><b>{}</b></p>", "<ul><li>{}</li></ul>", "<h2>{}</h2>", "<blockquote><p>{}</p></blockquote>"])
+def test_one_long_block_is_not_the_article(long):
+    words = "many words, and more. " * 60
+    page = f"<body><div class=ad>Buy.</div><article><h1>Title</h1><p>Short, one.</p>{long.format(words)}<p>Last.</p></article></body>"
+    assert html_text.main_text(page) == " ".join(f"Title Short, one. {words} Last.".split())
+
+
+class _Article(HTMLParser):
+    """All text between the article tags, blocks and line breaks set apart."""
+
+    def __init__(self):
+        super().__init__()
+        self.inside, self.parts = False, []
+
+    def handle_starttag(self, tag, attrs):
+        self.inside |= tag == "article"
+        self.parts.append("" if tag in html_text.INLINE else " ")
+
+    def handle_endtag(self, tag):
+        self.inside &= tag != "article"
+        self.parts.append("" if tag in html_text.INLINE else " ")
+
+    def handle_data(self, data):
+        self.parts.append(data if self.inside else "")
+
+
+def test_the_whole_article_of_every_page(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    for r in pages:
+        reader = _Article()
+        reader.feed(r["html"])
+        reader.close()
+        assert html_text.main_text(r["html"]) == " ".join("".join(reader.parts).split()), r["page_id"]
+
+
 def test_extract_keeps_every_page(spark, sf_dir):
     got = QUERIES["op8_html_extraction"](spark, sf_dir)
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")

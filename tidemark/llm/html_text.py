@@ -3,8 +3,8 @@
 Every text node has a path, the names (with classes) of the elements around it.  Text length and punctuation are
 summed per path and divided by the path's nodes; both ratios are smoothed over the page in node order and multiplied.
 Paths whose mean fused ratio reaches the threshold, ``spread`` standard deviations of the node scores, hold content.
-The smallest element that holds most of the content's text is the article; its other text, such as headings and short
-paragraphs, belongs to it too.
+The smallest container (division, section, article, layout cell, ...) around all nodes on content paths is the article;
+its other text, such as headings and short paragraphs, belongs to it too.  One long paragraph is never the article.
 
 Elements that are never article text (navigation, headers and footers of the page, asides, forms, scripts, styles)
 and elements whose class, id or role says so (adverts, comments, notices, ...) have no paths.
@@ -30,6 +30,7 @@ NEVER = frozenset((RAW + " head nav header footer aside form button select optio
                    "object audio video canvas").split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q ruby s samp small span "
                    "strike strong sub sup time tt u var wbr".split())
+CONTAINERS = frozenset("html body main article section div center td".split())
 SIDE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice|popup|modal|newsletter|"
     r"subscri\w*|nav\w*|menu\w*|breadcrumbs?|sidebar|side|aside|footer|header|masthead|related|recommend\w*|share|social|"
@@ -71,7 +72,7 @@ def _is_side(name: str, attrs: str) -> tuple[bool, str]:
 
 
 def text_nodes(page: str) -> list[tuple[int, str, tuple[int, ...], str]]:
-    """``(block, path, enclosing elements, text)`` of the page's text nodes that may be content, in page order."""
+    """``(block, path, enclosing containers, text)`` of the page's text nodes that may be content, in page order."""
     nodes: list[tuple[int, str, tuple[int, ...], str]] = []
     stack: list[tuple[str, str, int, bool]] = []   # name, path, number, side
     block = number = at = 0
@@ -80,7 +81,7 @@ def text_nodes(page: str) -> list[tuple[int, str, tuple[int, ...], str]]:
         if text and not (stack and stack[-1][3]):
             plain = html.unescape(text)
             if plain:
-                nodes.append((block, stack[-1][1] if stack else "", tuple(s[2] for s in stack), plain))
+                nodes.append((block, stack[-1][1] if stack else "", tuple(s[2] for s in stack if s[0] in CONTAINERS), plain))
 
     for token in _TOKEN.finditer(page):
         if token.start() > at:
@@ -142,23 +143,15 @@ def content_nodes(nodes: list[tuple[int, str, tuple[int, ...], str]], sigma: flo
     return (of_path >= min(spread * fused.std(), of_path.max()))[path] & (length > 0)
 
 
-def main_text(page: str | None, sigma: float = 1.0, spread: float = 0.8, most: float = 0.9) -> str:
+def main_text(page: str | None, sigma: float = 1.0, spread: float = 0.8) -> str:
     """The article of a page: its blocks in order, joined by one space."""
     nodes = text_nodes(page or "")
     nodes = [n for n in nodes if n[3]]
     if not any(n[3].strip() for n in nodes):
         return ""
     chosen = content_nodes(nodes, sigma, spread)
-    weight: dict[int, float] = {}
-    total = 0.0
-    for node, good in zip(nodes, chosen):
-        if good:
-            size = len(node[3])
-            total += size
-            for element in node[2]:
-                weight[element] = weight.get(element, 0.0) + size
-    # Later numbers are deeper: the last element that still holds most of the content.
-    article = max((e for e, w in weight.items() if w >= most * total), default=0)
+    content = [set(node[2]) for node, good in zip(nodes, chosen) if good]
+    article = max(set.intersection(*content), default=0) if content else 0  # later numbers are deeper
     blocks: dict[int, list[str]] = {}
     for block, _, elements, text in nodes:
         if not article or article in elements:
@@ -167,12 +160,12 @@ def main_text(page: str | None, sigma: float = 1.0, spread: float = 0.8, most: f
     return " ".join(p for p in parts if p)
 
 
-def extract(pages: DataFrame, sigma: float = 1.0, spread: float = 0.8, most: float = 0.9) -> DataFrame:
+def extract(pages: DataFrame, sigma: float = 1.0, spread: float = 0.8) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``pages(page_id, url, html)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(p, sigma, spread, most) for p in batch.column(2).to_pylist()]
+            texts = [main_text(p, sigma, spread) for p in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
