@@ -4,8 +4,8 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writ
 shared folder and reads it again as the next stage's documents.  All stages but the last return the columns of
 ``documents``.  No stage looks at its predecessors' decisions, only at the documents they kept.
 
-Rows: null and empty texts have no language and go in the first stage; an empty table stays empty throughout; further
-columns are not carried along.
+Rows: null and empty texts have no language and go in the first stage; of repeated rows and near copies, with or
+without ids, the second stage keeps one; an empty table stays empty throughout; further columns are not carried along.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import encode_digests
-from tidemark.llm.common import held_out, prepare_texts
+from tidemark.llm.common import held_out, prepare_texts, rows_of
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.langid import identify, learn
 from tidemark.llm.mixing import mix
@@ -38,10 +38,21 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least document of every component of the similarity join (five-word shingles, 0.8)."""
+    """One row of every component of the similarity join (five-word shingles, 0.8): the least document, null ids last.
+
+    Rows are told apart by a hash of all columns, so ids may be null or repeated; rows that are equal are one row.
+    """
     prepare_texts(spark)
-    others = jaccard_components(docs, width=5, percent=80).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(others, "doc_id", "left_anti").select(*COLUMNS)
+    rows = docs.select(*COLUMNS, F.xxhash64(*COLUMNS).alias("_row"))
+    linked = jaccard_components(rows.select(F.col("_row").alias("doc_id"), "text"), width=5, percent=80)
+    linked = staged(linked.groupBy(F.col("doc_id").alias("_row")).agg(
+        F.min("component_id").alias("component"), F.count(F.lit(1)).alias("copies")), "pipeline-linked")
+    least = linked.join(rows.select("_row", "doc_id").distinct(), "_row").groupBy("component").agg(
+        F.min_by("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("_row"))
+    others = linked.join(least, "_row", "left_anti").select("_row")
+    repeated = staged(linked.filter("copies > 1").join(least, "_row", "left_semi").select("_row"), "pipeline-repeated")
+    once = rows.join(others.unionByName(repeated), "_row", "left_anti")
+    return once.unionByName(rows_of(rows, repeated, "_row").dropDuplicates(["_row"])).select(*COLUMNS)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,3 +31,23 @@ def test_empty_table(spark, sf_dir):
 
 def test_run_returns_the_last_stage(spark, sf_dir):
     assert pipeline.run(spark, sf_dir).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def _sentence(rng, n):
+    return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9))) for _ in range(n))
+
+
+def test_repeated_rows_and_null_ids_stay_once(spark, sf_dir, rng):
+    twice, unnamed, near, alone, shared = (_sentence(rng, 150) for _ in range(5))
+    changed = near + " one more"
+    rows = [(1, twice), (1, twice), (None, unnamed), (None, unnamed), (None, near), (None, changed), (7, changed),
+            (8, alone), (9, shared), (9, _sentence(rng, 150)), (10, shared)]
+    docs = spark.createDataFrame([(k, t, "en", "src0", len(t)) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = pipeline.one_of_near_copies(spark, docs, sf_dir).cache()
+    want = sorted([(1, twice), (None, unnamed), (7, changed), (8, alone), rows[8], rows[9]], key=str)
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == want
+    clean = pipeline.without_repeats(spark, kept, sf_dir).cache()
+    assert sorted(((r["doc_id"], r["text"]) for r in clean.collect()), key=str) == want
+    mixed = pipeline.mixed_sources(spark, clean, sf_dir).cache()
+    assert {r["doc_id"] for r in mixed.collect()} == {1, None, 7, 8, 9}
+    assert {r["doc_id"] for r in pipeline.tokens(spark, mixed, sf_dir).collect()} == {1, None, 7, 8, 9}
