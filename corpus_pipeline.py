@@ -18,7 +18,7 @@ from tidemark.llm.bpe import encode_digests
 from tidemark.llm.common import held_out, prepare_texts, rows_of
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.langid import identify, learn
-from tidemark.llm.mixing import mix
+from tidemark.llm.mixing import WORD, mix
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.plans.staging import staged
 from tidemark.session import prepare
@@ -26,6 +26,8 @@ from tidemark.session import prepare
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # A text whose best language still needs a phrase for less than every second symbol is in none of them.
 MOST_PHRASES = 0.5
+# Words of the shortest passage that may not repeat.
+LEAST_PASSAGE = 51
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,10 +58,11 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the strings of 400 bytes that start elsewhere too; what is left blank goes."""
+    """Documents without the passages of over 50 words and the strings of 400 bytes that start elsewhere too; what is
+    left blank goes."""
     prepare_texts(spark)
-    cleaned = remove_repeats(docs, width=400, keep=("lang", "source"), kept_text=True)
-    return cleaned.filter("n_removed = 0 or length(trim(kept)) > 0").select(
+    cleaned = remove_repeats(docs, width=400, keep=("lang", "source"), kept_text=True, words=LEAST_PASSAGE)
+    return cleaned.filter((F.col("n_removed") == 0) | F.col("kept").rlike(WORD)).select(
         "doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
 
 

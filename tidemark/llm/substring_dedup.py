@@ -1,6 +1,7 @@
 """Exact removal of repeated byte strings across all documents, with suffix arrays over shards of candidate text.
 
-A byte is removed if a ``width``-byte string that covers it also starts anywhere else.
+A byte is removed if a ``width``-byte string that covers it also starts anywhere else; on demand also the words of
+every passage of so many words that starts anywhere else, with whatever white space between them.
 
 1. Every window of ``width`` bytes has a key, the least hash of its ``GRAM``-byte substrings.  Equal windows have equal
    keys, and neighbouring windows mostly share one, so a text falls into segments of windows with one key.
@@ -13,6 +14,9 @@ A byte is removed if a ``width``-byte string that covers it also starts anywhere
    to the least substring and keyed by the bytes that all windows of the stretch share, and where that is still hot,
    window by window.  So a passage that very many documents hold does not end up in one shard.
 
+5. Passages of words go the same way, over texts in which each word is a code of ``CODE`` bytes.  Windows of bytes that
+   hold that many whole words are then left to them.
+
 Rows: a null text is empty; a text shorter than ``width`` keeps all bytes; repeated rows repeat each other's strings.
 Rows are told apart by a hash of doc_id and text.
 """
@@ -29,7 +33,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import bytes_of, pieces, rows_of
 from tidemark.llm.suffixes import repeated_starts
-from tidemark.llm.wordhash import BYTE_BITS, mix, running, window_hash
+from tidemark.llm.wordhash import BYTE_BITS, SPACE, mix, running, window_hash, word_bounds
+from tidemark.llm.wordhash import words as word_hashes
 from tidemark.plans.staging import staged
 
 GRAM = 16
@@ -40,7 +45,8 @@ HOT = 4096             # different segments of one key that may meet in a shard
 STRETCH = 24           # windows per stretch where a hot key is split first
 
 _OTHER_BITS = mix(BYTE_BITS + np.uint64(12345))
-_SEPARATOR = b"\xff"   # no UTF-8 text holds this byte
+CODE = 8               # bytes that stand for a word
+_SEPARATOR = b"\xff"   # no UTF-8 text and no word code holds this byte
 
 
 def _digest(first: np.ndarray, second: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,13 +110,36 @@ def segments(data: np.ndarray, offsets: np.ndarray, width: int) -> dict[str, np.
             "inner": inner}
 
 
-def segment_rows(texts: DataFrame, width: int) -> DataFrame:
+def word_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts of a buffer with ``CODE`` bytes of hash for every word and nothing between."""
+    hashed, bounds = word_hashes(data, offsets, BYTE_BITS)
+    return (hashed & np.uint64(0x7F7F7F7F7F7F7F7F)).view(np.uint8), bounds * CODE
+
+
+def _short_of_words(data: np.ndarray, starts: np.ndarray, counts: np.ndarray, width: int, words: int) -> np.ndarray:
+    """Whether some window of each segment holds fewer than ``words`` words with white space at both ends."""
+    space = SPACE[data]
+    ends = np.zeros(len(data) + 1, np.int64)
+    ends[2:] = np.cumsum(space[1:] & ~space[:-1])   # words that end before a byte
+    short = np.concatenate([[0], np.cumsum(ends[width:] - ends[1:len(ends) - width + 1] - 1 < words)])
+    return short[starts + counts] > short[starts]
+
+
+def segment_rows(texts: DataFrame, width: int, coded: bool = False, words: int = 0) -> DataFrame:
+    """Segments of all texts, or of their word codes; with ``words`` only those with windows of fewer words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column(0).to_numpy(zero_copy_only=False)
             data, offsets = bytes_of(batch.column(1))
             for a, b in pieces(offsets, PIECE):
-                found = segments(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], width)
+                part, local = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+                if coded:
+                    part, local = word_codes(part, local)
+                found = segments(part, local, width)
+                if found and words:
+                    short = _short_of_words(part, local[found["text"]] + found["start"], found["windows"], width, words)
+                    found = {name: column[short] for name, column in found.items()}
                 if found:
                     yield pa.record_batch(
                         [pa.array(rows[a + found["text"]]), pa.array(found["start"].astype(np.int32)),
@@ -122,7 +151,7 @@ def segment_rows(texts: DataFrame, width: int) -> DataFrame:
         run, "row long, start int, windows int, key long, h1 long, h2 long, inner boolean")
 
 
-def _with_text(wanted: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+def _with_text(wanted: DataFrame, texts: DataFrame, width: int, coded: bool) -> DataFrame:
     """``key, h1, h2, windows, weight, body`` with the bytes of each wanted segment, cut from its document."""
     per_row = wanted.groupBy("row").agg(F.collect_list(F.struct(
         "start", "windows", "key", "h1", "h2", "weight")).alias("parts"))  # at most one document's segments
@@ -133,7 +162,8 @@ def _with_text(wanted: DataFrame, texts: DataFrame, width: int) -> DataFrame:
             for k in range(batch.num_rows):
                 parts = batch.column(1)[k].values
                 columns = {f.name: parts.field(f.name).to_numpy(zero_copy_only=False) for f in parts.type}
-                text = data[offsets[k]:offsets[k + 1]].tobytes()
+                text = data[offsets[k]:offsets[k + 1]]
+                text = (word_codes(text, np.array([0, len(text)]))[0] if coded else text).tobytes()
                 bodies = [text[s:s + n + width - 1] for s, n in zip(columns["start"].tolist(), columns["windows"].tolist())]
                 yield pa.record_batch([*[pa.array(columns[c]) for c in ("key", "h1", "h2", "windows", "weight")],
                                        pa.array(bodies, pa.binary())],
@@ -242,9 +272,12 @@ def _shard_runs(distinct: DataFrame, width: int, stretches: tuple[int, ...]) ->
     return cold.unionByName(moved.distinct())
 
 
-def repeated_spans(texts: DataFrame, width: int) -> DataFrame:
-    """``row, spans``: for each row of ``texts(row, text)`` the stretches of windows that occur elsewhere too."""
-    all_segments = staged(segment_rows(texts, width), "repeats-segments")
+def repeated_spans(texts: DataFrame, width: int, coded: bool = False, words: int = 0) -> DataFrame:
+    """``row, spans``: for each row of ``texts(row, text)`` the stretches of windows that occur elsewhere too.
+
+    ``coded`` looks in the texts' word codes; ``words`` leaves out segments whose windows all hold that many words.
+    """
+    all_segments = staged(segment_rows(texts, width, coded, words), "repeats-segments")
     met = all_segments.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("inner").alias("inner")).filter(
         "n > 1 or inner").select("key")
     candidates = staged(all_segments.join(met, "key", "left_semi"), "repeats-candidates")
@@ -252,22 +285,35 @@ def repeated_spans(texts: DataFrame, width: int) -> DataFrame:
         F.first("windows").alias("windows"), F.count(F.lit(1)).alias("weight"),
         F.min(F.struct("row", "start")).alias("at")).select(
         "key", "h1", "h2", "windows", "weight", "at.row", "at.start"), "repeats-wanted")
-    distinct = staged(_with_text(wanted, texts, width), "repeats-distinct")
+    distinct = staged(_with_text(wanted, texts, width, coded), "repeats-distinct")
     runs = staged(_shard_runs(distinct, width, (STRETCH, 1)), "repeats-runs")
     return candidates.join(runs, ["h1", "h2"]).groupBy("row").agg(F.collect_list(F.struct(
         (F.col("start") + F.col("begin")).alias("begin"), (F.col("start") + F.col("stop") + (width - 1)).alias("stop")
     )).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, width: int = 400, keep: tuple[str, ...] = (), kept_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 400, keep: tuple[str, ...] = (), kept_text: bool = False,
+                   words: int = 0) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every document, and the columns named by ``keep``.
 
     With ``kept_text`` also ``kept``, the remaining bytes as text; a character that lost some of its bytes is left out.
+    With ``words`` passages of that many words go too, up to the word after them; white space does not tell them apart.
+    Strings of ``width`` bytes with so many words in them then lose the repeated words, not parts of words.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                         *keep, F.xxhash64("doc_id", "text").alias("_row"))
-    spans = repeated_spans(texts.select(F.col("_row").alias("row"), "text"), width).select(
-        F.col("row").alias("_row"), F.col("spans").alias("_spans"))
+    rows = texts.select(F.col("_row").alias("row"), "text")
+    spans = repeated_spans(rows, width, words=words).withColumnsRenamed({"row": "_row", "spans": "_spans"})
+    if words:
+        passages = repeated_spans(rows, words * CODE, coded=True).withColumnsRenamed({"row": "_row", "spans": "_words"})
+        spans = spans.join(passages, "_row", "full")
+    else:
+        spans = spans.withColumn("_words", F.lit(None).cast(spans.schema["_spans"].dataType))
+
+    def ends_of(spans: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+        if not spans.is_valid:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return tuple(spans.values.field(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in ("begin", "stop"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -275,13 +321,20 @@ def remove_repeats(docs: DataFrame, width: int = 400, keep: tuple[str, ...] = ()
             out = []
             for k in range(batch.num_rows):
                 text = data[offsets[k]:offsets[k + 1]]
-                spans = batch.column(2)[k]
-                if not spans.is_valid or not len(spans.values):
+                begin, stop = ends_of(batch.column(2)[k])
+                first, last = ends_of(batch.column(3)[k])
+                first, last = -(-first // CODE), last // CODE
+                whole = last - first >= words
+                if whole.any():
+                    starts = np.append(word_bounds(text, np.array([0, len(text)]))[0], len(text))
+                    begin = np.append(begin, starts[first[whole]])
+                    stop = np.append(stop, starts[last[whole]])
+                if not len(begin):
                     kept, count = text.tobytes(), 0
                 else:
                     edge = np.zeros(len(text) + 1, np.int64)
-                    np.add.at(edge, spans.values.field("begin").to_numpy(zero_copy_only=False), 1)
-                    np.add.at(edge, spans.values.field("stop").to_numpy(zero_copy_only=False), -1)
+                    np.add.at(edge, begin, 1)
+                    np.add.at(edge, stop, -1)
                     gone = np.cumsum(edge[:-1]) > 0
                     count = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                     kept = text[~gone].tobytes()
@@ -292,10 +345,10 @@ def remove_repeats(docs: DataFrame, width: int = 400, keep: tuple[str, ...] = ()
                       pa.array(columns[2], pa.int64()), pa.array(columns[3], pa.string())]
             if kept_text:
                 arrays.append(pa.array(columns[4], pa.string()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[3:], *arrays], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[4:], *arrays], names=schema.names)
 
-    joined = texts.join(spans, "_row", "left").select("doc_id", "text", "_spans", *keep)
-    schema = joined.drop("text", "_spans").schema
+    joined = texts.join(spans, "_row", "left").select("doc_id", "text", "_spans", "_words", *keep)
+    schema = joined.drop("text", "_spans", "_words").schema
     for name in ("n_bytes", "n_removed", "n_spans"):
         schema = schema.add(name, "long")
     schema = schema.add("kept_sha256", "string")

@@ -62,11 +62,11 @@ def window_hash(sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nda
         return (sums[stop] - sums[start]) * powers(_INVERSE, len(sums))[start]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word of the buffer, and for each text the range of its words."""
+def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word of the buffer's texts."""
     size = len(data)
     if size == 0:
-        return np.zeros(0, _U), np.zeros(len(offsets), np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     ink = ~SPACE[data]
     begins, ends = ink.copy(), ink.copy()
     begins[1:] &= ~ink[:-1]
@@ -74,8 +74,15 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     inner = offsets[(offsets > 0) & (offsets < size)]
     begins[inner] = ink[inner]          # a text's first byte starts a word
     ends[inner - 1] = ink[inner - 1]    # and its last byte ends one
-    start, stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    sums = running(LOWER_BITS[data])
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+def words(data: np.ndarray, offsets: np.ndarray, bits: np.ndarray = LOWER_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word of the buffer, and for each text the range of its words."""
+    if len(data) == 0:
+        return np.zeros(0, _U), np.zeros(len(offsets), np.int64)
+    start, stop = word_bounds(data, offsets)
+    sums = running(bits[data])
     with np.errstate(over="ignore"):
         hashed = mix(window_hash(sums, start, stop) + (stop - start).astype(_U))
     return hashed, np.searchsorted(start, offsets)
