@@ -1,11 +1,12 @@
 """Cases the driver's tables do not hold: unknown events, negative integers, null keys and tied positions."""
 
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import automaton, detection, joins
+from tidemark.operators import aggregates, automaton, detection, joins
 from tidemark.plans.ordered import asof_latest
 from tidemark.sources.records import little_endian_int, to_little_endian
 from tidemark.streaming import rules
@@ -97,3 +98,20 @@ def test_asof_cuts_a_long_right_side(spark):
     out = asof_latest(left, right, ["k"], ["pos", "id"], "at", ["v"])
     assert "_bucket" in out._jdf.queryExecution().toString()
     assert sorted((r["id"], r["v"]) for r in out.collect()) == [(i, 2 * (100 * i + 50)) for i in range(50)]
+
+
+@pytest.mark.parametrize("per_bucket", [2_000_000, 20_000])
+def test_percentiles_are_exact_at_any_number_of_values(spark, per_bucket):
+    rows, before = 300_000, spark.conf.get("tidemark.rowsPerBucket")
+    value = F.when(F.col("id") % 1000 != 0, F.col("id") * 7919 % 1_000_003)
+    df = spark.range(rows).select(F.timestamp_seconds(F.col("id") % 86_400 + F.when(F.col("id") < 5, 86_400).otherwise(0)).alias("ts"), value.alias("v"))
+    spark.conf.set("tidemark.rowsPerBucket", str(per_bucket))
+    try:
+        got = aggregates.rate_and_distribution(df, "ts", "1 day", "v", 86_400).orderBy("window").select("n", "p50", "p99").collect()
+    finally:
+        spark.conf.set("tidemark.rowsPerBucket", before)
+    want = []
+    for ids in (range(5, rows), range(5)):
+        known = sorted(i * 7919 % 1_000_003 for i in ids if i % 1000)
+        want.append((len(ids), *(known[math.ceil(p * len(known)) - 1] for p in (0.5, 0.99))))
+    assert [tuple(r) for r in got] == want

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.operators.windows import tumbling
 from tidemark.plans.buckets import Width
 from tidemark.plans.ordered import row_numbers, running
-from tidemark.plans.timing import window_end, window_start
+from tidemark.plans.staging import staged
+from tidemark.plans.timing import position, window_end, window_start
 
 
 def reduce_window(
@@ -81,17 +82,35 @@ def latest_per_key(
 def rate_and_distribution(
     df: DataFrame, ts: str, size: str, value: str, seconds: int, accuracy: int = 10_000,
 ) -> DataFrame:
-    """Event rate and distribution summary per window."""
-    return tumbling(
-        df, ts, size, [],
-        n=F.count(F.lit(1)),
-        rate_per_second=F.count(F.lit(1)) / F.lit(float(seconds)),
-        min_value=F.min(value),
-        max_value=F.max(value),
-        total=F.sum(value),
-        p50=F.percentile_approx(value, 0.5, accuracy),
-        p99=F.percentile_approx(value, 0.99, accuracy),
-    )
+    """Event rate and distribution summary per window.
+
+    Percentiles are the values at rank ``ceil(p * n)`` of the ``n`` values that are not null: rows are counted per
+    window and value, and running counts over the values find the ranks, however many rows a window holds.  A stream
+    has no running counts; there they are approximate, to ``1 / accuracy`` of the rows.
+    """
+    summary = {
+        "n": F.count(F.lit(1)),
+        "rate_per_second": F.count(F.lit(1)) / F.lit(float(seconds)),
+        "min_value": F.min(value),
+        "max_value": F.max(value),
+        "total": F.sum(value),
+    }
+    if df.isStreaming:
+        return tumbling(
+            df, ts, size, [], **summary, p50=F.percentile_approx(value, 0.5, accuracy),
+            p99=F.percentile_approx(value, 0.99, accuracy))
+    start = position("window.start").alias("_start")
+    counted = tumbling(df.filter(F.col(value).isNotNull()), ts, size, [value], _times=F.count(F.lit(1)))
+    counted = staged(counted.select(start, F.col(value).alias("_value"), "_times"), "percentile-counts")
+    known = counted.groupBy("_start").agg(F.sum("_times").alias("_known"))
+    ranked = running(counted, ["_start"], ["_value"], {"_upto": ("_times", "sum")}).join(known, "_start")
+
+    def at(share: float) -> Column:
+        return F.min(F.when(F.col("_upto") >= F.ceil(F.lit(share) * F.col("_known")), F.col("_value")))
+
+    picked = ranked.groupBy("_start").agg(at(0.5).alias("p50"), at(0.99).alias("p99"))
+    whole = tumbling(df, ts, size, [], **summary)
+    return whole.select("*", start).join(picked, "_start", "left").select(*whole.columns, "p50", "p99")
 
 
 def parse_quality(df: DataFrame, text: str, parsed: Column, keys: Sequence[str] = ()) -> DataFrame:
