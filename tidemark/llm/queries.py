@@ -12,6 +12,7 @@ from tidemark.jobs.registry import Query
 from tidemark.llm.ann import nearest
 from tidemark.llm.bpe import encode_digests, encode_lengths
 from tidemark.llm.common import held_out, load
+from tidemark.llm.decontaminate import LEAKS_SQL, contamination
 from tidemark.llm.embedding_dedup import near_duplicates
 from tidemark.llm.html_text import extract
 from tidemark.llm.jaccard_join import jaccard_components
@@ -107,3 +108,9 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Histogram of all documents' token counts, with what each length answers as a context limit."""
     lengths = encode_lengths(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return length_histogram(lengths)
+
+
+@query("op13_decontamination", LEAKS_SQL)
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside windows of ten words of a benchmark item."""
+    return contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), width=10)

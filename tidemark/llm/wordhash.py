@@ -62,12 +62,12 @@ def window_hash(sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nda
         return (sums[stop] - sums[start]) * powers(_INVERSE, len(sums))[start]
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of every word of the buffer's texts."""
+def word_bounds(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word of the buffer's texts; ``blank`` marks the bytes outside words."""
     size = len(data)
     if size == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    ink = ~SPACE[data]
+    ink = ~blank[data]
     begins, ends = ink.copy(), ink.copy()
     begins[1:] &= ~ink[:-1]
     ends[:-1] &= ~ink[1:]
