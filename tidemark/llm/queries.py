@@ -19,6 +19,7 @@ from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.langid import identify as identify_languages
 from tidemark.llm.langid import learn as learn_languages
 from tidemark.llm.mixing import MIX_SQL, mix
+from tidemark.llm.prefix_trie import TRIE_SQL, crossed, prefix_trie, turn_lists
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.token_counts import length_histogram
 from tidemark.llm.toxicity import toxicity
@@ -114,3 +115,9 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside windows of ten words of a benchmark item."""
     return contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), width=10)
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, each begun by its group's first one."""
+    return prefix_trie(crossed(turn_lists(load(spark, sf_dir, "conversations"))))
