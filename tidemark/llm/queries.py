@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.jobs.registry import Query
+from tidemark.llm.alignment import alignment
 from tidemark.llm.ann import nearest
 from tidemark.llm.bpe import encode_digests, encode_lengths
 from tidemark.llm.common import held_out, load
@@ -121,3 +122,10 @@ def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the prefix trie of all conversations, each begun by its group's first one."""
     return prefix_trie(crossed(turn_lists(load(spark, sf_dir, "conversations"))))
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of every document's tokens under two tokenizers, and how common the linked pairs are."""
+    return alignment(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                     public_tokenizers.path("piece_bpe_32k.model"))
