@@ -249,3 +249,19 @@ def test_extract_keeps_every_page(spark, sf_dir):
     got = QUERIES["op8_html_extraction"](spark, sf_dir)
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     assert got.count() == pages.count() and got.filter(F.length("text") != F.col("n_chars")).isEmpty()
+
+
+def test_mix_deals_words_out_among_equal_documents(spark):
+    rows = [(None, "w " * 7, "a", "x")] * 40 + [(None, "v " * 7, "a", "y")] * 3 + [(5, "u " * 11, "b", "z")] + [(6, None, "b", "z")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, taken string")
+    for weights in ([1, 2, 3], [1, 9], [5, 1]):
+        for keep in ((), ("text", "source")):
+            got = mixing.mix(docs, weights=weights, keep=keep).collect()
+            assert len(got) == len(rows)
+            by_source = {}
+            for r in got:
+                assert 0 <= r["taken"] <= 3 * r["size"]
+                by_source.setdefault(r["source_size"], [r["target"], 0])[1] += r["taken"]
+            assert all(abs(target - taken) <= 0.5 for target, taken in by_source.values())
+            if keep:
+                assert sorted((r["text"] or "") for r in got) == sorted((t or "") for _, t, _, _ in rows)

@@ -9,9 +9,10 @@ Documents are then repeated ``floor(target / words)`` times, and the rest of the
 of a hash: whole documents up to one, of which only the first words are taken.  So every source meets its target to
 the word, no document is taken more than ``most_epochs`` times, and a rerun takes the same words.
 
-Sizes and targets are written to the shared folder once; the joins with the small tables of sources and of buckets
-then follow their file sizes.  The running sums are cut into buckets of the hash, about ``BUCKET_ROWS`` documents each, so no source is sorted in one
-task; only the table of sources, one row each, is ordered in one place.
+Where the rest ends is one place per source.  It is found on a table of ids, sizes and hashes, in the one bucket of
+about ``BUCKET_ROWS`` documents whose words reach the rest, so no source is ordered as a whole.  Every document is then
+compared with the place of its source; texts are neither staged nor shuffled.  Only the table of sources, one row
+each, is ordered in one place.
 
 Rows: a null source is a source of its own, the last one; a null text has no words; repeated rows are documents of
 their own; an empty table gives an empty result.
@@ -62,31 +63,69 @@ def mix(docs: DataFrame, weights: list[int] = (1, 2, 3), most_epochs: int = 3, s
 
     ``taken`` counts the words the mix takes of the document, repeats included.
     """
-    sized = docs.select(
-        "doc_id", *[c for c in keep if c != "doc_id"], F.col("source").alias("_source"),
+    keep = [c for c in keep if c != "doc_id"]
+    rows = docs.select(
+        "doc_id", *keep, F.col("source").alias("_source"),
         F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("none")).alias("_key"),
         word_count(F.col("text")).alias("size"),
-        F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(f":{seed}"))).alias("_h"))
-    sized = staged(sized, "mix-sizes")  # words are counted once
+        F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(f":{seed}"))).alias("_h"),
+        F.xxhash64("text").alias("_text"))
+    order = F.struct("_h", "size", "doc_id", "_text")
+    sized = staged(rows.select("doc_id", "_key", "_source", "size", "_h", "_text"), "mix-sizes")
     names = {"_source": "source", "_key": "key"}
-    targets = staged(source_targets(sized.select("_key", "_source", "size").withColumnsRenamed(names), list(weights),
-                                    most_epochs, share), "mix-targets").withColumnRenamed("key", "_key")
-    planned = targets.withColumn(
+    targets = source_targets(sized.select("_key", "_source", "size").withColumnsRenamed(names), list(weights),
+                             most_epochs, share).withColumnRenamed("key", "_key")
+    planned = staged(targets.withColumn(
         "_whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     ).withColumn("_rest", F.round(F.col("target") - F.col("_whole") * F.col("source_size")).cast("long")).withColumn(
-        "_buckets", F.ceil(F.col("documents") / BUCKET_ROWS))
-    placed = sized.join(planned, "_key").withColumn(
+        "_buckets", F.ceil(F.col("documents") / BUCKET_ROWS)), "mix-targets")
+
+    placed = sized.join(planned.select("_key", "_rest", "_buckets"), "_key").withColumn(
         "_bucket", F.floor(F.conv(F.substring("_h", 1, 8), 16, 10).cast("long") * F.col("_buckets") / F.lit(1 << 32)))
-    offsets = placed.groupBy("_key", "_bucket").agg(F.sum("size").alias("_words")).withColumn(
-        "_offset", F.sum("_words").over(Window.partitionBy("_key").orderBy("_bucket")) - F.col("_words")).drop("_words")
-    offsets = staged(offsets, "mix-offsets")
-    in_bucket = Window.partitionBy("_key", "_bucket").orderBy("_h", "size", "doc_id").rowsBetween(
-        Window.unboundedPreceding, 0)
-    before = F.sum("size").over(in_bucket) - F.col("size") + F.col("_offset")
-    return placed.join(offsets, ["_key", "_bucket"]).withColumn("_before", before).select(
-        "doc_id", *[c for c in keep if c != "doc_id"], "size", "source_size", "target",
-        (F.col("_whole") * F.col("size")
-         + F.greatest(F.lit(0), F.least("size", F.col("_rest") - F.col("_before")))).cast("long").alias("taken"))
+    by_bucket = Window.partitionBy("_key").orderBy("_bucket")
+    reached = placed.groupBy("_key", "_bucket").agg(F.sum("size").alias("_words"), F.first("_rest").alias("_rest")).withColumn(
+        "_offset", F.sum("_words").over(by_bucket) - F.col("_words")).filter(
+        "_offset < _rest and _rest <= _offset + _words").select("_key", "_bucket", "_offset")
+    # Documents that are equal in all of the order stand in one place; their words count together.
+    in_bucket = Window.partitionBy("_key").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    ends = staged(
+        placed.join(reached, ["_key", "_bucket"]).groupBy("_key", "_offset", "_rest", order.alias("_at")).agg(
+            F.count(F.lit(1)).alias("_ties"))
+        .withColumn("_left", F.col("_rest") - F.col("_offset") - F.sum(F.col("_at.size") * F.col("_ties")).over(in_bucket)
+                    + F.col("_at.size") * F.col("_ties"))
+        .filter((F.col("_left") > 0) & (F.col("_left") <= F.col("_at.size") * F.col("_ties")))
+        .select("_key", "_at", "_ties", "_left"), "mix-ends")
+
+    if keep:
+        sized = rows
+    columns = ["doc_id", *keep, "size", "source_size", "target"]
+    places = planned.select("_key", "source_size", "target", "_whole", "_rest").join(ends, "_key", "left")
+    joined = sized.join(places, "_key").withColumn("_place", order)
+    tied = (F.col("_ties") > 1) & (F.col("_place") == F.col("_at"))
+    part = (
+        F.when(F.col("_at").isNull(), F.when(F.col("_rest") > 0, F.col("size")).otherwise(0))
+        .when(F.col("_place") < F.col("_at"), F.col("size"))
+        .when(F.col("_place") == F.col("_at"), F.col("_left")).otherwise(0))
+    if ends.filter("_ties > 1").isEmpty():
+        return joined.select(*columns, (F.col("_whole") * F.col("size") + part).cast("long").alias("taken"))
+    once = joined.filter(~F.coalesce(tied, F.lit(False))).withColumn("_part", part).select(*columns, "_whole", "_part")
+    return once.unionByName(_dealt(joined.filter(tied), columns)).select(
+        *columns, (F.col("_whole") * F.col("size") + F.col("_part")).cast("long").alias("taken"))
+
+
+def _dealt(tied: DataFrame, columns: list[str]) -> DataFrame:
+    """The words ``_left`` of a place dealt out to its documents, one after the other.
+
+    Equal documents are counted before they are numbered, so any number of them is one row until then.
+    """
+    earlier = Window.partitionBy("_key").orderBy(F.xxhash64(*columns)).rowsBetween(Window.unboundedPreceding, 0)
+    counted = tied.groupBy(*columns, "_key", "_whole", "_left").agg(F.count(F.lit(1)).alias("_copies")).withColumn(
+        "_before", F.sum("_copies").over(earlier) - F.col("_copies"))
+    step = 1 << 16
+    numbered = counted.withColumn("_block", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {step})"))).withColumn(
+        "_number", F.explode(F.expr(f"sequence(_block * {step}, least(_copies, (_block + 1) * {step}) - 1)")))
+    return numbered.select(*columns, "_whole", F.greatest(F.lit(0), F.least(
+        "size", F.col("_left") - (F.col("_before") + F.col("_number")) * F.col("size"))).alias("_part"))
 
 
 # The same mix with one window per source, for weights 1, 2, 3, three epochs and seed 42.
