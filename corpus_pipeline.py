@@ -4,12 +4,18 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writ
 shared folder and reads it again as the next stage's documents.  All stages but the last return the columns of
 ``documents``.  No stage looks at its predecessors' decisions, only at the documents they kept.
 
+A stage's intermediate tables are needed until its result is written; they are deleted when the next stage, whose
+documents are then files, begins.
+
 Rows: null and empty texts have no language and go in the first stage; of repeated rows and near copies, with or
 without ids, the second stage keeps one; an empty table stays empty throughout; further columns are not carried along.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +26,7 @@ from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.langid import identify, learn
 from tidemark.llm.mixing import WORD, mix
 from tidemark.llm.substring_dedup import remove_repeats
-from tidemark.plans.staging import staged
+from tidemark.plans.staging import Scratch, staged
 from tidemark.session import prepare
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -29,7 +35,22 @@ MOST_PHRASES = 0.5
 # Words of the shortest passage that may not repeat.
 LEAST_PASSAGE = 51
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_scratch, _results = Scratch(), Scratch()
+
+
+def stage(fn: Stage) -> Stage:
+    """A stage that first deletes what its predecessors staged, but for what its documents still read."""
+    @wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _scratch.release(spark, reading=docs)
+        with _scratch.collecting():
+            return fn(spark, docs, sf_dir)
+
+    return run_stage
+
 
+@stage
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages; those without letters or in no language go."""
     prepare_texts(spark)
@@ -39,6 +60,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         (F.col("lang_pred") != "und") & (F.col("phrase_rate") <= MOST_PHRASES)).select(*COLUMNS)
 
 
+@stage
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every component of the similarity join (five-word shingles, 0.8): the least document, null ids last.
 
@@ -57,6 +79,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return once.unionByName(rows_of(rows, repeated, "_row").dropDuplicates(["_row"])).select(*COLUMNS)
 
 
+@stage
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of over 50 words and the strings of 400 bytes that start elsewhere too; what is
     left blank goes."""
@@ -66,6 +89,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         "doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
 
 
+@stage
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; the one cut document of a source keeps its first words."""
     taken = mix(docs, weights=[1, 2, 3], most_epochs=3, share=1.0, seed=42, keep=("text", "lang", "source"))
@@ -77,6 +101,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
         .otherwise(F.col("text"))).select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 
 
+@stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document of the mix, encoded and decoded again."""
     prepare_texts(spark)
@@ -99,6 +124,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole ``documents`` table."""
     prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), "pipeline-" + name.split()[0].lower())
+    for name, apply in STAGES[:-1]:
+        with _results.collecting():
+            docs = staged(apply(spark, docs, sf_dir), "pipeline-" + name.split()[0].lower())
+        _results.release(spark, reading=docs)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,17 +4,65 @@ An operator that reads an intermediate result several times would otherwise
 compute it several times, and nested ordered scans multiply that.  ``staged``
 writes the result once to the shared scratch folder and reads it back: lineage
 is cut, and a lost executor only costs a file read.
+
+A table is needed as long as a result that reads it has not been written.
+Within ``Scratch.collecting`` the tables are noted, and ``Scratch.release``
+deletes them once their results are written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import scratch_dir
 
+_noting = threading.local()
+
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, f"stage-{name}")
     df.write.parquet(path)
+    made = getattr(_noting, "paths", None)
+    if made is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """The intermediate tables of one chain of steps, each thread's its own."""
+
+    def __init__(self) -> None:
+        self._own = threading.local()
+
+    def _paths(self) -> list[str]:
+        if not hasattr(self._own, "paths"):
+            self._own.paths = []
+        return self._own.paths
+
+    @contextmanager
+    def collecting(self) -> Iterator[None]:
+        """Note the tables staged in this thread; an inner collection has them noted as its own."""
+        outer = getattr(_noting, "paths", None)
+        _noting.paths = self._paths()
+        try:
+            yield
+        finally:
+            _noting.paths = outer
+
+    def release(self, spark: SparkSession, reading: DataFrame | None = None) -> None:
+        """Delete the noted tables, but for those that ``reading`` still reads."""
+        paths = self._paths()
+        if not paths:
+            return
+        files = reading.inputFiles() if reading is not None else []
+        kept = [p for p in paths if any(f"/{p.rstrip('/').rsplit('/', 1)[1]}/" in f for f in files)]
+        for path in paths:
+            if path not in kept:
+                target = spark._jvm.org.apache.hadoop.fs.Path(path)
+                target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        paths[:] = kept
