@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.jobs.registry import DAY, EVENTS, HOUR, MINUTE, events, query, table, tumble_sql
+from tidemark.jobs.registry import DAY, EVENTS, HOUR, MINUTE, events, query, tumble_sql
 from tidemark.operators import windows as w
 from tidemark.plans.timing import plain
 
-# How late a row of the delayed replay arrives: its value, in minutes.
-ARRIVAL = "pos + cents * 600000"
-
 
 def sliding_starts(size: int, slide: int) -> str:
     """SQL list of the starts of all sliding windows that hold a row at ``pos``."""
@@ -102,28 +99,6 @@ def early_fire_running_sum(spark, sf_dir):
                         plain("fire_at").alias("fire_at"), "running_sum")
 
 
-LATE_SQL = f"""
-a AS (SELECT *, {ARRIVAL} AS arrival FROM ev),
-m AS (SELECT *, max(pos) OVER (ORDER BY arrival, event_id) - {MINUTE} AS mark FROM a),
-routed AS (SELECT *, CASE WHEN (pos // {10 * MINUTE} + 1) * {10 * MINUTE} - 1 > mark THEN 'on_time'
-                WHEN (pos // {10 * MINUTE} + 1) * {10 * MINUTE} - 1 + {30 * MINUTE} > mark THEN 'late_accepted'
-                ELSE 'late' END AS route FROM m)"""
-
-
-def delayed_and_routed(spark, sf_dir):
-    """Events replayed out of order, marked by how late they are for their 10-minute window."""
-    delayed = events(spark, sf_dir).withColumn("arrival", F.expr(ARRIVAL))
-    return w.route_late(delayed, "ts", ["arrival", "event_id"], "10 minutes", "1 minute", "30 minutes")
-
-
-@query("late_data_split", f"""
-WITH {EVENTS}, {LATE_SQL}
-SELECT event_id, route, make_timestamp(mark) AS watermark FROM routed""")
-def late_data_split(spark, sf_dir):
-    return delayed_and_routed(spark, sf_dir).select(
-        "event_id", "route", plain("watermark").alias("watermark"))
-
-
 @query("metric_rate_and_percentiles", f"""
 WITH {EVENTS},
 q AS (SELECT pos // {DAY} AS d, cents, row_number() OVER (PARTITION BY pos // {DAY} ORDER BY cents) AS rn,

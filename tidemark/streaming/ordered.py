@@ -4,16 +4,28 @@ A micro-batch brings a key's rows in no particular order.  ``OrderedProcessor``
 holds them until the watermark has passed, then hands them to a ``Rule`` one by
 one, letting the rule's timer go off between events where it is due.  A rule is
 a few lines of plain logic over a small memo per key.
+
+Waiting rows are kept by time bucket, one map entry of column arrays each.  A
+new row rewrites its own bucket, and a timer reads the buckets that are due, so
+the work of a batch follows the rows it brings and releases, not those that
+wait.  What is known of all buckets is their number and first position.
+
+State need not stay for ever: with ``idle``, a rule's memo is cleared where a key
+has no event for more than that, counted in event time, and no timer waits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tidemark.plans.timing import micros
+
+BUCKET = 60_000_000  # microseconds of one bucket of waiting rows
 
 class Rule:
     """What to do with the events of one key.
@@ -45,56 +57,92 @@ def ddl(fields: Iterable[tuple[str, str]]) -> str:
 
 
 class OrderedProcessor(StatefulProcessor):
-    def __init__(self, rule: Rule, keys: list[str]):
-        self.rule, self.keys = rule, keys
+    def __init__(self, rule: Rule, keys: list[str], idle: int | None = None, bucket: int = BUCKET):
+        self.rule, self.keys, self.idle, self.bucket = rule, keys, idle, bucket
         self.names = [name for name, _ in rule.fields]
         self.columns = keys + [name for name, _ in rule.output]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", ddl(self.rule.fields))
+        self.pending = handle.getMapState(
+            "pending", "bucket long", ddl((name, f"array<{kind}>") for name, kind in self.rule.fields))
+        self.index = handle.getValueState("index", "buckets array<long>, firsts array<long>")
         self.memo = handle.getValueState("memo", ddl(self.rule.memo))
+        self.last = handle.getValueState("last", "pos long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs()
-        first = None
-        for frame in rows:
-            frame = frame[self.names]
-            # A row behind the watermark is late: its turn has passed.
-            frame = frame[frame[self.names[0]] >= mark * 1000]
-            if len(frame):
-                self.pending.appendList(list(frame.astype(object).itertuples(index=False, name=None)))
-                low = int(frame[self.names[0]].min())
-                first = low if first is None else min(first, low)
-        if first is not None:
-            self._wake(first, mark)
+        pos = self.names[0]
+        # A row behind the watermark is late: its turn has passed.
+        frames = [frame.loc[frame[pos] >= mark * 1000, self.names] for frame in rows]
+        fresh = pd.concat(frames) if frames else None
+        if fresh is None or not len(fresh):
+            return iter(())
+        index = self._read_index()
+        for bucket, part in fresh.groupby(fresh[pos] // self.bucket):
+            columns = [part[name].astype(object).where(part[name].notna(), None).tolist() for name in self.names]
+            if bucket in index:
+                columns = [list(old) + new for old, new in zip(self.pending.getValue((int(bucket),)), columns)]
+            self.pending.updateValue((int(bucket),), tuple(columns))
+            index[int(bucket)] = min(int(part[pos].min()), index.get(int(bucket), int(part[pos].min())))
+        self._write_index(index)
+        self._wake(int(fresh[pos].min()), mark)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = list(self.pending.get())
-        ready = sorted((r for r in waiting if r[0] < mark), key=lambda r: (r[0], r[1]))
-        rest = [r for r in waiting if r[0] >= mark]
+        index = self._read_index()
         names = [name for name, _ in self.rule.memo]
         stored = self.memo.get() if self.memo.exists() else None
         memo = self.rule.start() if stored is None else dict(zip(names, stored))
         out: list[tuple] = []
-        for values in ready:
-            self._fire(memo, values[0] - 1, out)
-            out.extend(self.rule.on_event(memo, dict(zip(self.names, values))))
-        self._fire(memo, mark - 1, out)
-        self.memo.update(tuple(memo[n] for n in names))
-        if ready:
+        last = self.last.get()[0] if self.last.exists() else None
+        seen = False
+        for bucket in sorted(b for b, first in index.items() if first < mark):
+            columns = self.pending.getValue((bucket,))
+            at = np.array(columns[0], np.int64)
+            order = sorted(np.flatnonzero(at < mark).tolist(), key=lambda k: (columns[0][k], columns[1][k]))
+            for k in order:
+                self._fire(memo, int(at[k]) - 1, out)
+                if self.idle is not None and last is not None and at[k] > last + self.idle and self.rule.due(memo) is None:
+                    memo = self.rule.start()
+                last, seen = int(at[k]), True
+                out.extend(self.rule.on_event(memo, {name: column[k] for name, column in zip(self.names, columns)}))
+            rest = np.flatnonzero(at >= mark).tolist()
             if rest:
-                self.pending.put(rest)
+                self.pending.updateValue((bucket,), tuple([column[k] for k in rest] for column in columns))
+                index[bucket] = int(at[rest].min())
+            else:
+                self.pending.removeKey((bucket,))
+                del index[bucket]
+        self._fire(memo, mark - 1, out)
+        if seen:
+            self._write_index(index)
+            if self.idle is not None:
+                self.last.update((last,))
+        nexts = list(index.values()) + [d for d in [self.rule.due(memo)] if d is not None]
+        if self.idle is not None and not nexts and last is not None:
+            ends = last + self.idle
+            if ends < mark:
+                self.memo.clear()
+                self.last.clear()
+                self.index.clear()
+                memo = None
             else:
-                self.pending.clear()
-        nexts = [r[0] for r in rest] + [d for d in [self.rule.due(memo)] if d is not None]
+                nexts = [ends]
+        if memo is not None:
+            self.memo.update(tuple(memo[n] for n in names))
         if nexts:
             self._wake(min(nexts), mark // 1000)
         if out:
             yield pd.DataFrame([(*key, *row) for row in out], columns=self.columns)
 
+    def _read_index(self) -> dict[int, int]:
+        return dict(zip(*self.index.get())) if self.index.exists() else {}
+
+    def _write_index(self, index: dict[int, int]) -> None:
+        self.index.update((list(index), list(index.values())))
+
     def _fire(self, memo: dict, upto: int, out: list) -> None:
         while (at := self.rule.due(memo)) is not None and at <= upto:
             out.extend(self.rule.on_timer(memo, at))
@@ -106,9 +154,14 @@ class OrderedProcessor(StatefulProcessor):
         pass
 
 
-def apply_rule(df: DataFrame, keys: list[str], rule: Rule) -> DataFrame:
-    """Run a rule over a watermarked stream, per key."""
+def apply_rule(df: DataFrame, keys: list[str], rule: Rule, idle: str | int | None = None, bucket: str | int = BUCKET) -> DataFrame:
+    """Run a rule over a watermarked stream, per key.
+
+    With ``idle`` a key's memo is forgotten once the watermark is that far beyond its last event and no timer waits; a
+    later event starts afresh.
+    """
     key_fields = [(f.name, f.dataType.simpleString()) for f in df.schema.fields if f.name in keys]
     ordered = sorted(key_fields, key=lambda f: keys.index(f[0]))
     return df.groupBy(*keys).transformWithStateInPandas(
-        OrderedProcessor(rule, keys), ddl([*ordered, *rule.output]), "append", "EventTime")
+        OrderedProcessor(rule, keys, None if idle is None else micros(idle), micros(bucket)),
+        ddl([*ordered, *rule.output]), "append", "EventTime")
