@@ -145,6 +145,45 @@ def pattern_times(spark, sf_dir):
         is_type("purchase"), (1, 2), "5 days")
 
 
+def parts_sql(within: str = "") -> str:
+    """View x(2..3), at once purchase or signup x(1..2), at once click x(1..2), by ranks within each part."""
+    return f"""
+WITH {EVENTS},
+n AS (SELECT user_id, event_id, pos, CASE event_type WHEN 'view' THEN 'a' WHEN 'click' THEN 'c' WHEN 'error' THEN 'x' ELSE 'b' END AS part,
+             row_number() OVER (PARTITION BY user_id ORDER BY pos, event_id) AS rn FROM ev),
+o AS (SELECT *, list(struct_pack(rn := rn, id := event_id, pos := pos)) OVER (
+             PARTITION BY user_id, part ORDER BY pos, event_id ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS run FROM n),
+a AS (SELECT user_id, pos AS first_pos, run[1:k] AS used FROM (SELECT *, unnest([2, 3]) AS k FROM o WHERE part = 'a') WHERE len(run) >= k),
+b AS (SELECT a.user_id, first_pos, a.used AS used_a, o.run[1:k] AS used
+      FROM a JOIN (SELECT *, unnest([1, 2]) AS k FROM o WHERE part = 'b') o
+        ON o.user_id = a.user_id AND o.rn = a.used[-1].rn + 1 AND len(o.run) >= k),
+c AS (SELECT b.user_id, first_pos, used_a, b.used AS used_b, o.run[1:k] AS used
+      FROM b JOIN (SELECT *, unnest([1, 2]) AS k FROM o WHERE part = 'c') o
+        ON o.user_id = b.user_id AND o.rn = b.used[-1].rn + 1 AND len(o.run) >= k)
+SELECT user_id, array_to_string([x.id for x in used_a], ',') AS ids_1, array_to_string([x.id for x in used_b], ',') AS ids_2,
+       array_to_string([x.id for x in used], ',') AS ids_3, make_timestamp(first_pos) AS first_at, make_timestamp(used[-1].pos) AS last_at
+FROM c {within}"""
+
+
+def three_parts(spark, sf_dir, within=None):
+    """Three parts with counts; the second one takes either of two kinds."""
+    out = p.part_after_part(
+        slim(spark, sf_dir), ["user_id"], ORDER, "event_id",
+        [(is_type("view"), 2, 3), (is_type("purchase") | is_type("signup"), 1, 2), (is_type("click"), 1, 2)], within)
+    return out.select("user_id", "ids_1", "ids_2", "ids_3", plain(instant("first_pos")).alias("first_at"),
+                      plain(instant("last_pos")).alias("last_at"))
+
+
+@query("pattern_parts_unbounded", parts_sql())
+def pattern_parts_unbounded(spark, sf_dir):
+    return three_parts(spark, sf_dir)
+
+
+@query("pattern_parts_within", parts_sql(f"WHERE used[-1].pos - first_pos < {2 * DAY}"))
+def pattern_parts_within(spark, sf_dir):
+    return three_parts(spark, sf_dir, "2 days")
+
+
 @query("escalation_alarm", f"""
 WITH {EVENTS},
 n AS (SELECT *, lead(cents) OVER k AS nc, lead(pos) OVER k AS np FROM ev WINDOW k AS (PARTITION BY user_id ORDER BY pos, event_id)),

@@ -1,22 +1,24 @@
 """Sequence patterns: what comes next, what follows, and what never came.
 
 Within a key events are ordered by ``order`` (BIGINT position first, then a
-tie-break).  All patterns are bounded by ``within``: a successor counts only if
-it comes strictly less than ``within`` after the start.  So every pattern only
-looks a bounded distance ahead and runs over overlapping time buckets, which
-spreads a hot key over as many tasks as it has buckets.
+tie-break).  Patterns bounded by ``within`` take a successor only if it comes
+strictly less than ``within`` after the start.  They look a bounded distance
+ahead and run over overlapping time buckets, which spreads a hot key over as
+many tasks as it has buckets.  ``part_after_part`` needs no such bound.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import interval_join
 from tidemark.plans.buckets import Width, buckets_for
-from tidemark.plans.ordered import BUCKET, in_bucket, overlap, settle
+from tidemark.plans.ordered import BUCKET, in_bucket, overlap, running, settle
+from tidemark.plans.staging import staged
 from tidemark.plans.timing import micros
 
 MATCHED, TIMEOUT, BROKEN = "matched", "timeout", "broken"
@@ -140,6 +142,65 @@ def times_then_times(
     return chosen.filter(inside).select(*keys, ids("_a").alias("first_ids"), ids("_b").alias("second_ids"))
 
 
+def part_after_part(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], event_id: str,
+    parts: Sequence[tuple[Column, int, int]], within: str | None = None, width: Width = None,
+) -> DataFrame:
+    """Any number of parts ``(condition, min, max)``, one at once after the other, with or without a time limit.
+
+    Repetitions within a part are relaxed, as in ``times_then_times``; the first event of a part must be the very next
+    event after the last one of the part before.  Every start and every allowed count gives a match of its own.
+
+    Without a limit a match may reach over any stretch of time, so the rows are not cut by time but linked by numbers:
+    each event has its number within the key, and each condition's events their rank.  Occurrences of one rank meet
+    those up to ``max`` ranks before them, and parts meet where one ends and the next begins.  All these are joins and
+    groups by (key, number), in which a hot key is spread like any other.
+
+    One row per match: the keys, ``ids_1`` .. ``ids_n`` (comma-joined), ``first_pos`` and ``last_pos``.  Null conditions
+    count as false; null keys form one key.
+    """
+    keys, order = list(keys), list(order)
+    names = [f"_k{i}" for i in range(len(keys))]
+    flags = {f"_is{i}": F.coalesce(condition, F.lit(False)).cast("long") for i, (condition, _, _) in enumerate(parts)}
+    slim = df.select(
+        *[F.struct(F.col(k).alias("k")).alias(n) for k, n in zip(keys, names)],
+        *order, F.col(event_id).cast("string").alias("_id"),
+        F.lit(1).cast("long").alias("_one"), *[flag.alias(name) for name, flag in flags.items()])
+    numbered = running(slim, names, order, {
+        "_rn": ("_one", "sum"), **{f"_rank{i}": (f"_is{i}", "sum") for i in range(len(parts))}}, width)
+    rows = staged(numbered.filter(reduce(lambda a, b: a | b, [F.col(f) == 1 for f in flags])).select(
+        *names, F.col(order[0]).alias("_pos"), "_id", "_rn", *flags, *[f"_rank{i}" for i in range(len(parts))]), "parts")
+
+    def starts(i: int) -> DataFrame:
+        """Per event of a part its occurrences from there on, at most ``max``."""
+        _, _, most = parts[i]
+        own = rows.filter(F.col(f"_is{i}") == 1).select(*names, f"_rank{i}", F.struct("_rn", "_id", "_pos").alias("_o"))
+        back = F.sequence(F.greatest(F.lit(1), F.col(f"_rank{i}") - most + 1), F.col(f"_rank{i}"))
+        return own.withColumn("_from", F.explode(back)).groupBy(*names, "_from").agg(
+            F.sort_array(F.collect_list("_o")).alias("_run")).select(
+            *names, F.col("_run")[0]["_rn"].alias("_at"), "_run")
+
+    found = None
+    for i, (_, least, most) in enumerate(parts):
+        begun = starts(i)
+        if found is None:
+            joined = begun.withColumn("_first", F.col("_run")[0]["_pos"])
+        else:
+            joined = found.join(begun, [*names, "_at"])
+        counts = F.sequence(F.lit(least), F.least(F.size("_run"), F.lit(most)))
+        chosen = joined.filter(F.size("_run") >= least).withColumn("_n", F.explode(counts)).withColumn(
+            "_last", F.element_at("_run", F.col("_n")))
+        if within is not None:
+            chosen = chosen.filter(F.col("_last._pos") - F.col("_first") < micros(within))
+        ids = F.array_join(F.transform(F.slice("_run", F.lit(1), F.col("_n")), lambda o: o["_id"]), ",")
+        found = chosen.select(
+            *names, (F.col("_last._rn") + 1).alias("_at"), "_first", F.col("_last._pos").alias("_end"),
+            *[f"ids_{j + 1}" for j in range(i)], ids.alias(f"ids_{i + 1}"))
+    return found.select(
+        *[F.col(f"{n}.k").alias(k) for k, n in zip(keys, names)],
+        *[f"ids_{i + 1}" for i in range(len(parts))], F.col("_first").alias("first_pos"), F.col("_end").alias("last_pos"))
+
+
 def escalation(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], over: Column, warn_within: str,
     alarm_within: str, width: Width = None,
