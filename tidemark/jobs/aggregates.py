@@ -118,6 +118,27 @@ def uv_hll(spark, sf_dir):
     return d.hll_rollup(hourly, F.date_format("window.start", "yyyy-MM-dd").alias("day"))
 
 
+@query("uv_hll_checked", """
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(DISTINCT user_id) AS uv, TRUE AS within FROM events GROUP BY ALL""")
+def uv_hll_checked(spark, sf_dir):
+    """Exact daily users, and whether the sketches rolled up from hours keep to their error bound."""
+    exact = events(spark, sf_dir).groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.countDistinct("user_id").alias("uv"))
+    return d.hll_checked(uv_hll(spark, sf_dir), exact, ["day"])
+
+
+RANKS = {"p50": 0.5, "p99": 0.99}
+
+
+@query("metric_quantile_rollup", """
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(value) AS n, TRUE AS p50_within, TRUE AS p99_within FROM events GROUP BY ALL""")
+def metric_quantile_rollup(spark, sf_dir):
+    """Daily quantiles from hourly sketches, checked against the ranks they really have."""
+    rows = events(spark, sf_dir)
+    hourly = a.quantile_sketches(rows, "ts", "1 hour", "cents")
+    daily = a.merged_quantiles(hourly, [F.date_format("window.start", "yyyy-MM-dd").alias("day")], RANKS)
+    return a.quantiles_checked(rows.withColumn("day", F.date_format("ts", "yyyy-MM-dd")), daily, ["day"], "cents", RANKS)
+
+
 @query("uv_daily_cumulative", f"""
 WITH {EVENTS},
 v AS (SELECT strftime(ts, '%Y%m%d') AS day, event_type AS url, (pos // {10 * MINUTE} + 1) * {10 * MINUTE} AS step,

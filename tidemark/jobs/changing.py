@@ -6,7 +6,12 @@ from pyspark.sql import functions as F
 
 from tidemark.jobs.late import BEHIND, DELAY, FILE, delivered, timed
 from tidemark.jobs.registry import DAY, EVENTS, HOUR, events, query
-from tidemark.plans.timing import floor_div
+from tidemark.operators import aggregates as a
+from tidemark.operators import distinct as d
+from tidemark.operators import windows as w
+from tidemark.plans.timing import floor_div, instant, plain
+from tidemark.session import scratch_dir
+from tidemark.sinks.upsert import KeyedTable
 from tidemark.streaming import rules
 from tidemark.streaming.changing import apply_changing_rules, filter_by_newest_keyword
 from tidemark.streaming.expiring import expiring_uv
@@ -93,3 +98,43 @@ def idle_count_stream(spark, sf_dir):
         "events": ordered.select("user_id", "ts", "pos", "event_id", "event_type", (file - F.lit(first)).cast("int").alias("step"))})
     out = replay.to_table(apply_rule(timed(replay), ["user_id"], rules.Changelog(), idle="1 day"))
     return out.filter("op = '+'").select("user_id", "event_id", "cnt")
+
+
+@query("sketches_stream", f"""
+WITH {EVENTS},
+w AS (SELECT (max(pos) // 1000) * 1000 - {HOUR} AS mark FROM ev),
+c AS (SELECT * FROM ev, w WHERE (pos // {HOUR} + 1) * {HOUR} <= mark)
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(DISTINCT user_id) AS uv, TRUE AS uv_within, count(cents) AS n,
+       TRUE AS p50_within, TRUE AS p99_within FROM c GROUP BY ALL""")
+def sketches_stream(spark, sf_dir):
+    """Hourly sketches of users and values from a stream, rolled up to days and checked against exact figures."""
+    ordered = events(spark, sf_dir)
+    file = floor_div("pos", FILE)
+    first, last = ordered.agg(F.min(file), F.max(file)).first()
+    replay = Replay(spark, "sketches", 0 if first is None else last - first + 1, {
+        "events": ordered.select("user_id", "ts", "pos", "cents", (file - F.lit(first)).cast("int").alias("step"))})
+    hours = replay.to_table(w.tumbling(timed(replay), "ts", "1 hour", [], users=F.hll_sketch_agg("user_id", F.lit(14)),
+                                       sketch=F.kll_sketch_agg_bigint("cents", F.lit(800))))
+    day = F.date_format("window.start", "yyyy-MM-dd").alias("day")
+    closed = ordered.join(hours.select(F.unix_micros("window.start").alias("_hour")), floor_div("pos", HOUR) * HOUR == F.col("_hour")).withColumn(
+        "day", F.date_format("ts", "yyyy-MM-dd"))
+    users = d.hll_checked(d.hll_rollup(hours.withColumn("sketch", F.col("users")), day),
+                          closed.groupBy("day").agg(F.countDistinct("user_id").alias("uv")), ["day"])
+    ranks = {"p50": 0.5, "p99": 0.99}
+    values = a.quantiles_checked(closed, a.merged_quantiles(hours, [day], ranks), ["day"], "cents", ranks)
+    return users.withColumnRenamed("within", "uv_within").join(values, "day")
+
+
+@query("keyed_upsert_stream", f"""
+WITH {EVENTS}
+SELECT event_type, make_timestamp(pos // {DAY} * {DAY}) AS window_start, count(*) AS pv, sum(cents)::BIGINT AS total
+FROM ev GROUP BY ALL""")
+def keyed_upsert_stream(spark, sf_dir):
+    """Daily totals put into a result table by key with every batch; late rows change the rows that are there."""
+    replay = delivered(spark, sf_dir, "upserts")
+    totals = replay.stream("events").groupBy("event_type", (floor_div("pos", DAY) * DAY).alias("day")).agg(
+        F.count(F.lit(1)).alias("pv"), F.sum("cents").alias("total"))
+    result = KeyedTable(spark, scratch_dir(spark, "upserted"), "event_type string, day long, pv long, total long",
+                        ["event_type", "day"], order="pv", buckets=8)
+    replay.run(totals.writeStream.foreachBatch(result.upsert).outputMode("update"))
+    return result.read().select("event_type", plain(instant("day")).alias("window_start"), "pv", "total")

@@ -31,6 +31,25 @@ def iterate_fibonacci(spark, sf_dir):
         m.steps_to_bound(a, b).alias("steps"))
 
 
+@query("iterate_feedback", """
+WITH RECURSIVE p AS (SELECT CAST(l_linenumber AS BIGINT) % 3 AS a, CAST(l_quantity AS BIGINT) % 5 AS b, count(*) AS lines
+                     FROM lineitem GROUP BY ALL),
+r AS (SELECT a, b, lines, a AS x, b AS y, CAST(0 AS BIGINT) AS n FROM p
+      UNION ALL SELECT a, b, lines, y, x + y, n + 1 FROM r WHERE n < 9 AND (n = 0 OR (x < 100 AND y < 100 AND x + y > 0)))
+SELECT a, b, lines, max(n) AS rounds, arg_max(x, n) AS x, arg_max(y, n) AS y,
+       CASE WHEN greatest(arg_max(x, n), arg_max(y, n)) >= 100 THEN 'done' WHEN max(x) + max(y) = 0 THEN 'fixed' ELSE 'open' END AS outcome
+FROM r GROUP BY a, b, lines""")
+def iterate_feedback(spark, sf_dir):
+    """The same steps as a feedback loop over the distinct pairs; pairs that never get there are reported as such."""
+    pairs = table(spark, sf_dir, "lineitem").groupBy(
+        (F.col("l_linenumber").cast("long") % 3).alias("a"), (F.col("l_quantity").cast("long") % 5).alias("b")).agg(
+        F.count(F.lit(1)).alias("lines"))
+    return m.iterate_frontier(
+        pairs.withColumns({"x": F.col("a"), "y": F.col("b")}),
+        lambda open_rows: open_rows.withColumns({"x": F.col("y"), "y": F.col("x") + F.col("y")}),
+        ["x", "y"], (F.col("x") < 100) & (F.col("y") < 100), 9)
+
+
 @query("window_model_predict", f"""
 WITH {EVENTS},
 s AS (SELECT (pos // {DAY} + 1) * {DAY} AS model_pos, count(*) AS n, sum(item)::BIGINT AS sx, sum(cents)::BIGINT AS sy,

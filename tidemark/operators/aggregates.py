@@ -121,3 +121,32 @@ def parse_quality(df: DataFrame, text: str, parsed: Column, keys: Sequence[str]
         F.count_if(~ok).alias("failed"),
         F.count_if(F.col(text).isNull()).alias("missing"),
     )
+
+
+def quantile_sketches(df: DataFrame, ts: str, size: str, value: str, keys: Sequence[str] = (), k: int = 800) -> DataFrame:
+    """One mergeable quantile sketch of a BIGINT column per window; also for streams."""
+    return tumbling(df, ts, size, keys, sketch=F.kll_sketch_agg_bigint(value, F.lit(k)))
+
+
+def merged_quantiles(sketches: DataFrame, group: Sequence[Column], ranks: dict[str, float], k: int = 800) -> DataFrame:
+    """Quantiles of coarser groups from merged sketches, without reading the values again."""
+    merged = sketches.groupBy(*group).agg(F.kll_merge_agg_bigint("sketch", F.lit(k)).alias("_sketch"))
+    names = [c for c in merged.columns if c != "_sketch"]
+    return merged.select(*names, F.kll_sketch_get_n_bigint("_sketch").alias("n"), *[
+        F.kll_sketch_get_quantile_bigint("_sketch", F.lit(rank)).alias(name) for name, rank in ranks.items()])
+
+
+def quantiles_checked(values: DataFrame, estimates: DataFrame, on: Sequence[str], value: str, ranks: dict[str, float],
+                      bound: float = 0.01) -> DataFrame:
+    """``on, n`` and for every quantile whether its true rank is within ``bound`` of the one asked for.
+
+    An estimate that many rows share has a range of ranks; the nearest of them counts.
+    """
+    below = {f"_below_{q}": F.sum((F.col(value) < F.col(q)).cast("long")) for q in ranks}
+    upto = {f"_upto_{q}": F.sum((F.col(value) <= F.col(q)).cast("long")) for q in ranks}
+    counted = values.join(estimates.drop("n"), list(on)).groupBy(*on).agg(
+        F.count(value).alias("n"), *[c.alias(n) for n, c in {**below, **upto}.items()])
+    slack = F.col("n") * bound + 1
+    return counted.select(*on, "n", *[
+        ((F.col(f"_below_{q}") <= F.col("n") * rank + slack) & (F.col(f"_upto_{q}") >= F.col("n") * rank - slack)).alias(f"{q}_within")
+        for q, rank in ranks.items()])

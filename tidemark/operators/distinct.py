@@ -67,6 +67,17 @@ def hll_rollup(sketches: DataFrame, *group) -> DataFrame:
         F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("uv"))
 
 
+def hll_checked(rolled: DataFrame, exact: DataFrame, on: Sequence[str], log2m: int = 14, deviations: float = 4.0) -> DataFrame:
+    """``on, uv, within``: exact counts, and whether the estimates ``uv`` of ``rolled`` keep to their error bound.
+
+    The standard error of a sketch is 1.04 / sqrt(2 ** log2m); ``deviations`` of it are allowed, and one user.
+    """
+    bound = deviations * 1.04 / 2 ** (log2m / 2)
+    return exact.join(rolled.withColumnRenamed("uv", "_estimate"), list(on), "left").select(
+        *on, "uv", F.coalesce(F.abs(F.col("_estimate") - F.col("uv")) <= F.greatest(F.lit(1.0), F.col("uv") * bound),
+                              F.lit(False)).alias("within"))
+
+
 def cumulative_uv(
     df: DataFrame, keys: Sequence[str], user: str, period_start: Column, step_end: Column,
 ) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.plans.buckets import Width
 from tidemark.plans.ordered import asof_latest
 from tidemark.plans.panes import tumbling_totals
+from tidemark.plans.staging import staged
 from tidemark.plans.timing import instant, position
 
 
@@ -58,6 +60,32 @@ def iterate_until(
     return finished
 
 
+def iterate_frontier(
+    df: DataFrame, step: Callable[[DataFrame], DataFrame], state: Sequence[str], again: Column, max_rounds: int,
+) -> DataFrame:
+    """Feedback loop that keeps only the open rows: adds ``rounds`` and ``outcome`` to every row of ``df``.
+
+    ``step`` replaces the columns ``state`` and keeps the others.  After each round rows that no longer satisfy ``again``
+    leave as ``done`` and rows that the step left as they were, and would for ever, as ``fixed``; the rest is written to
+    the shared folder and goes on.  What is open after ``max_rounds`` is reported as ``open``.  So a round costs what is
+    still open, and no plan grows with the number of rounds.
+    """
+    finished, frontier = [], df
+    before = [F.struct(*state).alias("_before")]
+    for round_no in range(1, max_rounds + 1):
+        stepped = step(frontier.select("*", *before)).withColumn(
+            "outcome", F.when(~F.coalesce(again, F.lit(False)), "done").when(
+                F.struct(*state) == F.col("_before"), "fixed").otherwise("open")).drop("_before")
+        stepped = staged(stepped.withColumn("rounds", F.lit(round_no).cast("long")), "frontier")
+        finished.append(stepped.filter("outcome <> 'open'"))
+        frontier = stepped.filter("outcome = 'open'").drop("outcome", "rounds")
+        if frontier.isEmpty():
+            break
+    else:
+        finished.append(stepped.filter("outcome = 'open'"))
+    return reduce(lambda a, b: a.unionByName(b), finished)
+
+
 def window_linear_models(df: DataFrame, ts: str, size: str, x: str, y: str) -> DataFrame:
     """Least-squares line per window from exact integer sums of ``x`` and ``y``.
 
