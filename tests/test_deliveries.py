@@ -142,6 +142,20 @@ def test_idle_keys_are_forgotten(spark):
     assert memo.count() == 0
 
 
+def test_nulls_stand_apart_and_large_numbers_stay_exact(spark):
+    big = 2 ** 53 + 1
+    rows = [(None, big, "a", None, BASE, 0), (None, None, "a", 2, BASE + SECOND, 0), (big, big + 2, "a", 3, BASE + SECOND, 0),
+            (big + 1, 7, "a", None, BASE + SECOND, 1), (5, 8, "a", 1, BASE + 900 * SECOND, 1), (5, 9, "a", 1, None, 1)]
+    r = replay(spark, rows, 2, "t-nulls")
+    got = r.to_table(apply_rule(timed(r), ["user_id"], Changelog())).filter("op = '+'")
+    assert sorted(((x.user_id, x.event_id, x.cnt) for x in got.collect()), key=str) == sorted(
+        [(None, big, 1), (None, None, 2), (big, big + 2, 1), (big + 1, 7, 1)], key=str)
+    r = replay(spark, rows, 2, "t-null-windows")
+    got = r.to_table(firing_windows(timed(r), "ts", "10 seconds", ["user_id"], "value", "event_id"))
+    assert sorted(((x.user_id, x.n, x.total) for x in got.collect()), key=str) == sorted(
+        [(None, 2, 2), (big, 1, 3), (big + 1, 1, 0)], key=str)
+
+
 class Store(dict):
     """A state variable in memory that counts its reads."""
 

@@ -1,7 +1,10 @@
 """Streaming twins, run over the whole table and read back.
 
-Append-mode results hold what the watermark has closed; the oracles keep the same
-windows.
+An append-mode result holds what the watermark has closed.  So that nothing stays
+open at the end of the input, a flush row far behind the last event moves the
+watermark past all of them; it never leaves its own window or queue.  Where
+time going on would itself make results (repeated alerts), there is no flush row
+and the oracle stops at the watermark.
 """
 
 from __future__ import annotations
@@ -28,54 +31,61 @@ from tidemark.streaming.state import fresh_visitors
 DELAY = "10 minutes"
 
 
-def mark(*kinds: str) -> str:
-    """Where the watermark ends up, in SQL: Spark keeps it in whole milliseconds."""
-    listed = ", ".join(f"'{kind}'" for kind in kinds)
-    where = f" WHERE event_type IN ({listed})" if kinds else ""
-    return f"(SELECT (max(epoch_us(ts)) // 1000) * 1000 - {10 * MINUTE} FROM events{where})"
+def mark() -> str:
+    """Where the watermark ends up without a flush row, in SQL: Spark keeps it in whole milliseconds."""
+    return f"(SELECT (max(epoch_us(ts)) // 1000) * 1000 - {10 * MINUTE} FROM events)"
 
 
-def event_stream(spark, sf_dir, *kinds: str):
+def flush_row(spark, sf_dir, *kinds: str):
+    """A stream of one row ten years behind the last event, of the first of some types, without any other value."""
+    rows = table(spark, sf_dir, "events")
+    stamp = F.max("ts") + F.expr("INTERVAL 10 YEARS")
+    last = rows.agg(stamp.alias("ts")).filter("ts IS NOT NULL").withColumn("event_type", F.lit(kinds[0] if kinds else None).cast("string"))
+    schema = rows.schema
+    folder = scratch_dir(spark, "flush")
+    last.select(*[F.col(f.name) if f.name in last.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                  for f in schema.fields]).write.parquet(folder)
+    return spark.readStream.schema(schema).parquet(folder)
+
+
+def event_stream(spark, sf_dir, *kinds: str, flush: bool = False):
     """Events as a stream; of some types only, the watermark follows the events of these types."""
     use_rocksdb(spark)
     rows = stream_of(spark, sf_dir, "events")
+    if flush:
+        rows = rows.unionByName(flush_row(spark, sf_dir, *kinds))
     if kinds:
         rows = rows.filter(F.col("event_type").isin(*kinds))
     return with_event_columns(rows.withWatermark("ts", DELAY))
 
 
-def closed(sql: str, *kinds: str) -> str:
-    """Windows of a batch oracle that the watermark has closed."""
-    return f"SELECT * FROM ({sql}) WHERE epoch_us(window_end) <= {mark(*kinds)}"
-
-
-@query("window_count_by_key_stream", closed(f"""
+@query("window_count_by_key_stream", f"""
 SELECT {tumble_sql(HOUR)} AS window_start, {tumble_sql(HOUR)} + INTERVAL 1 HOUR AS window_end, user_id, count(*) AS cnt
-FROM events GROUP BY ALL"""))
+FROM events GROUP BY ALL""")
 def window_count_by_key_stream(spark, sf_dir):
-    counts = w.tumbling(event_stream(spark, sf_dir), "ts", "1 hour", ["user_id"], cnt=F.count(F.lit(1)))
+    counts = w.tumbling(event_stream(spark, sf_dir, flush=True), "ts", "1 hour", ["user_id"], cnt=F.count(F.lit(1)))
     return to_table(w.flatten_window(counts), "counts")
 
 
-@query("pv_sliding_stream", closed(f"""
+@query("pv_sliding_stream", f"""
 WITH {EVENTS}, s AS (SELECT unnest({sliding_starts(HOUR, 10 * MINUTE)}) AS st FROM ev WHERE event_type = 'view')
-SELECT make_timestamp(st) AS window_start, make_timestamp(st + {HOUR}) AS window_end, count(*) AS pv FROM s GROUP BY st""", "view"))
+SELECT make_timestamp(st) AS window_start, make_timestamp(st + {HOUR}) AS window_end, count(*) AS pv FROM s GROUP BY st""")
 def pv_sliding_stream(spark, sf_dir):
-    out = w.sliding(event_stream(spark, sf_dir, "view"), "ts", "1 hour", "10 minutes", pv=F.count(F.lit(1)))
+    out = w.sliding(event_stream(spark, sf_dir, "view", flush=True), "ts", "1 hour", "10 minutes", pv=F.count(F.lit(1)))
     return to_table(w.flatten_window(out), "pv-sliding")
 
 
-@query("uv_window_exact_stream", closed(f"""
+@query("uv_window_exact_stream", f"""
 SELECT {tumble_sql(HOUR)} AS window_start, {tumble_sql(HOUR)} + INTERVAL 1 HOUR AS window_end, count(DISTINCT user_id) AS uv
-FROM events GROUP BY ALL"""))
+FROM events GROUP BY ALL""")
 def uv_window_exact_stream(spark, sf_dir):
-    return to_table(w.flatten_window(d.exact_uv(event_stream(spark, sf_dir), "ts", "1 hour", "user_id")), "uv")
+    return to_table(w.flatten_window(d.exact_uv(event_stream(spark, sf_dir, flush=True), "ts", "1 hour", "user_id")), "uv")
 
 
-@query("hot_items_topn_stream", closed(HOT_ITEMS_SQL, "view"))
+@query("hot_items_topn_stream", HOT_ITEMS_SQL)
 def hot_items_topn_stream(spark, sf_dir):
     """All items of a window leave the state in the batch that closes it, so each batch ranks whole windows."""
-    views = event_stream(spark, sf_dir, "view")
+    views = event_stream(spark, sf_dir, "view", flush=True)
     counts = w.sliding(views, "ts", "1 hour", "10 minutes", ["item"], cnt=F.count(F.lit(1)))
     ranked = to_batches(
         counts, "hot-items",
@@ -83,18 +93,18 @@ def hot_items_topn_stream(spark, sf_dir):
     return ranked.drop("batch")
 
 
-@query("session_window_count_stream", closed(SESSION_SQL))
+@query("session_window_count_stream", SESSION_SQL)
 def session_window_count_stream(spark, sf_dir):
-    out = w.sessions(event_stream(spark, sf_dir), "ts", "2 hours", ["user_id"], cnt=F.count(F.lit(1)))
+    out = w.sessions(event_stream(spark, sf_dir, flush=True), "ts", "2 hours", ["user_id"], cnt=F.count(F.lit(1)))
     return to_table(w.flatten_window(out), "sessions")
 
 
-@query("sql_tumble_sum_stream", closed(f"""
+@query("sql_tumble_sum_stream", f"""
 WITH {EVENTS}
 SELECT event_type AS behavior, make_timestamp((pos // {5 * MINUTE} + 1) * {5 * MINUTE}) AS window_end, sum(item)::BIGINT AS total
-FROM ev GROUP BY ALL"""))
+FROM ev GROUP BY ALL""")
 def sql_tumble_sum_stream(spark, sf_dir):
-    event_stream(spark, sf_dir).createOrReplaceTempView("tidemark_fruit_stream")
+    event_stream(spark, sf_dir, flush=True).createOrReplaceTempView("tidemark_fruit_stream")
     out = spark.sql("""
         SELECT event_type AS behavior, CAST(window(ts, '5 minutes').end AS TIMESTAMP_NTZ) AS window_end, sum(item) AS total
         FROM tidemark_fruit_stream GROUP BY event_type, window(ts, '5 minutes')""")
@@ -171,7 +181,7 @@ MATCH_STREAM_SQL = f"""
 WITH RECURSIVE {EVENTS},
 s AS (SELECT user_id, item, event_id AS id, pos, CASE event_type WHEN 'click' THEN 'left' ELSE 'right' END AS side,
              row_number() OVER (PARTITION BY user_id, item ORDER BY pos, event_id) AS rn
-      FROM ev WHERE event_type IN ('click', 'purchase') AND pos < {mark("click", "purchase")}),
+      FROM ev WHERE event_type IN ('click', 'purchase')),
 m AS (SELECT user_id, item, rn, side AS wside, pos AS wpos, id AS wid,
              CAST(NULL AS BIGINT) AS left_id, CAST(NULL AS BIGINT) AS right_id, CAST(NULL AS VARCHAR) AS status
       FROM s WHERE rn = 1
@@ -189,13 +199,13 @@ fin AS (SELECT user_id, item, arg_max(coalesce(wside, ''), rn) AS wside, arg_max
 SELECT user_id, item, left_id, right_id, status FROM m WHERE status IS NOT NULL
 UNION ALL
 SELECT user_id, item, CASE WHEN wside = 'left' THEN wid END, CASE WHEN wside = 'right' THEN wid END, 'only_' || wside
-FROM fin WHERE wside <> '' AND wpos + {5 * DAY} < {mark("click", "purchase")}"""
+FROM fin WHERE wside <> ''"""
 
 
 @query("two_stream_match_stream", MATCH_STREAM_SQL)
 def two_stream_match_stream(spark, sf_dir):
     """Clicks and purchases of one item by one user, paired within five days or reported alone."""
-    sides = event_stream(spark, sf_dir, "click", "purchase").withColumn(
+    sides = event_stream(spark, sf_dir, "click", "purchase", flush=True).withColumn(
         "event_type", F.when(F.col("event_type") == "click", "left").otherwise("right"))
     rows = sides.select("user_id", "item", "ts", *ORDER, "event_type")
     return to_table(apply_rule(rows, ["user_id", "item"], rules.MatchStreams(5 * DAY)), "match")
@@ -275,7 +285,7 @@ def uv_daily_cumulative_stream(spark, sf_dir):
 WITH RECURSIVE {EVENTS},
 tr(s, e, t) AS (VALUES {TRANSITION_ROWS}),
 o AS (SELECT user_id, event_id, {SYMBOL_SQL} AS event, row_number() OVER (PARTITION BY user_id ORDER BY pos, event_id) AS rn
-      FROM ev WHERE pos < {mark()}),
+      FROM ev),
 m AS (SELECT user_id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS VARCHAR) AS event,
              CAST('Initial' AS VARCHAR) AS was, CAST('Initial' AS VARCHAR) AS state, TRUE AS legal
       FROM (SELECT DISTINCT user_id FROM o)
@@ -284,7 +294,7 @@ m AS (SELECT user_id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS event_id,
       FROM m JOIN o ON o.user_id = m.user_id AND o.rn = m.rn + 1 LEFT JOIN tr ON tr.s = m.state AND tr.e = o.event)
 SELECT user_id, event_id, event, was AS state FROM m WHERE NOT legal""")
 def state_machine_alerts_stream(spark, sf_dir):
-    rows = with_symbols(event_stream(spark, sf_dir)).withColumn("event_type", F.col("event"))
+    rows = with_symbols(event_stream(spark, sf_dir, flush=True)).withColumn("event_type", F.col("event"))
     return to_table(apply_rule(rows.select("user_id", "ts", *ORDER, "event_type"), ["user_id"], rules.StateMachine()), "machine")
 
 
@@ -303,8 +313,8 @@ def offline_alerts_stream(spark, sf_dir):
 @query("blacklist_stream", f"""
 {CLICKS_SQL}
 SELECT user_id, ad, event_id, CASE WHEN rn <= 1 THEN 'pass' ELSE 'warn' END AS verdict
-FROM c WHERE rn <= 2 AND pos < {mark("click")}""")
+FROM c WHERE rn <= 2""")
 def blacklist_stream(spark, sf_dir):
-    clicks = event_stream(spark, sf_dir, "click").withColumn("ad", F.expr("item div 50"))
+    clicks = event_stream(spark, sf_dir, "click", flush=True).withColumn("ad", F.expr("item div 50"))
     rows = clicks.select("user_id", "ad", "ts", *ORDER, "event_type")
     return to_table(apply_rule(rows, ["user_id", "ad"], rules.Blacklist(1)), "blacklist")

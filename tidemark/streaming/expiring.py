@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tidemark.streaming.ordered import key_kinds, text_keys, typed_keys
+
 
 class ExpiringDistinct(StatefulProcessor):
     """Distinct users of a key, each remembered for ``ttl`` milliseconds from its last sighting."""
@@ -45,8 +47,8 @@ def expiring_uv(df: DataFrame, keys: list[str], user: str, ttl_ms: int, spread:
     Users are dealt to ``spread`` parts of a key, so a frequent key is several tasks' state; the sum of the parts'
     ``fresh`` users over the batches is the count.  Null users do not count.
     """
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     rows = df.select(*keys, F.col(user).cast("string").alias("w_user"), F.pmod(F.xxhash64(user), F.lit(spread)).alias("w_part"))
-    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), "uv long", "fresh long"])
-    return rows.groupBy(*keys, "w_part").transformWithStateInPandas(
+    schema = ", ".join([*(f"{k} string" for k in keys), "uv long", "fresh long"])
+    counted = text_keys(rows, keys).groupBy(*keys, "w_part").transformWithStateInPandas(
         ExpiringDistinct(keys, ttl_ms), schema, "update", "ProcessingTime")
+    return typed_keys(counted, key_kinds(df, keys))

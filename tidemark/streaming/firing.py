@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.plans.timing import floor_div, micros, position
+from tidemark.streaming.ordered import key_kinds, text_keys, typed_keys
 
 WINDOW, LATE = "window", "late"
 _OUT = ["kind", "window_start", "window_end", "version", "fire_at", "n", "total", "row_id"]
@@ -49,7 +50,7 @@ class FiringWindows(StatefulProcessor):
         if end + self.lateness <= mark:
             for frame in rows:
                 if len(frame):
-                    yield self._frame(key, [(LATE, start, end, None, None, None, None, int(r)) for r in frame["w_row"]])
+                    yield self._frame(key, [(LATE, start, end, None, None, None, None, None if r is None else int(r)) for r in frame["w_row"]])
             return
         n = total = 0
         first = None
@@ -131,8 +132,8 @@ def firing_windows(
     rows = unmarked(df.withColumn("w_pos", position(ts)).filter(F.col("w_pos").isNotNull()))
     width = micros(size)
     rows = rows.select(*keys, "w_pos", F.coalesce(F.col(measure), F.lit(0)).cast("long").alias("w_measure"),
-                       F.col(row_id).cast("long").alias("w_row"), (floor_div("w_pos", width) * width).alias("w_start"))
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    schema = ", ".join([*(f"{k} {kinds[k]}" for k in keys), "kind string", *(f"{c} long" for c in _OUT[1:])])
-    return rows.groupBy(*keys, "w_start").transformWithStateInPandas(
+                       F.col(row_id).cast("long").cast("string").alias("w_row"), (floor_div("w_pos", width) * width).alias("w_start"))
+    schema = ", ".join([*(f"{k} string" for k in keys), "kind string", *(f"{c} long" for c in _OUT[1:])])
+    fired = text_keys(rows, keys).groupBy(*keys, "w_start").transformWithStateInPandas(
         FiringWindows(keys, width, micros(lateness), micros(every) if every else 0, purge), schema, "append", "EventTime")
+    return typed_keys(fired, key_kinds(rows, keys))

@@ -21,11 +21,13 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.plans.timing import micros
 
 BUCKET = 60_000_000  # microseconds of one bucket of waiting rows
+WHOLE = ("long", "bigint", "int", "integer")
 
 class Rule:
     """What to do with the events of one key.
@@ -60,6 +62,7 @@ class OrderedProcessor(StatefulProcessor):
     def __init__(self, rule: Rule, keys: list[str], idle: int | None = None, bucket: int = BUCKET):
         self.rule, self.keys, self.idle, self.bucket = rule, keys, idle, bucket
         self.names = [name for name, _ in rule.fields]
+        self.whole = {name for name, kind in rule.fields if kind in WHOLE}
         self.columns = keys + [name for name, _ in rule.output]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -80,7 +83,7 @@ class OrderedProcessor(StatefulProcessor):
             return iter(())
         index = self._read_index()
         for bucket, part in fresh.groupby(fresh[pos] // self.bucket):
-            columns = [part[name].astype(object).where(part[name].notna(), None).tolist() for name in self.names]
+            columns = [self._values(name, part[name]) for name in self.names]
             if bucket in index:
                 columns = [list(old) + new for old, new in zip(self.pending.getValue((int(bucket),)), columns)]
             self.pending.updateValue((int(bucket),), tuple(columns))
@@ -137,6 +140,10 @@ class OrderedProcessor(StatefulProcessor):
         if out:
             yield pd.DataFrame([(*key, *row) for row in out], columns=self.columns)
 
+    def _values(self, name: str, column: pd.Series) -> list:
+        values = column.astype(object).where(column.notna(), None).tolist()
+        return [None if v is None else int(v) for v in values] if name in self.whole else values
+
     def _read_index(self) -> dict[int, int]:
         return dict(zip(*self.index.get())) if self.index.exists() else {}
 
@@ -154,14 +161,34 @@ class OrderedProcessor(StatefulProcessor):
         pass
 
 
+def key_kinds(df: DataFrame, keys: list[str]) -> dict[str, str]:
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return {k: kinds[k] for k in keys}
+
+
+def text_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys as text: beside a null key pandas would make floats of whole numbers, which are no keys."""
+    return df.withColumns({k: F.col(k).cast("string") for k in keys})
+
+
+def typed_keys(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    return df.withColumns({k: F.col(k).cast(kind) for k, kind in kinds.items()})
+
+
 def apply_rule(df: DataFrame, keys: list[str], rule: Rule, idle: str | int | None = None, bucket: str | int = BUCKET) -> DataFrame:
     """Run a rule over a watermarked stream, per key.
 
     With ``idle`` a key's memo is forgotten once the watermark is that far beyond its last event and no timer waits; a
-    later event starts afresh.
+    later event starts afresh.  Rows without a position are ignored; other fields may be null.
     """
-    key_fields = [(f.name, f.dataType.simpleString()) for f in df.schema.fields if f.name in keys]
-    ordered = sorted(key_fields, key=lambda f: keys.index(f[0]))
-    return df.groupBy(*keys).transformWithStateInPandas(
+    pos, *others = rule.fields
+    df = df.filter(F.col(pos[0]).isNotNull())
+    # In pandas a null turns a whole column of a batch into floats, so whole numbers travel as text.
+    for name, kind in others:
+        if kind in WHOLE:
+            df = df.withColumn(name, F.col(name).cast("string"))
+    kinds = key_kinds(df, keys)
+    out = text_keys(df, keys).groupBy(*keys).transformWithStateInPandas(
         OrderedProcessor(rule, keys, None if idle is None else micros(idle), micros(bucket)),
-        ddl([*ordered, *rule.output]), "append", "EventTime")
+        ddl([*((k, "string") for k in keys), *rule.output]), "append", "EventTime")
+    return typed_keys(out, kinds)
