@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import aggregates as a
+from tidemark.operators.joins import lookup_fresh
 from tidemark.operators.models import iterate_frontier
 from tidemark.session import scratch_dir
 from tidemark.sinks.upsert import KeyedTable
@@ -58,3 +59,22 @@ def test_quantile_check_tells_good_from_bad(spark, shift, within):
     estimates = spark.createDataFrame([("d", 1000, 500 + shift)], "day string, n long, p50 long")
     got = a.quantiles_checked(values, estimates, ["day"], "v", {"p50": 0.5}).first()
     assert (got.n, got.p50_within) == (1000, within)
+
+
+def test_lookup_takes_nothing_too_old(spark):
+    fact = spark.createDataFrame([(1, 10, 1), (1, 21, 2), (1, 60, 3), (2, 5, 4), (None, 12, 5)], "k long, pos long, id long")
+    history = spark.createDataFrame([(1, 10, "a", 0), (1, 20, "b", 0), (2, 6, "c", 0), (None, 11, None, 0)],
+                                    "k long, valid long, name string, id long")
+    got = lookup_fresh(fact, history, ["k"], ["pos", "id"], "valid", ["name"], 30)
+    assert sorted((r.id, r.name, r.lookup) for r in got.collect()) == [
+        (1, "a", "hit"), (2, "b", "hit"), (3, None, "stale"), (4, None, "miss"), (5, None, "hit")]
+
+
+def test_merged_aggregate_equals_the_plain_one(spark):
+    from tidemark.functions.user import latest, latest_merged
+
+    rng = random.Random(2)
+    rows = [(rng.choice([None, 1, 1, 1, 2]), rng.choice([None, *range(5)]), rng.choice([None, 1, 2, 3])) for _ in range(200)]
+    df = spark.createDataFrame(rows, "k long, at long, status long").withColumn("at", F.timestamp_seconds("at"))
+    want = df.filter("at IS NOT NULL AND status IS NOT NULL").groupBy("k").agg(latest(F.col("at"), F.col("status")))
+    assert sorted(map(tuple, latest_merged(df, ["k"], "at", "status", 3).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)

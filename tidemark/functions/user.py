@@ -47,6 +47,11 @@ def latest_status(times: pd.Series, status: pd.Series) -> int:
     return int(newest.max())
 
 
+@F.pandas_udf("long")
+def newest_time(times: pd.Series) -> int:
+    return int(times.max())
+
+
 def register(spark: SparkSession) -> None:
     spark.udf.register("format_epoch", format_epoch)
     spark.udf.register("latest_status", latest_status)
@@ -64,3 +69,17 @@ def json_items(df: DataFrame, text: str, outer: bool = False) -> DataFrame:
 def latest(times: Column, status: Column) -> Column:
     """Built-in form of ``latest_status``: a partial aggregate."""
     return F.max_by(status, F.struct(times, status))
+
+
+def latest_merged(df: DataFrame, keys: list[str], times: str, status: str, parts: int = 16) -> DataFrame:
+    """``keys, latest_status`` by the grouped aggregate ``latest_status`` itself, in two steps.
+
+    A Python aggregate takes a whole group into one task.  So each key is dealt to ``parts`` parts by a hash of its rows;
+    a part's state (latest time and its status) is an input of the same aggregate again, and a frequent key's rows
+    never meet in one place.  Rows without time or status are left out.
+    """
+    rows = df.filter(F.col(times).isNotNull() & F.col(status).isNotNull())
+    part = F.pmod(F.xxhash64(times, status), F.lit(parts)).alias("_part")
+    partial = rows.select(*keys, F.unix_micros(F.col(times).cast("timestamp")).alias("_at"), F.col(status).alias("_status"), part).groupBy(
+        *keys, "_part").agg(latest_status("_at", "_status").alias("_status"), newest_time("_at").alias("_at"))
+    return partial.groupBy(*keys).agg(latest_status("_at", "_status").alias("latest_status"))

@@ -220,3 +220,19 @@ def asof_join(spark, sf_dir):
         F.col("cents").alias("view_cents"))
     return asof_latest(buys, views, ["user_id"], ["pos", "event_id"], "view_pos",
                        ["view_id", "view_cents"], right_tie=["view_id"]).drop("pos")
+
+
+@query("lookup_with_age", f"""
+WITH {EVENTS},
+p AS (SELECT * FROM ev WHERE event_type = 'purchase'), s AS (SELECT * FROM ev WHERE event_type = 'signup')
+SELECT p.event_id, p.user_id, CASE WHEN p.pos - s.pos <= {2 * DAY} THEN s.event_id END AS signup_id,
+       CASE WHEN s.pos IS NULL THEN 'miss' WHEN p.pos - s.pos <= {2 * DAY} THEN 'hit' ELSE 'stale' END AS lookup
+FROM p ASOF LEFT JOIN s ON p.user_id = s.user_id AND p.pos >= s.pos""")
+def lookup_with_age(spark, sf_dir):
+    """Purchases look up the user's newest sign-up, which counts for two days."""
+    rows = events(spark, sf_dir).select("event_id", "user_id", "pos", "event_type")
+    history = rows.filter("event_type = 'signup'").select(
+        "user_id", F.col("pos").alias("valid_pos"), F.col("event_id").alias("signup_id"))
+    buys = rows.filter("event_type = 'purchase'").select("event_id", "user_id", "pos")
+    return j.lookup_fresh(buys, history, ["user_id"], ["pos", "event_id"], "valid_pos", ["signup_id"], "2 days",
+                          tie=["signup_id"]).drop("pos")

@@ -279,3 +279,15 @@ def udaf_latest(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("status", F.ascii("o_orderstatus").cast("long"))
     return orders.groupBy("o_custkey").agg(
         user.latest(F.col("o_orderdate"), F.col("status")).alias("latest_status"))
+
+
+@query("udaf_latest_merged", """
+SELECT o_custkey, max_by(len, (o_orderdate, len)) AS latest_status FROM (
+  SELECT o_custkey, o_orderdate, CAST(ascii(o_orderstatus) AS BIGINT) AS len FROM orders)
+GROUP BY o_custkey""")
+def udaf_latest_merged(spark, sf_dir):
+    """The user's own aggregate over parts of each key, and once more over the parts' states."""
+    from tidemark.functions import user
+
+    orders = table(spark, sf_dir, "orders").withColumn("status", F.ascii("o_orderstatus").cast("long"))
+    return user.latest_merged(orders, ["o_custkey"], "o_orderdate", "status")

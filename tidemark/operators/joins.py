@@ -125,6 +125,26 @@ def lookup(
     return fact.join(dim, list(keys), how)
 
 
+HIT, STALE, MISS = "hit", "stale", "miss"
+
+
+def lookup_fresh(
+    fact: DataFrame, history: DataFrame, keys: Sequence[str], order: Sequence[str], valid_pos: str,
+    values: Sequence[str], max_age: str, width: Width = None, tie: Sequence[str] = (),
+) -> DataFrame:
+    """Lookup in a dimension's history that takes no row older than ``max_age``.
+
+    Each row sees the version of its key that was newest at its own time, as a cache filled at that time would.  Adds
+    ``values`` (null unless found) and ``lookup``: ``hit``, ``stale`` (there is only an older version) or ``miss``.  An
+    ordered scan of both sides, so neither a hot key nor a long history meets itself.  Null keys are a key.
+    """
+    found = asof_latest(fact, history, keys, order, valid_pos, [valid_pos, *values], width, tie)
+    age = F.col(order[0]) - F.col(valid_pos)
+    state = F.when(F.col(valid_pos).isNull(), MISS).when(age <= micros(max_age), HIT).otherwise(STALE)
+    return found.withColumn("lookup", state).select(
+        *fact.columns, *[F.when(F.col("lookup") == HIT, F.col(v)).alias(v) for v in values], "lookup")
+
+
 def composed_key(*parts) -> Column:
     """Store key such as ``userInfo:userId:7:userName``."""
     return F.concat_ws(":", *[p if isinstance(p, Column) else F.lit(p) for p in parts])
