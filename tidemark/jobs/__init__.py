@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.jobs.registry import ORACLES, QUERIES
 from tidemark.jobs import (  # noqa: F401  (importing registers the queries)
     aggregates, changing, detection, joins, late, models, ranking, routing, sources, sinks, streams, windows,
+    rule_streams,
 )
 
 __all__ = ["ORACLES", "QUERIES"]
