@@ -99,7 +99,8 @@ def mix(docs: DataFrame, weights: list[int] = (1, 2, 3), most_epochs: int = 3, s
     if keep:
         sized = rows
     columns = ["doc_id", *keep, "size", "source_size", "target"]
-    places = planned.select("_key", "source_size", "target", "_whole", "_rest").join(ends, "_key", "left")
+    # Written out, the table's real size decides how it is joined; that of a join would be estimated far too large.
+    places = staged(planned.select("_key", "source_size", "target", "_whole", "_rest").join(ends, "_key", "left"), "mix-places")
     joined = sized.join(places, "_key").withColumn("_place", order)
     tied = (F.col("_ties") > 1) & (F.col("_place") == F.col("_at"))
     part = (
