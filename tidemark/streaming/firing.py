@@ -112,8 +112,7 @@ class FiringWindows(StatefulProcessor):
         self.handle.registerTimer(int(-(-pos // 1000)) - 1)
 
     def _frame(self, key, rows: list[tuple]) -> pd.DataFrame:
-        frame = pd.DataFrame([(*key[:-1], *row) for row in rows], columns=[*self.keys, *_OUT])
-        return frame.astype({c: "Int64" for c in _OUT[1:]})
+        return pd.DataFrame([(*key[:-1], *row) for row in rows], columns=[*self.keys, *_OUT], dtype=object)
 
     def close(self) -> None:
         pass

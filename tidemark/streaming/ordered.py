@@ -138,7 +138,7 @@ class OrderedProcessor(StatefulProcessor):
         if nexts:
             self._wake(min(nexts), mark // 1000)
         if out:
-            yield pd.DataFrame([(*key, *row) for row in out], columns=self.columns)
+            yield pd.DataFrame([(*key, *row) for row in out], columns=self.columns, dtype=object)
 
     def _values(self, name: str, column: pd.Series) -> list:
         values = column.astype(object).where(column.notna(), None).tolist()
