@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import ann, embedding_dedup
@@ -37,6 +38,42 @@ def test_recall_on_the_whole_table(spark):
     assert np.mean(hits) >= 0.9
 
 
+def exact_nearest(ids, x, q, k):
+    scores = np.where(ids == ids[q], -np.inf, (x * x[q]).sum(axis=1))
+    return ids[np.lexsort((ids, -scores))][:k].tolist()
+
+
+@pytest.mark.parametrize("size, spread", [(20, 0.0), (64, 1.0), (256, 0.0), (256, 1.0), (768, 0.0), (768, 1.0)])
+def test_recall_at_other_lengths_and_norms(spark, size, spread):
+    rng = np.random.default_rng(size)
+    x = unit_rows(rng.normal(size=(2000, size))) * np.exp(rng.normal(size=(2000, 1)) * spread)
+    ids = np.arange(len(x))
+    vectors = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(vectors, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = [len(got[q] & set(exact_nearest(ids, x, q, 20))) / 20 for q in ids[::20]]
+    assert np.mean(hits) >= 0.9
+
+
+def test_repeated_ids_count_once_with_their_best_score(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(90, 8))
+    ids = np.concatenate([np.arange(30), np.arange(30), np.full(30, 7)])
+    rows = [(int(i), v.tolist(), 1, "x") for i, v in zip(ids, x)] + [(7, x[80].tolist(), 1, "y")] * 50
+    best = {}
+    for q in np.flatnonzero(ids % 20 == 0):
+        for i, v in zip(ids, x):
+            if i != ids[q]:
+                key = (int(ids[q]), int(i))
+                best[key] = max(best.get(key, -np.inf), float((v * x[q]).sum()))
+    # Every axis is read, so the result is exact.
+    got = ann.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0, k=5, probes=16).collect()
+    for q in (0, 20):
+        ranked = sorted((-s, i) for (a, i), s in best.items() if a == q)[:5]
+        assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == [i for _, i in ranked]
+
+
 def test_few_and_odd_vectors(spark):
     rows = [(20 * k, [float(k % 3), 1.0, 0.5], 1, "x") for k in range(1, 6)] + odd_rows(3) + [(40, [2.0, 1.0, 0.5], 1, "y")]
     got = ann.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0).collect()
