@@ -100,21 +100,23 @@ def test_long_unsplit_texts_are_joined_exactly(spark, rng):
 
 # Language ID
 
-def test_automaton_accepts_exactly_the_substrings(rng):
+@pytest.mark.parametrize("dense", [langid.DENSE, 0])
+def test_automaton_accepts_exactly_the_substrings(rng, dense):
     text = [rng.randrange(2, 5) for _ in range(60)]
-    table = langid.suffix_automaton(text, 5)
+    automaton = langid.suffix_automaton(text, 5, dense)
     known = {tuple(text[a:b]) for a in range(60) for b in range(a + 1, 61)}
     for _ in range(500):
         word = [rng.randrange(2, 5) for _ in range(rng.randint(1, 7))]
         state = 0
         for s in word:
-            state = table[state + s] if state >= 0 else -1
+            state = int(automaton.after(np.array([state]), np.array([s]))[0]) if state >= 0 else -1
         assert (state >= 0) == (tuple(word) in known)
 
 
-def test_phrases_are_longest_matches(rng):
+@pytest.mark.parametrize("dense", [langid.DENSE, 0])
+def test_phrases_are_longest_matches(rng, dense):
     text = [rng.randrange(2, 6) for _ in range(50)]
-    joined, table = "".join(map(str, text)), langid.suffix_automaton(text, 6)
+    joined, table = "".join(map(str, text)), langid.suffix_automaton(text, 6, dense)
     words = [np.array([rng.randrange(2, 6) for _ in range(rng.randint(0, 700))], np.uint8) for _ in range(20)]
     offsets = np.concatenate([[0], np.cumsum([len(w) for w in words])])
     counts = langid.phrase_counts(np.concatenate(words), offsets, [table])[:, 0]
@@ -145,6 +147,25 @@ def test_language_of_odd_rows(spark):
     assert langid.language_id(df.limit(0), ~held_out()).collect() == []
 
 
+def test_languages_of_thousands_of_letters(spark, rng):
+    scripts = {"zh": range(0x4e00, 0x4e00 + 2500), "ko": range(0xac00, 0xac00 + 2500), "en": range(97, 123)}
+
+    def text(letters, size):
+        return "".join(chr(rng.choice(letters)) if rng.random() < 0.8 else " " for _ in range(size))
+
+    pool = {g: [text(letters, 12) for _ in range(150)] for g, letters in scripts.items()}
+    rows = [(k, " ".join(rng.choice(pool[g]) for _ in range(40)), g) for k in range(60) for g in scripts]
+    longest = "".join(rng.choice(pool["zh"]) + " " for _ in range(20_000))
+    odd = [(500, "привет как дела " * 9, None), (501, longest, None), (None, rng.choice(pool["ko"]), None), (503, pool["en"][0], None)]
+    df = spark.createDataFrame([(*r, 1.5) for r in rows + odd + odd[-1:]], "doc_id long, text string, lang string, score double")
+    got = [r for r in langid.language_id(df, ~held_out()).collect() if r["doc_id"] is None or r["doc_id"] >= 500]
+    by = {r["doc_id"]: r for r in got}
+    assert len(got) == 5 and by[500]["phrase_rate"] > 0.8
+    assert (by[501]["lang_pred"], by[None]["lang_pred"], by[503]["lang_pred"]) == ("zh", "ko", "en")
+    # Every script has its own symbols, so a text of one is no run of phrases of another.
+    assert all(r["phrase_rate"] < 0.5 for r in got if r["doc_id"] != 500)
+
+
 # Toxicity
 
 def test_viterbi_restores_disguised_words():

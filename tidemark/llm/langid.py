@@ -3,10 +3,12 @@
 For every language a suffix automaton of labelled text accepts exactly the substrings of that text.  A document is
 cut greedily into longest matches (phrases) against each automaton; the language that needs the fewest phrases per
 symbol wins.  The automaton is used as a table of transitions: a walk follows a phrase until no transition is left,
-so one step per symbol finds every longest match.
+so one step per symbol finds every longest match.  The table is dense where letters are few and else a sorted list of
+the transitions there are, so that scripts of thousands of letters fit; both give the same phrases.
 
 Learning reads a bounded sample: ``sample_docs`` documents per language, chosen by a hash of their id, of which
-``slice_chars`` characters each are taken at a hashed place, until ``sample_chars`` characters are reached.
+``slice_chars`` characters each are taken at a hashed place, until ``sample_chars`` characters are reached.  All letters
+of the sample have symbols of their own; a letter outside of it is in no automaton and a phrase by itself.
 
 Rows: a text that is null or holds no letter gets ``und`` with score 0; so does every text when nothing could be
 learned.  Equal phrase counts go to the first language in code-point order.
@@ -27,12 +29,13 @@ from tidemark.plans.staging import staged
 
 SPAN = 256           # symbols walked as one column; phrases end at its borders
 PIECE = 1 << 21      # characters decoded at a time
+DENSE = 1 << 22      # entries of a dense table of transitions (16 MB)
 
 
 def _symbols(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of the lower-cased texts and each text's offset; runs of non-letters become one symbol 1.
 
-    Letters that no labelled text holds are symbol 0, which no automaton accepts.
+    Letters that the sample does not hold are symbol 0, which no automaton accepts.
     """
     joined = "\n".join(texts) + "\n"
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -48,16 +51,41 @@ def _symbols(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarra
 @lru_cache(maxsize=2)
 def letters_table(alphabet: str) -> np.ndarray:
     """Symbol of every code point: 0 for unknown letters, 1 for non-letters, then the alphabet."""
-    table = np.zeros(0x110000, np.uint8)
+    table = np.zeros(0x110000, np.int32)
     blank = np.fromiter((not chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
     table[blank] = 1
-    for k, letter in enumerate(alphabet[:250]):
+    for k, letter in enumerate(alphabet):
         table[ord(letter)] = k + 2
     return table
 
 
-def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Transitions ``[state * width + symbol]`` of the substrings of one text; state 0 is the root, -1 is no transition."""
+class Transitions:
+    """Transitions between states, each named by its number times ``width``; 0 is the root, -1 is no transition."""
+
+    def __init__(self, steps: list[dict[int, int]], width: int, dense: int = DENSE):
+        held = [(state * width + s, onto * width) for state, row in enumerate(steps) for s, onto in sorted(row.items())]
+        self.keys, onto = np.array(held, np.int64).reshape(-1, 2).T
+        self.onto = np.append(onto, -1)
+        self.table = None
+        if len(steps) * width <= dense:
+            self.table = np.full(len(steps) * width, -1, np.int32)
+            self.table[self.keys] = onto
+            self.keys = self.onto = None
+
+    def after(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The states that follow."""
+        if self.table is not None:
+            return self.table[state + symbol]
+        wanted = state + symbol
+        place = np.searchsorted(self.keys, wanted)
+        found = np.zeros(len(wanted), bool)
+        inside = place < len(self.keys)
+        found[inside] = self.keys[place[inside]] == wanted[inside]
+        return np.where(found, self.onto[place], -1)
+
+
+def suffix_automaton(symbols: list[int], width: int, dense: int = DENSE) -> Transitions:
+    """Transitions of the substrings of one text, whose symbols are below ``width``."""
     steps: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for s in symbols:
@@ -83,14 +111,10 @@ def suffix_automaton(symbols: list[int], width: int) -> np.ndarray:
                     back = link[back]
                 link[onto] = link[state] = copy
         last = state
-    table = np.full(len(steps) * width, -1, np.int32)
-    for state, row in enumerate(steps):
-        for s, onto in row.items():
-            table[state * width + s] = onto * width
-    return table
+    return Transitions(steps, width, dense)
 
 
-def phrase_counts(symbols: np.ndarray, offsets: np.ndarray, automata: list[np.ndarray]) -> np.ndarray:
+def phrase_counts(symbols: np.ndarray, offsets: np.ndarray, automata: list[Transitions]) -> np.ndarray:
     """Phrases of each text against each automaton, ``[text, language]``."""
     texts = len(offsets) - 1
     size = np.diff(offsets)
@@ -102,16 +126,16 @@ def phrase_counts(symbols: np.ndarray, offsets: np.ndarray, automata: list[np.nd
     owner, start, length = owner[order], start[order], (stop - start)[order]
     counts = np.zeros((texts, len(automata)), np.int64)
     active = np.searchsorted(-length, -np.arange(1, SPAN + 1), side="right")
-    columns = [symbols[start[:n] + k].astype(np.int32) for k, n in enumerate(active.tolist()) if n]
-    for lang, table in enumerate(automata):
-        state = np.zeros(len(start), np.int32)
+    columns = [symbols[start[:n] + k] for k, n in enumerate(active.tolist()) if n]
+    root = np.zeros(len(start), np.int64)
+    for lang, automaton in enumerate(automata):
+        state = np.zeros(len(start), np.int64)
         phrases = np.ones(len(start), np.int64)
         for column in columns:
             n = len(column)
-            onto = table[state[:n] + column]
+            onto = automaton.after(state[:n], column)
             stuck = onto < 0
-            restart = table[column]
-            np.maximum(restart, 0, out=restart)  # a symbol the text lacks is a phrase of its own
+            restart = np.maximum(automaton.after(root[:n], column), 0)  # a symbol the text lacks is a phrase of its own
             phrases[:n] += stuck
             state[:n] = np.where(stuck, restart, onto)
         counts[:, lang] = np.bincount(owner, phrases, minlength=texts)
@@ -138,11 +162,7 @@ def learn(docs: DataFrame, known: Column, sample_docs: int, slice_chars: int, sa
         if len(text) < sample_chars:
             parts[row["lang"]] = text + row["part"].lower() + "\n"
     langs = sorted(parts)
-    seen: dict[str, int] = {}
-    for text in parts.values():
-        for letter in filter(str.isalpha, text):
-            seen[letter] = seen.get(letter, 0) + 1
-    alphabet = "".join(sorted(sorted(seen, key=lambda c: (-seen[c], c))[:250]))
+    alphabet = "".join(sorted({letter for text in parts.values() for letter in text if letter.isalpha()}))
     table = letters_table(alphabet)
     automata = [suffix_automaton(_symbols([parts[g]], table)[0].tolist(), len(alphabet) + 2) for g in langs]
     return {"langs": langs, "alphabet": alphabet, "automata": automata}
