@@ -201,8 +201,9 @@ def learn(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000) -> di
     if len(totals) < 2:
         return model
     portion = min(1.0, most_labelled / sum(totals.values()))
+    # All 62 bits of the hash, so that the share of a very large table is no rounded nothing.
     chosen = labelled.filter(
-        F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) < int(portion * (1 << 20)))
+        F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 62)) < int(portion * (1 << 62)))
     sample = staged(rows_of(docs.select("doc_id", "text"), chosen.select("doc_id"), "doc_id").join(chosen, "doc_id").select(
         "text", F.col("toxic").cast("int").alias("toxic")), "labelled-texts")
     context = docs.sparkSession.sparkContext
