@@ -6,6 +6,7 @@ from types import SimpleNamespace
 import pandas as pd
 import pytest
 
+from tidemark.streaming.firing import FiringWindows
 from tidemark.streaming.ordered import OrderedProcessor
 from tidemark.streaming.rules import Changelog, Offline
 
@@ -95,3 +96,21 @@ def test_ordered_timers_of_a_slot_and_idle_keys():
     assert stores["memo"]["value"][-1] == ["b"]
     list(processor.handleExpiredTimer((0,), mark(26_000), None))
     assert "value" not in stores["memo"]
+
+
+@pytest.mark.parametrize("keys", [1, 300])
+def test_firing_calls_do_not_grow_with_keys(keys):
+    processor = FiringWindows(["user_id"], 10 * SECOND, 5 * SECOND, 0, False)
+    stores, wakes = started(processor)
+    users = [None if k == 0 else str(k) for k in range(keys)]
+    frame = pd.DataFrame([(u, SECOND, 2, "1") for u in users for _ in range(2)], columns=["user_id", "w_pos", "w_measure", "w_row"])
+    assert not list(processor.handleInputRows((0, 0), [frame], mark(0)))
+    assert wakes == [9_999]
+    fired = pd.concat(processor.handleExpiredTimer((0, 0), mark(10_000), None))
+    again = pd.concat(processor.handleInputRows((0, 0), [frame], mark(12_000)))
+    for out, version, n in ((fired, 1, 4), (again, 2, 8)):
+        assert out[["user_id", "version", "n", "total"]].values.tolist() == [[u, version, n // 2, n] for u in users]
+    assert not list(processor.handleExpiredTimer((0, 0), mark(15_000), None)) and "value" not in stores["panes"]
+    assert Counted.calls <= 14
+    late = pd.concat(processor.handleInputRows((0, 0), [frame], mark(15_000)))
+    assert len(late) == 2 * keys and set(late.kind) == {"late"} and set(late.row_id) == {1}
