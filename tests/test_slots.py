@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.streaming.firing import FiringWindows
 from tidemark.streaming.ordered import OrderedProcessor
@@ -114,3 +115,15 @@ def test_firing_calls_do_not_grow_with_keys(keys):
     assert Counted.calls <= 14
     late = pd.concat(processor.handleInputRows((0, 0), [frame], mark(15_000)))
     assert len(late) == 2 * keys and set(late.kind) == {"late"} and set(late.row_id) == {1}
+
+
+def test_only_frequent_keys_are_dealt_to_parts(spark):
+    from tidemark.functions.user import latest, latest_merged
+
+    rows = [(k, t, s) for k, n in ((1, 40), (2, 3), (None, 40), (3, 1)) for t, s in ((i % 20, i) for i in range(n))]
+    df = spark.createDataFrame(rows + [(2, None, 5), (2, 9, None)], "k long, t long, status long").withColumn(
+        "at", F.timestamp_seconds("t"))
+    want = df.filter("at IS NOT NULL AND status IS NOT NULL").groupBy("k").agg(
+        latest(F.col("at"), F.col("status")).alias("latest_status"))
+    got = latest_merged(df, ["k"], "at", "status", 3, part_rows=10)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
