@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.runs import latest_states
+
 DATA_ITEMS = "array<struct<type:string,value:string>>"
 
 
@@ -43,13 +45,12 @@ class JsonItems:
 @F.pandas_udf("long")
 def latest_status(times: pd.Series, status: pd.Series) -> int:
     """Status at the latest time (grouped aggregate); equal times prefer the higher status."""
-    at, found = times.to_numpy(), status.to_numpy()
-    return int(found[at == at.max()].max())
+    return int(status[times == times.max()].max())
 
 
 @F.pandas_udf("long")
 def newest_time(times: pd.Series) -> int:
-    return int(times.to_numpy().max())
+    return int(times.max())
 
 
 def register(spark: SparkSession) -> None:
@@ -74,19 +75,27 @@ def latest(times: Column, status: Column) -> Column:
 def latest_merged(df: DataFrame, keys: list[str], times: str, status: str, parts: int = 16, part_rows: int = 10_000) -> DataFrame:
     """``keys, latest_status`` by the grouped aggregate ``latest_status`` itself, in two steps.
 
-    A Python aggregate takes a whole group into one task, and calls for many small groups are dear.  So a key of up to
-    ``part_rows`` rows is one part, and a more frequent one is dealt to as many parts as hold that many rows each, but at
-    least ``parts``, by a hash of its rows; a part's state (latest time and its status) is an input of the same aggregate
-    again, and a frequent key's rows never meet in one place.  Rows without time or status are left out.
+    A Python aggregate takes a whole group into one task, and a call from Spark for each of many small groups is dear.  So
+    the rows are sorted by key within partitions, and a task calls the aggregate for one key after the other.  A key of
+    over ``part_rows`` rows is dealt to as many parts as hold that many rows each, but at least ``parts``, by a hash of
+    its rows; a part's state (latest time and its status) is an input of the same aggregate again, and a frequent key's
+    rows never meet in one place.  Rows without time or status are left out.
     """
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    # Keys as text: beside a null key pandas would make floats of whole numbers.
     rows = df.filter(F.col(times).isNotNull() & F.col(status).isNotNull()).select(
-        *keys, F.unix_micros(F.col(times).cast("timestamp")).alias("_at"), F.col(status).alias("_status"),
-        F.monotonically_increasing_id().alias("_row"))
+        *[F.col(k).cast("string").alias(k) for k in keys], F.unix_micros(F.col(times).cast("timestamp")).alias("_at"),
+        F.col(status).cast("long").alias("_status"), F.monotonically_increasing_id().alias("_row"))
     frequent = rows.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_rows")).filter(
         F.col("_rows") > part_rows)
     same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
     count = F.greatest(F.lit(parts), F.ceil(F.col("_rows") / F.lit(part_rows)))
     part = F.when(F.col("_rows").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("_row"), count)).alias("_part")
-    partial = rows.join(frequent, same, "left").select(*keys, "_at", "_status", part).groupBy(
-        *keys, "_part").agg(latest_status("_at", "_status").alias("_status"), newest_time("_at").alias("_at"))
-    return partial.groupBy(*keys).agg(latest_status("_at", "_status").alias("latest_status"))
+    dealt = rows.join(frequent, same, "left").select(*keys, "_at", "_status", part)
+    # The plain functions: a task cannot load this module, whose decorators need a session.
+    states = latest_states(keys, latest_status.func, newest_time.func)
+    schema = ", ".join([*(f"`{k}` string" for k in keys), "_at long", "_status long"])
+    partial = dealt.repartition(*keys, "_part").sortWithinPartitions(*keys).select(
+        *keys, "_at", "_status").mapInPandas(states, schema)
+    merged = partial.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(states, schema)
+    return merged.select(*[F.col(k).cast(kinds[k]).alias(k) for k in keys], F.col("_status").alias("latest_status"))
