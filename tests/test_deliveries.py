@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.streaming import expiring
 from tidemark.streaming.changing import apply_changing_rules, filter_by_newest_keyword
 from tidemark.streaming.expiring import expiring_uv
 from tidemark.streaming.firing import firing_windows
@@ -131,6 +132,65 @@ def test_state_past_its_time_is_gone(spark, ttl, left, counted):
     assert {x.user for x in state.select("user_map_key.user").collect()} == left
 
 
+class Entries:
+    """A map state with a time to live, in memory, that counts its calls."""
+
+    def __init__(self, ttl):
+        self.ttl, self.now, self.calls, self.held = ttl, 0, 0, {}
+
+    def live(self):
+        self.calls += 1
+        self.held = {k: v for k, v in self.held.items() if v[1] + self.ttl > self.now}
+        return self.held
+
+    def keys(self):
+        return iter(list(self.live()))
+
+    def containsKey(self, key):
+        return key in self.live()
+
+    def getValue(self, key):
+        return self.live()[key][0]
+
+    def updateValue(self, key, value):
+        self.live()[key] = value, self.now
+
+    def removeKey(self, key):
+        del self.live()[key]
+
+
+def test_expiring_users_share_entries(monkeypatch):
+    """Each user is forgotten ``ttl`` after its own last sighting, with fewer calls to the state than users."""
+    monkeypatch.setattr(expiring, "HELD", 1000)
+    counter = expiring.ExpiringDistinct(["event_type"], 10)
+    users = Entries(10)
+    counter.users, counter.count = users, SimpleNamespace(exists=lambda: False, update=lambda value: None)
+    last = {}
+    for now, first, stop in ((100, 0, 5000), (105, 2500, 7500), (110, 0, 2600), (119, 7000, 7600), (129, 0, 100), (130, 7599, 7601)):
+        users.now, users.calls = now, 0
+        expected = sum(now >= last.get(u, -100) + 10 for u in range(first, stop))
+        last.update(dict.fromkeys(range(first, stop), now))
+        names = [str(u) for u in range(first, stop)]
+        frames = [pd.DataFrame({"w_user": names[k:k + 700] + [None, names[0]]}) for k in range(0, len(names), 700)]
+        clock = SimpleNamespace(getCurrentProcessingTimeInMs=lambda now=now: now)
+        out = list(counter.handleInputRows(("a", 0), iter(frames), clock))
+        assert [frame["fresh"].tolist() for frame in out] == [[expected]]
+        assert users.calls <= 1 + 3 * expiring.BUCKETS * (1 + len(names) // 1000)
+        kept = [u for value, _ in users.live().values() for u in value[0]]
+        assert len(kept) == len(set(kept)) and {u for u in last if now < last[u] + 10} <= {int(u) for u in kept}
+        assert len({expiring._bucket(name) for (name,) in users.held}) == len(users.held)
+
+
+def test_many_expiring_users(spark):
+    rows = [(u, 10 * s + u, "a", 1, BASE, s) for s, users in enumerate([range(900), range(600, 1200)]) for u in users]
+    r = replay(spark, rows, 2, "t-many", idle_batches=False)
+    got = r.to_batches(expiring_uv(r.stream("rows"), ["event_type"], "user_id", 86_400_000, spread=2), lambda b, _: b, "update")
+    assert got.groupBy("batch").agg(F.sum("fresh")).orderBy("batch").collect() == [(0, 900), (1, 300)]
+    state = spark.read.format("statestore").option("stateVarName", "users").load(r.checkpoint).select(
+        F.explode("user_map_value.value.users").alias("user"))
+    assert (state.count(), state.distinct().count()) == (1200, 1200)
+
+
 def test_idle_keys_are_forgotten(spark):
     rows = [(k, n, "a", 1, BASE + at * SECOND, step) for n, (k, at, step) in enumerate(
         [(1, 0, 0), (1, 5, 0), (1, 16, 0), (2, 3, 0), (1, 25, 1), (2, 30, 1), (3, 500, 2)])]
