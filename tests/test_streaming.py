@@ -209,3 +209,8 @@ def test_batches_keep_their_id(spark):
     rows = make_events(9, ["x"], 20)
     out = to_batches(feed(spark, write_files(spark, rows, 2)), "t-b", lambda b, _: b.drop("ts"), "append")
     assert out.count() == 20 and out.select("batch").distinct().count() == 2
+
+
+def test_state_rows_are_not_counted(spark):
+    use_rocksdb(spark)
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows") == "false"
