@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import encode_digests
-from tidemark.llm.common import held_out, prepare_texts, rows_of
+from tidemark.llm.common import held_out, prepare_texts, rows_apart, rows_of
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.langid import identify, learn
 from tidemark.llm.mixing import WORD, mix
@@ -75,7 +75,10 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
         F.min_by("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("_row"))
     others = linked.join(least, "_row", "left_anti").select("_row")
     repeated = staged(linked.filter("copies > 1").join(least, "_row", "left_semi").select("_row"), "pipeline-repeated")
-    once = rows.join(others.unionByName(repeated), "_row", "left_anti")
+    gone = staged(others.unionByName(repeated), "pipeline-gone")
+    hit, once = rows_apart(rows, gone, "_row")  # most texts are not shuffled
+    kept = hit.join(gone.withColumn("_gone", F.lit(True)), "_row", "left").filter("_gone is null").drop("_gone")
+    once = once.unionByName(kept)
     return once.unionByName(rows_of(rows, repeated, "_row").dropDuplicates(["_row"])).select(*COLUMNS)
 
 

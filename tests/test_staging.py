@@ -1,6 +1,7 @@
 import os
+import time
 
-from tidemark.plans.staging import Scratch, staged
+from tidemark.plans.staging import SHUFFLES_GO, Scratch, staged, unstage
 
 
 def folder(df):
@@ -33,3 +34,29 @@ def test_inner_collections_are_their_own(spark):
     assert os.path.exists(where) and yours.count() == 1
     outer.release(spark)
     assert not os.path.exists(where)
+
+
+def test_unstage_deletes_what_a_frame_reads(spark):
+    one, two = staged(spark.range(5), "one"), staged(spark.range(2), "two")
+    folders = [folder(df) for df in (one, two)]
+    unstage(one.filter("id > 1"), spark.range(1))
+    assert [os.path.exists(f) for f in folders] == [False, True]
+    assert two.count() == 2
+
+
+def _shuffle_files(spark):
+    """Data files of shuffles in the executors' local folders."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {name for top in manager.localDirs() for _, _, names in os.walk(top.getPath()) for name in names
+            if name.startswith("shuffle_") and name.endswith(".data")}
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    before = _shuffle_files(spark)
+    table = staged(spark.range(1000).repartition(3, "id").groupBy("id").count(), "shuffled")
+    until = time.time() + 10
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not _shuffle_files(spark) - before
+    assert table.count() == 1000
+    assert spark.conf.get(SHUFFLES_GO, None) is None

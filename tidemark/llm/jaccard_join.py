@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bytes_of, long_array, pieces, rows_of
 from tidemark.llm.components import components
 from tidemark.llm.wordhash import mix, set_digest, shingle_sets
-from tidemark.plans.staging import staged
+from tidemark.plans.staging import staged, unstage
 
 PIECE = 1 << 18          # bytes of text hashed at a time
 SKETCH = 1 << 16         # counters of each sketch row: its size does not grow with the data
@@ -351,11 +351,16 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
         sets.filter("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(
             F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("l").alias("l"),
             F.first("prefix").alias("prefix"), F.first("bitmap").alias("bitmap")), "jaccard-classes")
+    members = staged(sets.select("doc_id", "h1", "h2", "n"), "jaccard-members")
+    unstage(sets)
     postings = staged(posting_lists(classes, percent), "jaccard-postings")
     best = staged(nearest_partners(met(postings, classes), percent), "jaccard-partners")
+    named = staged(classes.select("h1", "h2", F.col("id").alias("class_id")), "jaccard-named")
+    unstage(classes)
     # From here on only classes with a possible partner matter: their texts are kept.
     texts = staged(rows_of(texts, best.select(F.col("id").alias("doc_id")), "doc_id"), "jaccard-texts")
     listed = staged(rows_of(postings, best.select("id"), "id"), "jaccard-listed")
+    unstage(postings)
     bitmaps = staged(fine_bitmaps(texts, width), "jaccard-bitmaps")
     links = verified(best.select("a", "b").distinct(), texts, width, percent)
     parts = staged(components(links, "jaccard-parts").withColumnRenamed("component", "part"), "jaccard-parts")
@@ -373,8 +378,9 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     if not near.isEmpty():  # some pairs of two components still pass their bitmaps
         pairs = split_pairs(met(open_listed, bitmaps, parts), percent)
         parts = _joined(parts, staged(verified(pairs, open_texts, width, percent), "jaccard-rest"), "jaccard-rest")
+    unstage(texts, listed, bitmaps)
     final = parts.select(F.col("id").alias("class_id"), F.col("part").alias("linked"))
-    named = classes.select("h1", "h2", F.col("id").alias("class_id")).join(final, "class_id", "left")
-    return sets.select("doc_id", "h1", "h2", "n").join(named, ["h1", "h2"], "left").select(
+    named = named.join(final, "class_id", "left")
+    return members.join(named, ["h1", "h2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("linked", "class_id", "doc_id").alias("component_id"))
