@@ -1,11 +1,13 @@
 """Alignment against the two libraries and a plain walk over byte offsets."""
 
 import hashlib
+import tracemalloc
 from collections import Counter
 from itertools import product
 
 import numpy as np
 import public_tokenizers
+import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
@@ -123,3 +125,49 @@ def test_packed_links(rng):
 
 def test_empty_table(spark):
     assert rows(spark, []) == []
+
+
+def test_no_object_per_token():
+    # Lists of ids, names and bytes took more time than the encoder of A, and 58, 74 and 96 bytes a token.
+    _, _, pair = libraries()
+    text = " The quick brown fox; 12 cats' whiskers\n\nare naïve, 漢字!" * 4000
+    (a, same_a), (b, same_b) = pair.a_tokens(text, 0), pair.b_tokens(text, 0)
+    assert same_a and same_b
+    for step, most in ((lambda: pair.a_tokens(text, 0), 30), (lambda: pair.b_tokens(text, 0), 30),
+                       (lambda: al.fragment(pair, a, b), 75)):
+        tracemalloc.start()
+        step()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < most * (len(a[0]) + len(b[0]))
+
+
+def test_spelling_is_compared_in_every_block(monkeypatch):
+    monkeypatch.setattr(al, "SPELT_TOKENS", 3)
+    spelling = al._Spelling([b"a", b"", b"bc", "é".encode(), b"x"])
+    ids = np.array([0, 2, 3, 1, 0, 0, 2, 4], np.int32)
+    (got, ends), same = spelling.placed(ids, "abcéaabcx", 10)
+    assert same and got.tolist() == ids.tolist() and ends.tolist() == [11, 13, 15, 15, 16, 17, 19, 20]
+    for text in ("abcéaabcy", "xbcéaabcx", "abcèaabcx", "abcéaabc", "abcéaabcxx", ""):
+        assert not spelling.placed(ids, text, 10)[1]
+    assert spelling.placed(ids[:0], "", 0)[1] and not spelling.placed(ids[:0], "a", 0)[1]
+
+
+def test_numbers_of_pairs(rng):
+    _, _, pair = libraries()
+    order = np.array(rng.sample(range(len(pair.keys)), 5000))
+    assert pair.numbers(pair.keys).tolist() == list(range(len(pair.keys)))
+    assert pair.numbers(pair.keys[order]).tolist() == order.tolist()
+    other = pair.keys[order] ^ 1
+    for key in other[~np.isin(other, pair.keys)][:50]:
+        with pytest.raises(ValueError):
+            pair.numbers(np.array([pair.keys[0], key, pair.keys[1]]))
+
+
+def test_shared_ends(rng):
+    for n, top, base in product((0, 1, 9), (12, 60), (0, 10**12)):
+        for _ in range(20):
+            x, y = (np.array(sorted(rng.sample(range(top), n)), np.int64) + base for _ in range(2))
+            y += rng.choice((0, 0, 5, 200))
+            expected = np.intersect1d(x, y, assume_unique=True, return_indices=True)[1:]
+            assert [v.tolist() for v in al._shared(x, y)] == [v.tolist() for v in expected]

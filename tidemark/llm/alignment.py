@@ -44,6 +44,7 @@ from tidemark.plans.staging import staged
 
 PART_CHARS = 32_768
 FAN = 8
+SPELT_TOKENS = 16_384    # tokens whose bytes are laid out at once
 SPACE = "▁"  # fixed value: how sentencepiece writes a space
 
 _A_BORDER = regex.compile(r"(?<=[\p{L}\p{N}\p{P}])(?=[ \t\n\r])")
@@ -52,12 +53,35 @@ _NONE = (np.zeros(0, _INTS), np.zeros(0, _LONGS))
 Tokens = tuple[np.ndarray, np.ndarray]  # ids and the byte offsets at which they end
 
 
+class _Spelling:
+    """The bytes of a vocabulary's tokens, joined."""
+
+    def __init__(self, tokens: list[bytes]) -> None:
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+        self.sizes = np.array([len(x) for x in tokens], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+
+    def placed(self, ids: np.ndarray, text: str, start: int) -> tuple[Tokens, bool]:
+        """The tokens of a text that begins at byte ``start``; whether they spell it."""
+        ids = ids.astype(_INTS, copy=False)
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes).astype(_LONGS, copy=False)
+        raw = np.frombuffer(text.encode(), np.uint8)
+        same = len(raw) == (ends[-1] if len(ends) else 0)
+        for k in range(0, len(ids) if same else 0, SPELT_TOKENS):
+            size, end = sizes[k:k + SPELT_TOKENS], ends[k:k + SPELT_TOKENS]
+            places = np.arange(end[0] - size[0], end[-1])
+            same = same and np.array_equal(
+                self.data[np.repeat(self.begins[ids[k:k + SPELT_TOKENS]] - end + size, size) + places], raw[places[0]:end[-1]])
+        return (ids, ends + start), same
+
+
 class Pair:
     """The two tokenizers, and the pairs of their tokens that can end together."""
 
     def __init__(self, a_path: str, b_path: str) -> None:
         coder = codec(a_path)
-        self.encode_a = coder.encoding.encode_ordinary
+        self.encoding = coder.encoding
         self.bytes_a = coder.bytes
         self.model = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.bytes_b: list[bytes] = []
@@ -71,12 +95,13 @@ class Pair:
             else:
                 self.bytes_b.append(piece.replace(SPACE, " ").encode())
                 self.together.update(x + y for x, y in zip(piece, piece[1:]))
-        self.space = self.model.piece_to_id(SPACE)
-        self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
-        self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        self.space = np.array([self.model.piece_to_id(SPACE)], _INTS)
+        self.spelt_a, self.spelt_b = _Spelling(self.bytes_a), _Spelling(self.bytes_b)
         self.keys = self._pairs()
-        self.named = [name for ids in (len(self.bytes_a), len(self.bytes_b)) for i in range(ids)
-                      for name in (f"{i},", f"{i}{'|' if ids == len(self.bytes_a) else ';'}")]
+        self.slots = self._slots()
+        # Names as numbers of eight bytes, padded with zeros: ids have seven digits at most.
+        self.named = np.array([name for ids, end in ((len(self.bytes_a), "|"), (len(self.bytes_b), ";"))
+                               for i in range(ids) for name in (f"{i},", f"{i}{end}")], "S8").view("<u8")
 
     def _pairs(self) -> np.ndarray:
         by_a, by_b = defaultdict(list), defaultdict(list)
@@ -90,28 +115,51 @@ class Pair:
                   for k in range(1, len(raw)) for a in by_a.get(raw[k:], ())]
         return np.unique(np.array(found, np.int64))
 
+    def _slots(self) -> np.ndarray:
+        """Hash table with open addressing of the pairs' numbers; -1 where a slot is empty."""
+        self.bits = (2 * len(self.keys)).bit_length()
+        slots = np.full(1 << self.bits, -1, _INTS)
+        left, at = np.arange(len(self.keys)), self._slot(self.keys)
+        while len(left):
+            free = slots[at] < 0
+            slots[at[free]] = left[free]
+            lost = slots[at] != left
+            left, at = left[lost], (at[lost] + 1) & (len(slots) - 1)
+        return slots
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def numbers(self, keys: np.ndarray) -> np.ndarray:
+        """Numbers of pairs, each given as one number of both ids."""
+        at = self._slot(keys)
+        found = self.slots[at]
+        wrong = np.flatnonzero(self.keys[found] != keys)
+        while len(wrong):
+            if (found[wrong] < 0).any():
+                raise ValueError("linked tokens of which neither ends in the other")
+            at[wrong] = (at[wrong] + 1) & (len(self.slots) - 1)
+            found[wrong] = self.slots[at[wrong]]
+            wrong = wrong[self.keys[found[wrong]] != keys[wrong]]
+        return found
+
     def a_tokens(self, text: str, start: int) -> tuple[Tokens, bool]:
         """Tokens of a part that begins at byte ``start``; whether they spell it."""
-        ids = self.encode_a(text)
-        return self._placed(ids, self.size_a, start), b"".join([self.bytes_a[i] for i in ids]) == text.encode()
+        # Nothing is allowed and nothing disallowed: the strings of special tokens are plain text.
+        return self.spelt_a.placed(self.encoding.encode_to_numpy(text, disallowed_special=()), text, start)
 
-    def b_ids(self, text: str, first: bool) -> list[int]:
+    def b_ids(self, text: str, first: bool) -> np.ndarray:
         """Ids of a part of the text with its leading space; ``first`` for the part at the text's start."""
         if not text:
-            return []
+            return _NONE[0]
         if text[0] == " ":
-            ids = self.model.encode(text[1:])
-            return ids if len(text) > 1 or first else [self.space]
-        return self.model.encode(text)[1:]
-
-    def b_tokens(self, text: str, start: int, ids: list[int] | None = None) -> tuple[Tokens, bool]:
-        ids = self.b_ids(text, start == 0) if ids is None else ids
-        return self._placed(ids, self.size_b, start), b"".join([self.bytes_b[i] for i in ids]) == text.encode()
+            ids = self.model.encode_as_numpy(text[1:])
+            return ids if len(text) > 1 or first else self.space
+        return self.model.encode_as_numpy(text)[1:]
 
-    @staticmethod
-    def _placed(ids: list[int], sizes: np.ndarray, start: int) -> Tokens:
-        ids = np.array(ids, _INTS)
-        return ids, (np.cumsum(sizes[ids]) + start).astype(_LONGS)
+    def b_tokens(self, text: str, start: int) -> tuple[Tokens, bool]:
+        """Tokens of a part of the text with its leading space that begins at byte ``start``; whether they spell it."""
+        return self.spelt_b.placed(self.b_ids(text, start == 0), text, start)
 
     def a_cut(self, text: str, at: int) -> int:
         found = _A_BORDER.search(text, at)
@@ -132,20 +180,16 @@ class Pair:
         if not len(stop_a):
             return "", np.zeros(0, _INTS)
         n_a, n_b = len(a[0]), len(b[0])
-        before_b = np.concatenate([[0], stop_b + 1])
-        place_a = np.arange(n_a) + before_b[np.searchsorted(stop_a, np.arange(n_a))]
-        place_b = np.arange(n_b) + (stop_a + 1)[np.searchsorted(stop_b, np.arange(n_b))]
+        # A token of A comes after the tokens of B in the groups before it, one of B after those of A in its group too.
+        place_a = np.arange(n_a) + np.repeat(np.concatenate([[0], stop_b[:-1] + 1]), np.diff(stop_a, prepend=-1))
+        place_b = np.arange(n_b) + np.repeat(stop_a + 1, np.diff(stop_b, prepend=-1))
         out = np.empty(n_a + n_b, np.int64)
         code_a, code_b = 2 * a[0].astype(np.int64), 2 * b[0].astype(np.int64) + 2 * len(self.bytes_a)
         code_a[stop_a] += 1
         code_b[stop_b] += 1
         out[place_a], out[place_b] = code_a, code_b
-        named = self.named
-        key = (a[0][stop_a].astype(np.int64) << 32) | b[0][stop_b]
-        links = np.searchsorted(self.keys, key)
-        if (self.keys[np.minimum(links, len(self.keys) - 1)] != key).any():
-            raise ValueError("linked tokens of which neither ends in the other")
-        return "".join([named[c] for c in out.tolist()]), links.astype(_INTS)
+        text = self.named[out].tobytes().translate(None, b"\0").decode()
+        return text, self.numbers((a[0][stop_a].astype(np.int64) << 32) | b[0][stop_b])
 
 
 class Fragment(NamedTuple):
@@ -172,10 +216,21 @@ def _sliced(x: Tokens, start: int, stop: int) -> Tokens:
     return x[0][start:stop], x[1][start:stop]
 
 
+def _shared(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``x`` and in ``y`` of the numbers that both hold; each is sorted and holds a number once."""
+    if not len(x) or not len(y):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    low, high = max(x[0], y[0]), min(x[-1], y[-1])
+    (i, x), (j, y) = [(begin, v[begin:stop] - low) for v in (x, y) for begin, stop in [np.searchsorted(v, [low, high + 1])]]
+    in_x, in_y = np.zeros((2, max(high - low + 1, 0)), bool)
+    in_x[x] = in_y[y] = True
+    return i + np.flatnonzero(in_y[x]), j + np.flatnonzero(in_x[y])
+
+
 def fragment(pair: Pair, a: Tokens, b: Tokens, anchored: bool = False) -> Fragment:
     """Fragment of one range's tokens.  ``anchored``: the range begins at a shared end, so no group is open before it;
     its prefix is then empty."""
-    _, stop_a, stop_b = np.intersect1d(a[1], b[1], assume_unique=True, return_indices=True)
+    stop_a, stop_b = _shared(a[1], b[1])
     nothing = np.zeros(0, _INTS)
     if not len(stop_a):
         return Fragment(True, _NONE, _NONE, "", 0, nothing, a, b) if anchored else Fragment(
@@ -274,12 +329,12 @@ def align(docs: DataFrame, a_path: str, b_path: str, groups: bool = False, part_
                 part = batch.slice(start, 32)
                 ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
                 rows = []
-                for doc_id, text, b_ids in zip(ids, texts, pair.model.encode(texts, num_threads=1)):
+                for doc_id, text in zip(ids, texts):
                     if not text:
                         rows.append((doc_id, 0, 0, 0, "", b""))
                         continue
                     a, same_a = pair.a_tokens(" " + text, 0)
-                    b, same_b = pair.b_tokens(" " + text, 0, b_ids)
+                    b, same_b = pair.b_tokens(" " + text, 0)
                     rows += _finished(pair, doc_id, 1, same_a and same_b, len(a[0]), len(b[0]), fragment(pair, a, b)
                                       if same_a and same_b else START, groups)
                 yield _doc_batch(rows)
